@@ -20,7 +20,7 @@ DAY = 86_400
 NULL_KEY_SPREAD = 1_024
 RESET_POLICIES = ("raw", "zero", "restart")
 
-_SLICE, _SPREAD, _CARRIED, _ENDS = "_slice", "_spread", "_carried", "_ends"
+_SLICE, _SPREAD, _CARRIED = "_slice", "_spread", "_carried"
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -136,6 +136,57 @@ def _elapsed(keys: Sequence[str], time: str) -> Column:
     return F.when(any_null(keys), F.lit(0.0)).otherwise(span).alias("elapsed_seconds")
 
 
+def _last_minus_first(counter: str, keys: Sequence[str], time: str, may_be_null: bool, gaps: str) -> Column:
+    """Increase of one counter as an aggregate, null where the nulls between its values need a closer look."""
+    if not may_be_null:
+        change = F.max_by(counter, time) - F.min_by(counter, time)
+        complete = F.count(counter) == F.count(F.lit(1))
+        nothing = any_null(keys)
+    else:
+        here = F.when(F.col(counter).isNotNull(), F.col(time))
+        absent = F.when(F.col(counter).isNull(), F.col(time))
+        change = F.max_by(counter, here) - F.min_by(counter, here)
+        before, after = F.max(absent) < F.min(here), F.min(absent) > F.max(here)
+        complete = F.max(absent).isNull() | before | after
+        nothing = any_null(keys) | F.max(here).isNull()
+    increase = F.when(nothing, F.lit(0)).when(complete, change)
+    if not may_be_null or gaps == "fail":
+        problem = f"counter {counter} is null between its values: list it as nullable and resolve the gaps"
+        increase = increase.otherwise(F.raise_error(F.lit(problem)))
+    return increase
+
+
+def _increase_over_gaps(
+    rows: DataFrame, counters: Sequence[str], carried: Sequence[str], keys: Sequence[str], time: str, slice_seconds: int
+) -> DataFrame:
+    """Sum of deltas per entity: within each time slice, then over the seams between an entity's slices.
+
+    The first step leaves one row per entity and slice in the partitioning of its own shuffle, so only those
+    summaries move again. Keys are not null here.
+    """
+    sliced = rows.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(slice_seconds)))
+    before = Window.partitionBy(*keys, _SLICE).orderBy(time)
+    inside = sliced.select("*", *[_change(F.col(c), F.lag(c).over(before), "raw").alias(f"_in_{c}") for c in counters])
+    summaries = inside.groupBy(*keys, _SLICE).agg(
+        *[F.sum(f"_in_{c}").alias(f"_in_{c}") for c in counters],
+        *[F.min_by(c, time).alias(f"_first_{c}") for c in counters],
+        *[F.max_by(c, time).alias(f"_last_{c}") for c in counters],
+        *[F.any_value(c).alias(c) for c in carried],
+    )
+    seam = Window.partitionBy(*keys).orderBy(_SLICE)
+    joined = summaries.select(
+        *keys,
+        *carried,
+        *[
+            (F.col(f"_in_{c}") + _change(F.col(f"_first_{c}"), F.lag(f"_last_{c}").over(seam), "raw")).alias(f"_sum_{c}")
+            for c in counters
+        ],
+    )
+    return joined.groupBy(*keys).agg(
+        *[F.sum(f"_sum_{c}").alias(f"increase_{c}") for c in counters], *[F.any_value(c).alias(c) for c in carried]
+    )
+
+
 def counter_increase(
     df: DataFrame,
     counters: Sequence[str],
@@ -145,62 +196,54 @@ def counter_increase(
     on_reset: str = "raw",
     duplicates: str | None = None,
     nullable: Sequence[str] | None = None,
+    gaps: str = "resolve",
     aggregates: Sequence[Column] = (),
-    slice_seconds: int | None = DAY,
+    slice_seconds: int = DAY,
     settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per entity with ``increase_<counter>`` (the sum of its deltas) and ``elapsed_seconds``.
 
-    ``aggregates`` are further aggregate columns computed in the same pass; they may use the counters and the key.
-    ``nullable`` names the counters that may hold nulls (all when unset). For an entity where such a counter is null
-    in some snapshots but not in all, last minus first would count intervals the deltas leave out, so that entity is
-    summed from its deltas instead. A null in any other counter fails the job rather than giving a wrong number.
-    ``settle`` writes out the aggregate and returns it read back; the second look is then skipped at run time when
-    no entity needs it.
+    ``aggregates`` are further aggregate columns computed in the same pass; with ``duplicates`` set they may use the
+    counters and the key only. ``nullable`` names the counters that may hold nulls (all when unset); a null in any
+    other fails the job rather than giving a wrong number.
+
+    Nulls before the first or after the last value of an entity are settled in the same pass. An entity whose nulls
+    lie between its values is summed from its deltas in a second pass over those entities (``gaps='resolve'``), or
+    fails the job (``gaps='fail'``, for sources that cannot have them). ``settle`` writes the aggregate out and
+    returns it read back; the second pass is then left out at run time when no entity needs it.
     """
-    counters = list(dict.fromkeys(counters))
-    extra = list(aggregates)
+    if gaps not in ("resolve", "fail"):
+        raise ValueError(f"unknown gap rule {gaps!r}")
+    counters, extra = list(dict.fromkeys(counters)), list(aggregates)
     if duplicates:
         df = one_row_per_snapshot(df, counters, keys, duplicates, time)
+    types = dict(df.select(*counters).dtypes)
     if on_reset != "raw":
         deltas = counter_delta(df, counters, keys, time=time, on_reset=on_reset, slice_seconds=slice_seconds)
         return deltas.groupBy(*keys).agg(
-            *[F.sum(f"delta_{c}").cast(dict(df.dtypes)[c]).alias(f"increase_{c}") for c in counters],
-            _elapsed(keys, time),
-            *extra,
+            *[F.sum(f"delta_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters], _elapsed(keys, time), *extra
         )
 
     nullable = counters if nullable is None else [c for c in nullable if c in counters]
-    rows, seen = F.count(F.lit(1)), {c: F.count(c) for c in counters}
-    no_entity = any_null(keys)
-
-    def increase(c: str) -> Column:
-        change = F.max_by(c, time) - F.min_by(c, time)
-        settled = F.when(no_entity | (seen[c] == 0), F.lit(0)).when(seen[c] == rows, change)
-        if c not in nullable:
-            settled = settled.otherwise(F.raise_error(F.lit(f"counter {c} holds nulls: list it as nullable")))
-        return settled.cast(dict(df.dtypes)[c]).alias(f"increase_{c}")
-
-    ends = df.groupBy(*keys).agg(*[increase(c) for c in counters], _elapsed(keys, time), *extra)
-    if not nullable:
-        return ends
+    increases = [
+        _last_minus_first(c, keys, time, c in nullable, gaps).cast(types[c]).alias(f"increase_{c}") for c in counters
+    ]
+    ends = df.groupBy(*keys).agg(*increases, _elapsed(keys, time), *extra)
     if settle is not None:
         ends = settle(ends)
+    if not nullable or gaps == "fail":
+        return ends
     gappy = any_null([f"increase_{c}" for c in nullable])
     if settle is not None and ends.where(gappy).isEmpty():
         return ends
 
-    # Both branches read all columns of the aggregate, so the plan computes it once.
-    open_entities = ends.where(gappy).select(*keys, F.struct(*ends.columns).alias(_ENDS))
-    rows_again = df.select(*keys, time, *nullable).join(open_entities, list(keys), "inner")
-    deltas = counter_delta(rows_again, nullable, keys, time=time, slice_seconds=slice_seconds)
-    summed = deltas.groupBy(*keys, _ENDS).agg(*[F.sum(f"delta_{c}").alias(f"_sum_{c}") for c in nullable])
-    corrected = summed.select(
-        *[
-            F.col(f"_sum_{name[len('increase_'):]}").cast(kind).alias(name)
-            if name in {f"increase_{c}" for c in nullable}
-            else F.col(f"{_ENDS}.{name}").alias(name)
-            for name, kind in ends.dtypes
-        ]
-    )
-    return ends.where(~gappy).unionByName(corrected)
+    # The columns of the aggregate ride along with the rows, and the join is null-safe so that no filter is pushed
+    # into it: both branches then share one computation of the aggregate.
+    corrected_names = [f"increase_{c}" for c in nullable]
+    carried = [c for c in ends.columns if c not in keys and c not in corrected_names]
+    open_entities = ends.where(gappy).drop(*corrected_names).withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    rows_again = df.select(*keys, time, *nullable).join(open_entities, same, "inner")
+    corrected = _increase_over_gaps(rows_again, nullable, carried, keys, time, slice_seconds)
+    kinds = dict(ends.dtypes)
+    return ends.where(~gappy).unionByName(corrected.select(*[F.col(c).cast(kinds[c]).alias(c) for c in ends.columns]))

@@ -49,7 +49,9 @@ def statement_base(
         rows = rows.withColumn(_DIGEST, F.sha2("query", 256))
         texts = rows.select(*scope, "username", "queryid", _DIGEST, "query").distinct()
         keys = [*scope, "username", "queryid", _DIGEST]
+    # A server starts to count WAL with an upgrade, so those columns are missing at the start of a window or not at all.
     increase_options.setdefault("nullable", [c for c in SPEC.nullable if c in wal])
+    increase_options.setdefault("gaps", "fail")
     grown = counter_increase(rows, [*NEEDED, *wal], keys, duplicates=duplicates, **increase_options)
     base = grown.select(
         *keys,

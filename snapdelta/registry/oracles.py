@@ -411,6 +411,29 @@ from fx_version""",
     }
 
 
+def _lake_sql() -> dict[str, str]:
+    window = "snapshot_time between timestamp '1996-01-01' and timestamp '1997-12-01'"
+    return {
+        "lake_round_trip": f"{_with('fx_tables')} select * from fx_tables",
+        "lake_time_window": f"""{_with("fx_tables")}
+select {HD}, snapshot_time, epoch(snapshot_time) snapshot_timestamp, relname, heap_blks_read from fx_tables
+where {window} and host in ('h1', 'h2')""",
+        "lake_csv_round_trip": f"{_with('fx_settings')} select * from fx_settings",
+        "lake_compacted": f"{_with('fx_indexes')} select * from fx_indexes where {window}",
+        "written_report": _vacuum(HD),
+        "stream_ingest": f"{_with('fx_bgwriter')} select * from fx_bgwriter",
+        "stream_delta": _delta_sql()["counter_delta_lag"],
+        "stream_wait_windows": """
+with c as (
+  select concat('h', cast(user_id % 3 as string)) host, date_trunc('hour', ts) window_start,
+    coalesce(nullif(event_type, 'view'), 'CPU') wait_event,
+    case when event_type = 'view' then 'CPU' else 'IO' end wait_event_type, count(*) total_samples
+  from events group by 1, 2, 3, 4)
+select *, window_start + interval 1 hour window_end from c
+where window_start + interval 1 hour <= (select max(ts) from events) - interval 10 minutes""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **_delta_sql(),
@@ -419,4 +442,5 @@ def oracle_sql() -> dict[str, str]:
         **_index_sql(),
         **_other_sql(),
         **_catalog_sql(),
+        **_lake_sql(),
     }

@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdelta.functions.scalars import epoch_seconds, major_version, report_time
+from snapdelta.functions.scalars import epoch_seconds, major_version, parse_report_window, report_time
 from snapdelta.functions.sql_functions import register_sql_functions
 from snapdelta.operators import catalog, quality
 from snapdelta.operators.delta import counter_delta, counter_increase, elapsed_delta, one_row_per_snapshot
-from snapdelta.plans import bgwriter, databases, indexes, sessions, settings, statements, tables
-from snapdelta.registry.fixtures import view
+from snapdelta.plans import bgwriter, databases, indexes, report, sessions, settings, statements, tables
+from snapdelta.registry.fixtures import table, view
 from snapdelta.schema import SCOPE
+from snapdelta.sources import lake
+from snapdelta.sources.shared import shared_dir
+from snapdelta.streaming.deltas import DeltaStream
+from snapdelta.streaming.ingest import land_stream, stream_snapshots
+from snapdelta.streaming.waits import land_wait_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -328,5 +333,93 @@ def catalog_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- lake -----------------------------------------------------------------------------------------------------------
+
+
+@query
+def lake_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table rows written to a lake of Parquet files and read back by the statistic's own schema."""
+    rows, root = view(spark, sf_dir, "fx_tables"), shared_dir(spark, "lake")
+    lake.write_snapshots(rows, root, "table_stats")
+    return lake.read_snapshots(spark, root, "table_stats").select(*rows.columns)
+
+
+@query
+def lake_time_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two hosts in a window, with the window's seconds."""
+    rows, root = view(spark, sf_dir, "fx_tables"), shared_dir(spark, "lake")
+    lake.write_snapshots(rows, root, "table_stats")
+    start, end = parse_report_window("01/01/1996 00:00:00", "12/01/1997 00:00:00")
+    window = lake.read_snapshots(spark, root, "table_stats", start, end, hosts=["h1", "h2"], databases=["app"])
+    return lake.with_epoch(window).select(*SCOPE, "snapshot_time", "snapshot_timestamp", "relname", "heap_blks_read")
+
+
+@query
+def lake_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings written as gzipped CSV and read back; their nulls are empty fields."""
+    rows, root = view(spark, sf_dir, "fx_settings"), shared_dir(spark, "lake")
+    lake.write_snapshots(rows, root, "pg_settings", file_format="csv")
+    return lake.read_snapshots(spark, root, "pg_settings", file_format="csv").select(*rows.columns)
+
+
+@query
+def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows landed by day and read back for a window."""
+    rows, root = view(spark, sf_dir, "fx_indexes"), shared_dir(spark, "lake")
+    lake.compact_snapshots(rows, root, "index_stats")
+    start, end = parse_report_window("01/01/1996 00:00:00", "12/01/1997 00:00:00")
+    return lake.read_compacted(spark, root, "index_stats", start, end).select(*rows.columns)
+
+
+@query
+def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vacuum activity from a report that was written out."""
+    paths = report.write_report({"table_stats": view(spark, sf_dir, "fx_tables")}, shared_dir(spark, "report-out"))
+    return spark.read.parquet(paths["vacuum_stats"])
+
+
+# --- streams --------------------------------------------------------------------------------------------------------
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake files streamed into the compacted layout."""
+    rows, root = view(spark, sf_dir, "fx_bgwriter"), shared_dir(spark, "stream")
+    lake.write_snapshots(rows, f"{root}/in", "pg_stat_bgwriter")
+    arriving = stream_snapshots(spark, f"{root}/in", "pg_stat_bgwriter")
+    land_stream(arriving, f"{root}/out", "pg_stat_bgwriter", f"{root}/checkpoint").awaitTermination()
+    return lake.read_compacted(spark, f"{root}/out", "pg_stat_bgwriter").select(*rows.columns)
+
+
+@query
+def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deltas of statement rows that arrive in two halves of the month."""
+    rows, root = view(spark, sf_dir, "fx_statements"), shared_dir(spark, "stream")
+    for half in (F.dayofmonth("snapshot_time") <= 15, F.dayofmonth("snapshot_time") > 15):
+        rows.where(half).repartition(*STATEMENT_KEYS).write.mode("append").parquet(f"{root}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
+    stream = DeltaStream(f"{root}/out", ["calls", "shared_blks_read", "wal_bytes"], STATEMENT_KEYS)
+    stream.start(arriving, f"{root}/checkpoint").awaitTermination()
+    return stream.deltas(spark).select(
+        *STATEMENT_KEYS, "snapshot_time", "delta_calls", "delta_shared_blks_read", "delta_wal_bytes"
+    )
+
+
+@query
+def stream_wait_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly wait counts of an event stream, as far as its windows are final."""
+    root = shared_dir(spark, "stream")
+    events = table(spark, sf_dir, "events")
+    arriving = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    waits = arriving.select(
+        F.concat(F.lit("h"), (F.col("user_id") % 3).cast("string")).alias("host"),
+        F.col("ts").cast("timestamp").alias("snapshot_time"),
+        F.nullif("event_type", F.lit("view")).alias("wait_event"),
+        F.when(F.col("event_type") != "view", F.lit("IO")).alias("wait_event_type"),
+    )
+    land_wait_windows(waits, f"{root}/out", f"{root}/checkpoint", scope=["host"]).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
