@@ -7,33 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from snapdelta.functions.scalars import BLOCK_SIZE, BYTE_STEP, BYTE_UNITS
+from snapdelta.functions.scalars import DEFINITIONS
 
-
-def _human_bytes_body() -> str:
-    branches = []
-    for power, unit in enumerate(BYTE_UNITS):
-        scaled = f"format_string('%3.1f {unit}', bround(size / {float(BYTE_STEP**power)!r}D, 1))"
-        limit = f"size < {float(BYTE_STEP ** (power + 1))!r}D" if unit != BYTE_UNITS[-1] else "size is not null"
-        branches.append(f"when {limit} then {scaled}")
-    return "case " + " ".join(branches) + " end"
-
-
-def definitions() -> dict[str, str]:
-    return {
-        "hit_ratio": "hit_ratio(reads double, hits double) returns double return case when reads = 0 and hits is not null "
-        "then 100D when reads + hits <> 0 then round(hits * 100D / (reads + hits), 2) end",
-        "per_unit": "per_unit(units double, total double) returns double return "
-        "round(total / case when units = 0 then 1D else units end, 2)",
-        "percent_of": "percent_of(total double, part double) returns double return "
-        "round(part * 100D / case when total = 0 then 1D else total end, 2)",
-        "blocks_to_bytes": f"blocks_to_bytes(blocks bigint) returns bigint return blocks * {BLOCK_SIZE}L",
-        "human_bytes": f"human_bytes(size double) returns string return {_human_bytes_body()}",
-    }
+SIGNATURES = {
+    "hit_ratio": (("reads", "hits"), "double", "double"),
+    "per_unit": (("units", "total"), "double", "double"),
+    "percent_of": (("total", "part"), "double", "double"),
+    "blocks_to_bytes": (("blocks",), "bigint", "bigint"),
+    "human_bytes": (("size",), "double", "string"),
+}
 
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
     """Create the functions in the session and return their names."""
-    for body in definitions().values():
-        spark.sql(f"create or replace temporary function {body}")
-    return list(definitions())
+    for name, (arguments, taken, given) in SIGNATURES.items():
+        declared = ", ".join(f"{a} {taken}" for a in arguments)
+        body = DEFINITIONS[name](*arguments)
+        spark.sql(f"create or replace temporary function {name}({declared}) returns {given} return {body}")
+    return list(SIGNATURES)

@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import epoch_seconds
 from snapdelta.schema import TIME
 
-DAY = 86_400
+WEEK = 7 * 86_400
 NULL_KEY_SPREAD = 1_024
 RESET_POLICIES = ("raw", "zero", "restart")
 
@@ -24,7 +24,7 @@ _SLICE, _SPREAD, _CARRIED = "_slice", "_spread", "_carried"
 
 
 def any_null(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    return F.expr(" or ".join(f"`{c}` is null" for c in columns))
 
 
 def one_row_per_snapshot(
@@ -38,12 +38,16 @@ def one_row_per_snapshot(
     return df.groupBy(*keys, time).agg(*[fold(v).cast(types[v]).alias(v) for v in values])
 
 
+def _window(groups: Sequence[str], order: str) -> str:
+    return "(partition by " + ", ".join(f"`{g}`" for g in groups) + f" order by `{order}`)"
+
+
 def previous_row(
     df: DataFrame,
     columns: Sequence[str],
     keys: Sequence[str],
     time: str = TIME,
-    slice_seconds: int | None = DAY,
+    slice_seconds: int | None = WEEK,
 ) -> DataFrame:
     """Add ``prev_<column>`` and ``has_prev`` from the entity's row before this one.
 
@@ -55,41 +59,38 @@ def previous_row(
     no_entity = any_null(keys)
     marked = df.withColumn(
         _SPREAD,
-        F.when(no_entity, F.pmod(F.xxhash64(time, *columns), F.lit(NULL_KEY_SPREAD))),
+        F.when(no_entity, F.pmod(F.xxhash64(time, *keys, *columns), F.lit(NULL_KEY_SPREAD))),
     ).withColumn(_CARRIED, F.lit(False))
     groups = [*keys, _SPREAD]
     if slice_seconds:
         seconds = F.unix_seconds(F.col(time).cast("timestamp"))
         marked = marked.withColumn(_SLICE, F.floor(seconds / F.lit(slice_seconds)))
         groups.append(_SLICE)
-        by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
         handed_on = (
             marked.where(~no_entity)
             .groupBy(*keys, _SLICE)
             .agg(*[F.max_by(c, time).alias(c) for c in columns if c != time], F.max(time).alias(time))
-            .withColumn(_SLICE, F.lead(_SLICE).over(by_slice))
+            .withColumn(_SLICE, F.expr(f"lead({_SLICE}) over {_window(keys, _SLICE)}"))
             .where(F.col(_SLICE).isNotNull())
             .withColumn(_CARRIED, F.lit(True))
         )
         marked = marked.unionByName(handed_on, allowMissingColumns=True)
-    before = Window.partitionBy(*groups).orderBy(time)
-    has_prev = F.lag(F.lit(True), 1, False).over(before) & F.col(_SPREAD).isNull()
+    before = _window(groups, time)
     looked_back = marked.select(
         "*",
-        has_prev.alias("has_prev"),
-        *[F.when(F.col(_SPREAD).isNull(), F.lag(c).over(before)).alias(f"prev_{c}") for c in columns],
+        F.expr(f"lag(true, 1, false) over {before} and {_SPREAD} is null as has_prev"),
+        *[F.expr(f"case when {_SPREAD} is null then lag(`{c}`) over {before} end as `prev_{c}`") for c in columns],
     )
     return looked_back.where(~F.col(_CARRIED)).drop(_SPREAD, _CARRIED, _SLICE)
 
 
-def _change(value: Column, previous: Column, on_reset: str) -> Column:
-    zero = F.lit(0)
-    change = value - previous
-    if on_reset == "zero":
-        change = F.when(value < previous, zero).otherwise(change)
-    elif on_reset == "restart":
-        change = F.when(value < previous, value).otherwise(change)
-    return F.coalesce(change, zero)
+def _change(value: str, previous: str, on_reset: str = "raw") -> str:
+    """Change from one value to the next as SQL; 0 where either is null."""
+    change = f"{value} - {previous}"
+    if on_reset != "raw":
+        after_reset = "0" if on_reset == "zero" else value
+        change = f"case when {value} < {previous} then {after_reset} else {change} end"
+    return f"coalesce({change}, 0)"
 
 
 def counter_delta(
@@ -100,7 +101,7 @@ def counter_delta(
     time: str = TIME,
     on_reset: str = "raw",
     duplicates: str | None = None,
-    slice_seconds: int | None = DAY,
+    slice_seconds: int | None = WEEK,
     keep_previous: bool = False,
 ) -> DataFrame:
     """Add ``delta_<counter>``: the value minus the value in the entity's previous snapshot.
@@ -116,14 +117,14 @@ def counter_delta(
     types = dict(df.select(*counters).dtypes)
     looked_back = previous_row(df, counters, keys, time, slice_seconds)
     deltas = [
-        _change(F.col(c), F.col(f"prev_{c}"), on_reset).cast(types[c]).alias(f"delta_{c}") for c in counters
+        F.expr(f"cast({_change(f'`{c}`', f'`prev_{c}`', on_reset)} as {types[c]}) as `delta_{c}`") for c in counters
     ]
     result = looked_back.select("*", *deltas).drop("has_prev")
     return result if keep_previous else result.drop(*[f"prev_{c}" for c in counters])
 
 
 def elapsed_delta(
-    df: DataFrame, keys: Sequence[str], *, time: str = TIME, slice_seconds: int | None = DAY
+    df: DataFrame, keys: Sequence[str], *, time: str = TIME, slice_seconds: int | None = WEEK
 ) -> DataFrame:
     """Add ``delta_seconds``: seconds since the entity's previous snapshot."""
     looked_back = previous_row(df, [time], keys, time, slice_seconds)
@@ -136,24 +137,20 @@ def _elapsed(keys: Sequence[str], time: str) -> Column:
     return F.when(any_null(keys), F.lit(0.0)).otherwise(span).alias("elapsed_seconds")
 
 
-def _last_minus_first(counter: str, keys: Sequence[str], time: str, may_be_null: bool, gaps: str) -> Column:
+def _last_minus_first(counter: str, kind: str, no_entity: str, time: str, may_be_null: bool, gaps: str) -> Column:
     """Increase of one counter as an aggregate, null where the nulls between its values need a closer look."""
+    x, t = f"`{counter}`", f"`{time}`"
+    problem = f"raise_error('counter {counter} is null between its values: list it as nullable and resolve the gaps')"
     if not may_be_null:
-        change = F.max_by(counter, time) - F.min_by(counter, time)
-        complete = F.count(counter) == F.count(F.lit(1))
-        nothing = any_null(keys)
+        nothing, change = no_entity, f"max_by({x}, {t}) - min_by({x}, {t})"
+        complete = f"count({x}) = count(1)"
     else:
-        here = F.when(F.col(counter).isNotNull(), F.col(time))
-        absent = F.when(F.col(counter).isNull(), F.col(time))
-        change = F.max_by(counter, here) - F.min_by(counter, here)
-        before, after = F.max(absent) < F.min(here), F.min(absent) > F.max(here)
-        complete = F.max(absent).isNull() | before | after
-        nothing = any_null(keys) | F.max(here).isNull()
-    increase = F.when(nothing, F.lit(0)).when(complete, change)
-    if not may_be_null or gaps == "fail":
-        problem = f"counter {counter} is null between its values: list it as nullable and resolve the gaps"
-        increase = increase.otherwise(F.raise_error(F.lit(problem)))
-    return increase
+        here, absent = f"case when {x} is not null then {t} end", f"case when {x} is null then {t} end"
+        nothing, change = f"{no_entity} or max({here}) is null", f"max_by({x}, {here}) - min_by({x}, {here})"
+        complete = f"max({absent}) is null or max({absent}) < min({here}) or min({absent}) > max({here})"
+    otherwise = problem if not may_be_null or gaps == "fail" else "null"
+    chosen = f"case when {nothing} then 0 when {complete} then {change} else {otherwise} end"
+    return F.expr(f"cast({chosen} as {kind}) as `increase_{counter}`")
 
 
 def _increase_over_gaps(
@@ -165,22 +162,19 @@ def _increase_over_gaps(
     summaries move again. Keys are not null here.
     """
     sliced = rows.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(slice_seconds)))
-    before = Window.partitionBy(*keys, _SLICE).orderBy(time)
-    inside = sliced.select("*", *[_change(F.col(c), F.lag(c).over(before), "raw").alias(f"_in_{c}") for c in counters])
+    before, seam = _window([*keys, _SLICE], time), _window(keys, _SLICE)
+    inside = sliced.select(
+        "*", *[F.expr(_change(f"`{c}`", f"lag(`{c}`) over {before}")).alias(f"_in_{c}") for c in counters]
+    )
     summaries = inside.groupBy(*keys, _SLICE).agg(
         *[F.sum(f"_in_{c}").alias(f"_in_{c}") for c in counters],
         *[F.min_by(c, time).alias(f"_first_{c}") for c in counters],
         *[F.max_by(c, time).alias(f"_last_{c}") for c in counters],
         *[F.any_value(c).alias(c) for c in carried],
     )
-    seam = Window.partitionBy(*keys).orderBy(_SLICE)
+    over_seam = {c: _change(f"`_first_{c}`", f"lag(`_last_{c}`) over {seam}") for c in counters}
     joined = summaries.select(
-        *keys,
-        *carried,
-        *[
-            (F.col(f"_in_{c}") + _change(F.col(f"_first_{c}"), F.lag(f"_last_{c}").over(seam), "raw")).alias(f"_sum_{c}")
-            for c in counters
-        ],
+        *keys, *carried, *[F.expr(f"`_in_{c}` + {over_seam[c]}").alias(f"_sum_{c}") for c in counters]
     )
     return joined.groupBy(*keys).agg(
         *[F.sum(f"_sum_{c}").alias(f"increase_{c}") for c in counters], *[F.any_value(c).alias(c) for c in carried]
@@ -198,7 +192,7 @@ def counter_increase(
     nullable: Sequence[str] | None = None,
     gaps: str = "resolve",
     aggregates: Sequence[Column] = (),
-    slice_seconds: int = DAY,
+    slice_seconds: int = WEEK,
     settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per entity with ``increase_<counter>`` (the sum of its deltas) and ``elapsed_seconds``.
@@ -225,9 +219,8 @@ def counter_increase(
         )
 
     nullable = counters if nullable is None else [c for c in nullable if c in counters]
-    increases = [
-        _last_minus_first(c, keys, time, c in nullable, gaps).cast(types[c]).alias(f"increase_{c}") for c in counters
-    ]
+    no_entity = "(" + " or ".join(f"`{k}` is null" for k in keys) + ")"
+    increases = [_last_minus_first(c, types[c], no_entity, time, c in nullable, gaps) for c in counters]
     ends = df.groupBy(*keys).agg(*increases, _elapsed(keys, time), *extra)
     if settle is not None:
         ends = settle(ends)

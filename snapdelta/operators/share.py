@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def with_totals(df: DataFrame, totals: Sequence[Column], scope: Sequence[str]) -> DataFrame:
     """Add aggregate columns of the whole ``scope`` group to each of its rows.
 
     The totals are an aggregate joined on the scope, not a window: a window would bring a whole group to one task.
-    Without a scope each total is a scalar subquery, so there is no join at all.
+    Without a scope the totals are one scalar subquery, so there is no join at all.
     """
     if scope:
         return df.join(df.groupBy(*scope).agg(*totals), list(scope), "inner")
     summed = df.agg(*totals)
-    return df.select("*", *[summed.select(name).scalar().alias(name) for name in summed.columns])
+    row = summed.select(F.struct(*summed.columns)).scalar().alias("_totals")
+    return df.select("*", row).select("*", "_totals.*").drop("_totals")

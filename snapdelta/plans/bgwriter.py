@@ -30,7 +30,7 @@ def bgwriter_summary(
         F.max("stats_reset").alias("last_reset"),
         F.sum("increase_checkpoints_timed").alias("checkpoints_timed"),
         F.sum("increase_checkpoints_req").alias("checkpoints_requested"),
-        *[blocks_to_bytes(F.sum(f"increase_{c}"), block_size).alias(name) for name, c in WRITTEN.items()],
+        *[blocks_to_bytes(f"sum(increase_{c})", block_size).alias(name) for name, c in WRITTEN.items()],
         F.sum("elapsed_seconds").alias("_seconds"),
     )
     return total.select(
@@ -41,7 +41,7 @@ def bgwriter_summary(
         *WRITTEN,
         *[human_bytes(name).alias(name.removesuffix("_bytes") + "_text") for name in WRITTEN],
         hit_ratio("checkpoints_requested", "checkpoints_timed").alias("timed_percent"),
-        per_minute("_seconds", F.col("checkpoints_timed") + F.col("checkpoints_requested")).alias(
+        per_minute("_seconds", "checkpoints_timed + checkpoints_requested").alias(
             "checkpoints_per_minute"
         ),
     )

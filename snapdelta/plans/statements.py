@@ -64,7 +64,7 @@ def statement_base(
         per_unit("increase_calls", "increase_blk_read_time").alias("read_ms_per_call"),
         per_unit("elapsed_seconds", "increase_calls").alias("calls_per_second"),
         *[F.col(f"increase_{c}").alias(c) for c in wal],
-    ).where(reduce(lambda a, b: a | b, [F.col(name) > 0 for name in BYTES]))
+    ).where(" or ".join(f"{name} > 0" for name in BYTES))
     if texts is not None:
         named = texts.withColumnsRenamed({k: f"_text_{k}" for k in keys})
         on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_text_{k}")) for k in keys])

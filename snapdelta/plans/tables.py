@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,57 +28,70 @@ METRICS = [f"{family}_{kind}_bytes" for family in FAMILIES for kind in ("read",
 
 
 def table_activity(
-    tables: DataFrame, *, scope: Sequence[str] = SCOPE, block_size: int = BLOCK_SIZE, **increase_options
+    tables: DataFrame,
+    *,
+    scope: Sequence[str] = SCOPE,
+    families: Sequence[str] = tuple(FAMILIES),
+    vacuum: bool = True,
+    block_size: int = BLOCK_SIZE,
+    **increase_options,
 ) -> DataFrame:
-    """Everything the table report needs, one row per table and one pass over the rows."""
-    blocks = [f"{short}_blks_{kind}" for short in FAMILIES.values() for kind in ("read", "hit")]
-    dead, requested = F.col("n_dead_tup"), F.col("n_dead_tup") + F.col("n_live_tup")
-    hundredths = F.when(dead == 0, F.lit(0)).when(requested != 0, F.round(dead * F.lit(10000.0) / requested, 0))
+    """What the table report needs, one row per table and one pass over the rows.
+
+    Name the block ``families`` and leave ``vacuum`` out where only some of it is wanted: counters that are not
+    asked for are not read, and the families that can be null are the only ones that may need a second pass.
+    """
+    blocks = [(family, FAMILIES[family], kind) for family in families for kind in ("read", "hit")]
+    counters = [f"{short}_blks_{kind}" for _, short, kind in blocks]
+    ratio = (
+        "cast(case when n_dead_tup = 0 then 0 when n_dead_tup + n_live_tup <> 0 "
+        "then round(n_dead_tup * 10000.0D / (n_dead_tup + n_live_tup), 0) end as bigint)"
+    )
+    gauges = {"_dead": "sum(n_dead_tup)", "_dead_rows": "count(n_dead_tup)", "_ratio": f"sum({ratio})"}
+    gauges["_ratio_rows"] = f"count({ratio})"
     increase_options.setdefault("nullable", SPEC.nullable)
     grown = counter_increase(
         tables,
-        [*blocks, "vacuum_count", "autovacuum_count"],
+        counters + (["vacuum_count", "autovacuum_count"] if vacuum else []),
         [*scope, *SPEC.keys],
-        aggregates=[
-            F.sum("n_dead_tup").alias("_dead"),
-            F.count("n_dead_tup").alias("_dead_rows"),
-            F.sum(hundredths.cast("bigint")).alias("_ratio"),
-            F.count(hundredths).alias("_ratio_rows"),
-        ],
+        aggregates=[F.expr(sql).alias(name) for name, sql in gauges.items()] if vacuum else [],
         **increase_options,
     )
+    # Whole-number averages from integer sums, so their value does not depend on the order of the rows.
+    vacuum_columns = {
+        "manual_vacuums": "increase_vacuum_count",
+        "autovacuums": "increase_autovacuum_count",
+        "average_dead_rows": "case when _dead_rows > 0 then _dead div _dead_rows end",
+        "dead_row_ratio": "case when _ratio_rows > 0 then _ratio div (100 * _ratio_rows) end",
+    }
     return grown.select(
         *scope,
         "schemaname",
-        "relname",
         qualified_name("schemaname", "relname").alias("table_name"),
         *[
             blocks_to_bytes(f"increase_{short}_blks_{kind}", block_size).alias(f"{family}_{kind}_bytes")
-            for family, short in FAMILIES.items()
-            for kind in ("read", "hit")
+            for family, short, kind in blocks
         ],
         *[
-            hit_ratio(f"increase_{short}_blks_read", f"increase_{short}_blks_hit").alias(f"{family}_hit_ratio")
-            for family, short in FAMILIES.items()
+            hit_ratio(f"increase_{FAMILIES[f]}_blks_read", f"increase_{FAMILIES[f]}_blks_hit").alias(f"{f}_hit_ratio")
+            for f in families
         ],
-        F.col("increase_vacuum_count").alias("manual_vacuums"),
-        F.col("increase_autovacuum_count").alias("autovacuums"),
-        # Whole-number averages from integer sums, so their value does not depend on the order of the rows.
-        F.when(F.col("_dead_rows") > 0, F.expr("_dead div _dead_rows")).alias("average_dead_rows"),
-        F.when(F.col("_ratio_rows") > 0, F.expr("_ratio div (100 * _ratio_rows)")).alias("dead_row_ratio"),
+        *([F.expr(sql).alias(name) for name, sql in vacuum_columns.items()] if vacuum else []),
     )
 
 
 def table_base(activity: DataFrame, scope: Sequence[str] = SCOPE) -> DataFrame:
-    """Tables that moved any block."""
-    moved = reduce(lambda a, b: a | b, [F.col(m) > 0 for m in METRICS])
-    return activity.where(moved).select(
-        *scope, "table_name", *METRICS, *[f"{family}_hit_ratio" for family in FAMILIES]
+    """Tables that moved any block of the families in ``activity``."""
+    families = [f for f in FAMILIES if f"{f}_hit_ratio" in activity.columns]
+    metrics = [m for m in METRICS if m in activity.columns]
+    return activity.where(" or ".join(f"{m} > 0" for m in metrics)).select(
+        *scope, "table_name", *metrics, *[f"{family}_hit_ratio" for family in families]
     )
 
 
 def with_texts(base: DataFrame) -> DataFrame:
-    return base.select("*", *[human_bytes(m).alias(m.removesuffix("_bytes") + "_text") for m in METRICS])
+    sizes = [m for m in METRICS if m in base.columns]
+    return base.select("*", *[human_bytes(m).alias(m.removesuffix("_bytes") + "_text") for m in sizes])
 
 
 def top_tables(
@@ -122,7 +134,7 @@ def table_findings(base: DataFrame, scope: Sequence[str] = SCOPE, more_than: int
     low = [F.count_if(F.col(f"{family}_hit_ratio") < LOW_HIT_RATIO).alias(family) for family in FAMILIES]
     found = base.groupBy(*scope).agg(*low)
     return finding(
-        found.where(reduce(lambda a, b: a | b, [F.col(family) > more_than for family in FAMILIES])),
+        found.where(" or ".join(f"{family} > {int(more_than)}" for family in FAMILIES)),
         "table",
         "Several tables have a low cache-hit ratio; see the table I/O lists.",
         scope,

@@ -138,24 +138,27 @@ _QUERIES |= {
 # --- tables ---------------------------------------------------------------------------------------------------------
 
 
-def _tables(cut: Callable[[DataFrame], DataFrame]) -> Query:
-    return _fixture("fx_tables", lambda df: cut(tables.table_activity(df)))
+def _tables(cut: Callable[[DataFrame], DataFrame], **options) -> Query:
+    return _fixture("fx_tables", lambda df: cut(tables.table_activity(df, **options)))
 
 
 def _top_tables(family: str, kind: str) -> Query:
-    return _tables(lambda activity: tables.top_tables(tables.table_base(activity), family, kind, LIMIT))
+    def cut(activity: DataFrame) -> DataFrame:
+        return tables.top_tables(tables.table_base(activity), family, kind, LIMIT)
+
+    return _tables(cut, families=[family], vacuum=False)
 
 
-_QUERIES |= {"table_base": _tables(lambda activity: tables.with_texts(tables.table_base(activity)))}
 _QUERIES |= {
-    f"table_{family}_{kind}s": _top_tables(family, kind) for family in tables.FAMILIES for kind in ("read", "hit")
+    "table_base": _tables(lambda activity: tables.with_texts(tables.table_base(activity)), vacuum=False),
+    "table_findings": _tables(lambda activity: tables.table_findings(tables.table_base(activity)), vacuum=False),
+    "vacuum_efficiency": _tables(tables.vacuum_efficiency, families=[]),
+    "vacuum_efficiency_fleet": _tables(
+        lambda activity: tables.vacuum_efficiency(activity, scope=()), families=[], scope=()
+    ),
 }
 _QUERIES |= {
-    "vacuum_efficiency": _tables(tables.vacuum_efficiency),
-    "vacuum_efficiency_fleet": _fixture(
-        "fx_tables", lambda df: tables.vacuum_efficiency(tables.table_activity(df, scope=()), scope=())
-    ),
-    "table_findings": _tables(lambda activity: tables.table_findings(tables.table_base(activity))),
+    f"table_{family}_{kind}s": _top_tables(family, kind) for family in tables.FAMILIES for kind in ("read", "hit")
 }
 
 # --- indexes --------------------------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from snapdelta.operators.delta import DAY, _change, any_null, one_row_per_snapshot, previous_row
+from snapdelta.operators.delta import WEEK, _change, any_null, one_row_per_snapshot, previous_row
 from snapdelta.schema import TIME
 
 
@@ -33,7 +33,7 @@ class DeltaStream:
     time: str = TIME
     on_reset: str = "raw"
     duplicates: str | None = None
-    slice_seconds: int = DAY
+    slice_seconds: int = WEEK
 
     def _path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch={batch_id}"
@@ -59,14 +59,11 @@ class DeltaStream:
         fresh = joined.where(~late)
 
         looked_back = previous_row(fresh, self.counters, self.keys, self.time, self.slice_seconds)
+        previous = {c: f"(case when has_prev then `prev_{c}` else `_known_{c}` end)" for c in self.counters}
         deltas = looked_back.select(
             *batch.columns,
             *[
-                _change(
-                    F.col(c), F.when(F.col("has_prev"), F.col(f"prev_{c}")).otherwise(F.col(f"_known_{c}")), self.on_reset
-                )
-                .cast(kind)
-                .alias(f"delta_{c}")
+                F.expr(f"cast({_change(f'`{c}`', previous[c], self.on_reset)} as {kind})").alias(f"delta_{c}")
                 for c, kind in batch.select(*self.counters).dtypes
             ],
         )

@@ -71,8 +71,8 @@ def test_texts_and_numbers(spark):
         S.epoch_seconds("ts"),
         F.date_format(S.whole_seconds("ts"), "HH:mm:ss.SSS"),
         S.or_zero("x"),
-        S.whole_percent_of(F.lit(100), F.lit(29)),
-        S.per_minute(F.lit(0.0), F.lit(2)),
+        S.whole_percent_of("100", "29"),
+        S.per_minute("0", "2"),
         F.date_format(S.report_time(F.lit("02/03/2024 04:05:06")), "yyyy-MM-dd HH:mm:ss"),
     ).first()
     assert list(row) == [
