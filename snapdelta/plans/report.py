@@ -38,12 +38,14 @@ def build_report(
     on_reset: str = "raw",
     unused: str = "any",
     digest_text: bool = True,
+    folded: bool = False,
     keep: Keep = _as_is,
 ) -> dict[str, DataFrame]:
     """Results by name, for the statistics present in ``frames``.
 
     Frames are lazy. ``keep(frame, name)`` is applied to what several results share and to aggregates that may need
-    a second pass; ``write_report`` passes one that writes them out, so that each is computed once.
+    a second pass; ``write_report`` passes one that writes them out, so that each is computed once. ``folded`` says
+    that the frames hold one row per entity and snapshot, as folded compaction leaves them.
     """
     results: dict[str, DataFrame] = {}
 
@@ -51,6 +53,7 @@ def build_report(
         settled = None if keep is _as_is else lambda df: keep(df, f"{name}_increase")
         return {"on_reset": on_reset, "settle": settled if on_reset == "raw" else None}
 
+    unfolded = {"duplicates": None} if folded else {}
     aurora = None
     if "version" in frames:
         versions = frames["version"]
@@ -83,7 +86,7 @@ def build_report(
 
     if "pg_stat_statements" in frames:
         base = statements.statement_base(
-            frames["pg_stat_statements"], scope=scope, digest_text=digest_text, **increase("statement")
+            frames["pg_stat_statements"], scope=scope, digest_text=digest_text, **unfolded, **increase("statement")
         )
         base = keep(base, "statement_base")
         results |= {
@@ -104,7 +107,7 @@ def build_report(
 
     if "index_stats" in frames:
         rows = frames["index_stats"]
-        base = keep(indexes.index_base(rows, scope=scope, **increase("index")), "index_base")
+        base = keep(indexes.index_base(rows, scope=scope, **unfolded, **increase("index")), "index_base")
         idle = keep(indexes.unused_indexes(rows, scope, unused), "unused_indexes")
         results |= {
             "index_reads": indexes.top_indexes(base, "read", limit, scope),

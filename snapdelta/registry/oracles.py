@@ -110,6 +110,30 @@ from ({_deltas("f", "host, database, query", ["calls", "shared_blks_read"])}) gr
     }
 
 
+def _all_deltas(fixture: str, by: str, counters: str) -> str:
+    names = counters.split()
+    return f"""{_with(fixture)}
+select {HD}, {by}, snapshot_time, {", ".join(f"d_{c} delta_{c}" for c in names)}
+from ({_deltas(fixture, f"{HD}, {by}", names)})"""
+
+
+def _stat_delta_sql() -> dict[str, str]:
+    blocks = " ".join(f"{s}_blks_{k}" for s in ("heap", "idx", "toast", "tidx") for k in ("read", "hit"))
+    return {
+        "statement_deltas": _all_deltas("fx_statements", "username, queryid, query", " ".join(_STMT_COUNTERS)),
+        "table_deltas": _all_deltas(
+            "fx_tables", "schemaname, relname", f"{blocks} vacuum_count autovacuum_count n_live_tup n_dead_tup"
+        ),
+        "index_deltas": _all_deltas("fx_indexes", "schemaname, relname, indexrelname", "idx_blks_read idx_blks_hit"),
+        "database_deltas": _all_deltas("fx_database", "datname, datid", "blks_read blks_hit"),
+        "bgwriter_deltas": _all_deltas(
+            "fx_bgwriter",
+            "stats_reset",
+            "checkpoints_timed checkpoints_req buffers_checkpoint buffers_clean buffers_backend",
+        ),
+    }
+
+
 # --- statements -----------------------------------------------------------------------------------------------------
 
 _STMT_COUNTERS = (
@@ -419,6 +443,7 @@ def _lake_sql() -> dict[str, str]:
 select {HD}, snapshot_time, epoch(snapshot_time) snapshot_timestamp, relname, heap_blks_read from fx_tables
 where {window} and host in ('h1', 'h2')""",
         "lake_csv_round_trip": f"{_with('fx_settings')} select * from fx_settings",
+        "lake_folded": f"{_index_base()} select * from b",
         "lake_compacted": f"{_with('fx_indexes')} select * from fx_indexes where {window}",
         "written_report": _vacuum(HD),
         "stream_ingest": f"{_with('fx_bgwriter')} select * from fx_bgwriter",
@@ -437,6 +462,7 @@ where window_start + interval 1 hour <= (select max(ts) from events) - interval
 def oracle_sql() -> dict[str, str]:
     return {
         **_delta_sql(),
+        **_stat_delta_sql(),
         **_statement_sql(),
         **_table_sql(),
         **_index_sql(),

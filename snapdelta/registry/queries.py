@@ -11,6 +11,7 @@ from snapdelta.functions.scalars import epoch_seconds, major_version, parse_repo
 from snapdelta.functions.sql_functions import register_sql_functions
 from snapdelta.operators import catalog, quality
 from snapdelta.operators.delta import counter_delta, counter_increase, elapsed_delta, one_row_per_snapshot
+from snapdelta.plans.deltas import stat_deltas
 from snapdelta.plans import bgwriter, databases, indexes, report, sessions, settings, statements, tables
 from snapdelta.registry.fixtures import table, view
 from snapdelta.schema import SCOPE
@@ -115,6 +116,22 @@ def increase_of_folded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _all_deltas(fixture: str, stat: str, by: list[str]) -> Query:
+    def narrow(df: DataFrame) -> DataFrame:
+        deltas = stat_deltas(df, stat)
+        return deltas.select(*SCOPE, *by, "snapshot_time", *[c for c in deltas.columns if c.startswith("delta_")])
+
+    return _fixture(fixture, narrow)
+
+
+_QUERIES |= {
+    "statement_deltas": _all_deltas("fx_statements", "pg_stat_statements", ["username", "queryid", "query"]),
+    "table_deltas": _all_deltas("fx_tables", "table_stats", ["schemaname", "relname"]),
+    "index_deltas": _all_deltas("fx_indexes", "index_stats", ["schemaname", "relname", "indexrelname"]),
+    "database_deltas": _all_deltas("fx_database", "pg_stat_database", ["datname", "datid"]),
+    "bgwriter_deltas": _all_deltas("fx_bgwriter", "pg_stat_bgwriter", ["stats_reset"]),
+}
+
 # --- statements -----------------------------------------------------------------------------------------------------
 
 
@@ -374,6 +391,15 @@ def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_compacted(spark, root, "index_stats", start, end).select(*rows.columns)
 
 
+@query
+def lake_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows that repeat per constraint, folded while they are landed; the report then skips the fold."""
+    rows, root = view(spark, sf_dir, "fx_indexes"), shared_dir(spark, "lake")
+    repeated = rows.unionByName(rows.where(F.col("conname").isNotNull()).withColumn("conname", F.lit("another")))
+    lake.compact_snapshots(repeated, root, "index_stats", fold=True)
+    return indexes.index_base(lake.read_compacted(spark, root, "index_stats"), duplicates=None)
+
+
 @query
 def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vacuum activity from a report that was written out."""

@@ -24,7 +24,7 @@ _CURRENT_DATABASE = "(select oid from pg_database where datname = current_databa
 # The catalog views each statistic needs, as the server spells them.
 EXTRACTS: dict[str, dict[str, str]] = {
     "pg_stat_database": {
-        "counters": "select datid, blks_read, blks_hit, stats_reset from pg_stat_database",
+        "counters": "select * from pg_stat_database",
         "databases": "select oid::bigint oid, datname, age(datfrozenxid)::bigint oldest_transaction_age, "
         "pg_is_in_recovery() standby from pg_database",
     },
@@ -52,6 +52,7 @@ EXTRACTS: dict[str, dict[str, str]] = {
     },
     "version": {"extract": "select version() as version"},
 }
+AURORA_VERSION = "select version() as version, aurora_version() as aurora_version"
 
 
 @dataclass(frozen=True)
@@ -124,6 +125,7 @@ def capture(
     stats: Sequence[str] | None = None,
     at: datetime | None = None,
     file_format: str = "parquet",
+    aurora: bool = False,
 ) -> None:
     """Append one snapshot of the named statistics (all when unset) of every endpoint to the lake.
 
@@ -133,9 +135,8 @@ def capture(
         for first in range(0, len(servers), ENDPOINTS_PER_JOB):
             rows = []
             for endpoint in servers[first : first + ENDPOINTS_PER_JOB]:
-                extracts = {
-                    name: read_extract(spark, endpoint, sql, user, password) for name, sql in EXTRACTS[stat].items()
-                }
+                texts = {"extract": AURORA_VERSION} if aurora and stat == "version" else EXTRACTS[stat]
+                extracts = {name: read_extract(spark, endpoint, sql, user, password) for name, sql in texts.items()}
                 built = build_stat(stat, extracts, endpoint.database)
                 rows.append(stamp(built, endpoint.host, endpoint.database, at))
             write_snapshots(union_snapshots(rows), root, stat, file_format=file_format)

@@ -22,12 +22,13 @@ from pyspark.sql import types as T
 
 from snapdelta.functions.scalars import epoch_seconds
 from snapdelta.operators.quality import DataQualityError
-from snapdelta.schema import SCOPE, STATS, TIME
+from snapdelta.schema import SCOPE, STATS, TIME, with_exec_time
 
 # The partition columns of the lake in their order, and the text form of times in CSV files.
 CLOCK = ("year", "month", "day", "hour", "minute")
 PARTITIONS = (*SCOPE, "stat", *CLOCK)
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+UTC_NAMES = ("UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "Universal")
 ROWS_PER_CHUNK = 50_000
 
 _PARTITION_FIELDS = [T.StructField(c, T.StringType()) for c in (*SCOPE, "stat")] + [
@@ -41,6 +42,13 @@ _FILE_FIELDS = [
 ]
 
 
+def require_utc(spark: SparkSession) -> None:
+    """The lake's clock is UTC: partition values and text times mean nothing in another session time zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
+
+
 def stamp(df: DataFrame, host: str, database: str, at: datetime | None = None) -> DataFrame:
     """Put scope and snapshot time before the columns of a fresh extract; one time for the whole batch."""
     at = (at or datetime.now(timezone.utc)).astimezone(timezone.utc)
@@ -55,6 +63,7 @@ def write_snapshots(
     Rows are brought together by partition before writing, so each partition gets few files; a partition that is
     much larger than the others is split again at run time.
     """
+    require_utc(df.sparkSession)
     time = F.col(TIME).cast("timestamp")
     placed = df.select(
         "*", F.lit(stat).alias("stat"), *[getattr(F, c if c != "day" else "dayofmonth")(time).alias(c) for c in CLOCK]
@@ -135,6 +144,7 @@ def read_snapshots(
     Columns are matched by name against the statistic's schema; a column a file lacks is null. Listing is limited to
     the statistic (and the named hosts and databases), and the window prunes partitions before any file is opened.
     """
+    require_utc(spark)
     wanted = schema or STATS[stat].schema
     pattern = _pattern(root, stat, hosts, databases)
     if file_format == "csv":
@@ -195,8 +205,33 @@ def union_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def compact_snapshots(df: DataFrame, root: str, stat: str, mode: str = "append") -> None:
-    """Land rows by day, sorted by scope and entity, so that a reader skips row groups of other hosts."""
+def fold_duplicates(df: DataFrame, stat: str) -> DataFrame:
+    """One row per entity and snapshot: counters by the statistic's rule, gauges by their largest value, any value of
+    the other columns. Reports over folded rows need not fold again."""
+    spec = STATS[stat]
+    if spec.duplicates is None:
+        return df
+    rows = with_exec_time(df) if stat == "pg_stat_statements" else df
+    keys = [c for c in (*SCOPE, *spec.keys, TIME) if c in rows.columns]
+    fold = F.sum if spec.duplicates == "sum" else F.max
+    kinds = dict(rows.dtypes)
+
+    def folded(c: str) -> Column:
+        if c in spec.counters:
+            return fold(c).cast(kinds[c])
+        # The largest of a text is its one value that is not null, as in the name of a constraint.
+        return F.max(c)
+
+    return rows.groupBy(*keys).agg(*[folded(c).alias(c) for c in rows.columns if c not in keys])
+
+
+def compact_snapshots(df: DataFrame, root: str, stat: str, mode: str = "append", fold: bool = False) -> None:
+    """Land rows by day, sorted by scope and entity, so that a reader skips row groups of other hosts.
+
+    With ``fold`` duplicate rows are folded on the way, once, instead of in every report.
+    """
+    require_utc(df.sparkSession)
+    df = fold_duplicates(df, stat) if fold else df
     order = [c for c in (*SCOPE, *STATS[stat].keys, TIME) if c in df.columns]
     dated = df.select("*", F.lit(stat).alias("stat"), F.to_date(F.col(TIME).cast("timestamp")).alias("snapshot_date"))
     (
@@ -220,6 +255,7 @@ def read_compacted(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Rows of one statistic from the compacted layout."""
+    require_utc(spark)
     wanted = schema or STATS[stat].schema
     scope = [T.StructField(c, T.StringType()) for c in SCOPE]
     places = [T.StructField("stat", T.StringType()), T.StructField("snapshot_date", T.DateType())]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from snapdelta.operators import quality
 from snapdelta.sources import lake
-from snapdelta.sources.jdbc import endpoints, read_options
+from snapdelta.schema import STATS
+from snapdelta.sources.jdbc import EXTRACTS, build_stat, endpoints, read_options
 from snapdelta.sources.shared import shared_dir
 
 
@@ -150,3 +151,31 @@ def test_endpoints_and_options():
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_lake_needs_utc(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            lake.read_snapshots(spark, str(tmp_path), "version")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_extracts_become_statistics(spark):
+    frames = {
+        "counters": spark.sql("select 5L datid, 'old' datname, 1L blks_read, 2L blks_hit"),
+        "databases": spark.sql("select 5L oid, 'd' datname, 9L oldest_transaction_age, false standby"),
+    }
+    row = build_stat("pg_stat_database", frames, "d").first()
+    assert (row["datname"], row["blks_hit"], row["standby"]) == ("d", 2, False)
+    frames = {
+        "statements": spark.sql("select 1L userid, 5L dbid, 3L queryid, 'q' query, 2L calls, 1.5D total_exec_time"),
+        "users": spark.sql("select 1L usesysid, 'u' usename"),
+        "databases": spark.sql("select 5L oid, 'd' datname"),
+    }
+    assert build_stat("pg_stat_statements", frames, "d").first()["username"] == "u"
+    assert build_stat("version", {"extract": spark.sql("select 'PostgreSQL 14.2' as version")}, "d").first()["major_version"] == 14
+    with pytest.raises(ValueError):
+        build_stat("other", {}, "d")
+    assert set(EXTRACTS) == set(STATS)

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = {"lake_round_trip", "lake_time_window", "lake_csv_round_trip", "lake_compacted", "written_report"}
+WRITING = {"lake_round_trip", "lake_time_window", "lake_csv_round_trip", "lake_compacted", "lake_folded", "written_report"}
 STREAMING = {"stream_ingest", "stream_delta", "stream_wait_windows"}
 QUERIES = {n: q for n, q in contract.queries().items() if n not in WRITING | STREAMING}
 
