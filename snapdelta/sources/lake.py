@@ -30,6 +30,7 @@ PARTITIONS = (*SCOPE, "stat", *CLOCK)
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 UTC_NAMES = ("UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "Universal")
 ROWS_PER_CHUNK = 50_000
+MOST_ALTERNATIVES = 62
 
 _PARTITION_FIELDS = [T.StructField(c, T.StringType()) for c in (*SCOPE, "stat")] + [
     T.StructField(c, T.IntegerType()) for c in CLOCK
@@ -108,8 +109,23 @@ def _alternatives(names: Sequence[str] | None) -> str:
     return "*"
 
 
-def _pattern(root: str, stat: str, hosts, databases) -> str:
-    return f"{root}/host={_alternatives(hosts)}/database={_alternatives(databases)}/stat={stat}"
+def _clock_pattern(start: datetime | None, end: datetime | None) -> str:
+    """Path pattern for the days of a window, or its months when it is long; none when it is open or very long."""
+    if start is None or end is None or start > end:
+        return ""
+    first, last = as_utc(start).date(), as_utc(end).date()
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    parts = [f"year={d.year}/month={d.month}/day={d.day}" for d in days]
+    if len(parts) > MOST_ALTERNATIVES:
+        parts = list(dict.fromkeys(f"year={d.year}/month={d.month}" for d in days))
+    if len(parts) > MOST_ALTERNATIVES:
+        return ""
+    return "/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
+
+
+def _pattern(root: str, stat: str, hosts=None, databases=None, start=None, end=None) -> str:
+    scope = f"{root}/host={_alternatives(hosts)}/database={_alternatives(databases)}/stat={stat}"
+    return scope + _clock_pattern(start, end)
 
 
 def _in_scope(df: DataFrame, hosts, databases) -> DataFrame:
@@ -141,12 +157,13 @@ def read_snapshots(
 ) -> DataFrame:
     """Rows of one statistic in a window, over all hosts and databases unless some are named.
 
-    Columns are matched by name against the statistic's schema; a column a file lacks is null. Listing is limited to
-    the statistic (and the named hosts and databases), and the window prunes partitions before any file is opened.
+    Columns are matched by name against the statistic's schema; a column a file lacks is null. Only the folders of
+    the statistic, of the named hosts and databases and of the window's days (months, when it is long) are listed, and
+    the window prunes partitions by minute before any file is opened.
     """
     require_utc(spark)
     wanted = schema or STATS[stat].schema
-    pattern = _pattern(root, stat, hosts, databases)
+    pattern = _pattern(root, stat, hosts, databases, start, end)
     if file_format == "csv":
         files = _open(
             spark.read.format("binaryFile").option("basePath", root).schema(T.StructType(_FILE_FIELDS + _PARTITION_FIELDS)),

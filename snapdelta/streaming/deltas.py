@@ -19,6 +19,12 @@ from snapdelta.operators.delta import WEEK, _change, any_null, one_row_per_snaps
 from snapdelta.schema import TIME
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a table of this stream on whatever file system it is on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class DeltaStream:
     """Where a delta stream keeps its tables, and how it differences.
@@ -81,6 +87,9 @@ class DeltaStream:
         )
         newest.write.mode("overwrite").parquet(self._path("state", batch_id))
         batch.unpersist()
+        # A batch that runs again reads the state before it; anything older is of no more use.
+        if batch_id >= 2:
+            _remove(batch.sparkSession, self._path("state", batch_id - 2))
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:
         """Difference what has arrived and stop; run it on a schedule."""

@@ -25,7 +25,7 @@ def stream_snapshots(
     reader = spark.readStream.option("basePath", root)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    pattern = _pattern(root, stat, None, None)
+    pattern = _pattern(root, stat)
     if file_format == "csv":
         files = reader.format("binaryFile").schema(T.StructType(_FILE_FIELDS + _PARTITION_FIELDS)).load(pattern)
         return _parse_csv(files, wanted)

@@ -179,3 +179,12 @@ def test_extracts_become_statistics(spark):
     with pytest.raises(ValueError):
         build_stat("other", {}, "d")
     assert set(EXTRACTS) == set(STATS)
+
+
+def test_listing_is_limited_to_the_window():
+    pattern = lake._clock_pattern
+    assert pattern(None, datetime(2024, 1, 1)) == ""
+    assert pattern(datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 6)) == "/year=2024/month=1/day=1"
+    assert pattern(datetime(2024, 1, 31), datetime(2024, 2, 1)) == "/{year=2024/month=1/day=31,year=2024/month=2/day=1}"
+    assert pattern(datetime(2023, 12, 1), datetime(2024, 3, 1)).count("month=") == 4
+    assert pattern(datetime(2000, 1, 1), datetime(2024, 1, 1)) == ""
