@@ -153,31 +153,46 @@ def _last_minus_first(counter: str, kind: str, no_entity: str, time: str, may_be
     return F.expr(f"cast({chosen} as {kind}) as `increase_{counter}`")
 
 
-def _increase_over_gaps(
-    rows: DataFrame, counters: Sequence[str], carried: Sequence[str], keys: Sequence[str], time: str, slice_seconds: int
+def _increase_by_slices(
+    rows: DataFrame,
+    counters: Sequence[str],
+    keys: Sequence[str],
+    time: str,
+    slice_seconds: int,
+    on_reset: str = "raw",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Sum of deltas per entity: within each time slice, then over the seams between an entity's slices.
 
     The first step leaves one row per entity and slice in the partitioning of its own shuffle, so only those
-    summaries move again. Keys are not null here.
+    summaries move again. Keys must not be null; ``carried`` columns are constant per entity.
     """
     sliced = rows.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(slice_seconds)))
     before, seam = _window([*keys, _SLICE], time), _window(keys, _SLICE)
     inside = sliced.select(
-        "*", *[F.expr(_change(f"`{c}`", f"lag(`{c}`) over {before}")).alias(f"_in_{c}") for c in counters]
+        "*", *[F.expr(_change(f"`{c}`", f"lag(`{c}`) over {before}", on_reset)).alias(f"_in_{c}") for c in counters]
     )
     summaries = inside.groupBy(*keys, _SLICE).agg(
+        F.min(time).alias("_start"),
+        F.max(time).alias("_stop"),
         *[F.sum(f"_in_{c}").alias(f"_in_{c}") for c in counters],
         *[F.min_by(c, time).alias(f"_first_{c}") for c in counters],
         *[F.max_by(c, time).alias(f"_last_{c}") for c in counters],
         *[F.any_value(c).alias(c) for c in carried],
     )
-    over_seam = {c: _change(f"`_first_{c}`", f"lag(`_last_{c}`) over {seam}") for c in counters}
+    over_seam = {c: _change(f"`_first_{c}`", f"lag(`_last_{c}`) over {seam}", on_reset) for c in counters}
     joined = summaries.select(
-        *keys, *carried, *[F.expr(f"`_in_{c}` + {over_seam[c]}").alias(f"_sum_{c}") for c in counters]
+        *keys,
+        *carried,
+        "_start",
+        "_stop",
+        *[F.expr(f"`_in_{c}` + {over_seam[c]}").alias(f"_sum_{c}") for c in counters],
     )
+    span = epoch_seconds(F.max("_stop")) - epoch_seconds(F.min("_start"))
     return joined.groupBy(*keys).agg(
-        *[F.sum(f"_sum_{c}").alias(f"increase_{c}") for c in counters], *[F.any_value(c).alias(c) for c in carried]
+        *[F.sum(f"_sum_{c}").alias(f"increase_{c}") for c in counters],
+        *([] if "elapsed_seconds" in carried else [span.alias("elapsed_seconds")]),
+        *[F.any_value(c).alias(c) for c in carried],
     )
 
 
@@ -213,6 +228,15 @@ def counter_increase(
         df = one_row_per_snapshot(df, counters, keys, duplicates, time)
     types = dict(df.select(*counters).dtypes)
     if on_reset != "raw":
+        if not extra:
+            known = df.where(~any_null(keys)).select(*keys, time, *counters)
+            grown = _increase_by_slices(known, counters, keys, time, slice_seconds, on_reset)
+            hidden = df.where(any_null(keys)).select(*keys).distinct()
+            result = grown.unionByName(
+                hidden.select("*", *[F.lit(0).alias(f"increase_{c}") for c in counters], F.lit(0.0).alias("elapsed_seconds"))
+            )
+            increases = [F.col(f"increase_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters]
+            return result.select(*keys, *increases, "elapsed_seconds")
         deltas = counter_delta(df, counters, keys, time=time, on_reset=on_reset, slice_seconds=slice_seconds)
         return deltas.groupBy(*keys).agg(
             *[F.sum(f"delta_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters], _elapsed(keys, time), *extra
@@ -237,6 +261,6 @@ def counter_increase(
     open_entities = ends.where(gappy).drop(*corrected_names).withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     rows_again = df.select(*keys, time, *nullable).join(open_entities, same, "inner")
-    corrected = _increase_over_gaps(rows_again, nullable, carried, keys, time, slice_seconds)
+    corrected = _increase_by_slices(rows_again, nullable, keys, time, slice_seconds, carried=carried)
     kinds = dict(ends.dtypes)
     return ends.where(~gappy).unionByName(corrected.select(*[F.col(c).cast(kinds[c]).alias(c) for c in ends.columns]))

@@ -62,6 +62,15 @@ def test_increase(timelines, policy, place, slice_seconds):
     assert got == {**{case: expected[place] for case, expected in CASES.items()}, None: 0}
 
 
+def test_increase_with_other_aggregates(timelines):
+    for policy, place in (("raw", 2), ("restart", 4)):
+        rows = counter_increase(
+            timelines, ["x"], ["k"], on_reset=policy, aggregates=[F.max("x").alias("top")], slice_seconds=3600
+        ).collect()
+        got = {r["k"]: (r["increase_x"], r["top"]) for r in rows}
+        assert got["reset"] == (CASES["reset"][place], 20) and got[None] == (0, 5)
+
+
 def test_settled_increase_matches(timelines, tmp_path):
     from snapdelta.sources.shared import settle
 
@@ -96,8 +105,9 @@ def test_elapsed(timelines):
     spans = {
         r["k"]: r["s"] for r in elapsed_delta(timelines, ["k"]).groupBy("k").agg(F.sum("delta_seconds").alias("s")).collect()
     }
-    totals = {r["k"]: r["elapsed_seconds"] for r in counter_increase(timelines, ["x"], ["k"]).collect()}
-    assert spans == totals
+    for policy in ("raw", "zero"):
+        grown = counter_increase(timelines, ["x"], ["k"], on_reset=policy).collect()
+        assert spans == {r["k"]: r["elapsed_seconds"] for r in grown}
     assert spans["gap"] == 7200 and spans[None] == 0
 
 
