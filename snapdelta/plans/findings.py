@@ -19,11 +19,15 @@ def finding(where: DataFrame, category: str, recommendation: str, scope: Sequenc
     return where.select(*scope, F.lit(category).alias("category"), F.lit(recommendation).alias("recommendation"))
 
 
+def _keys(hosts: DataFrame, scope: Sequence[str]) -> list[str]:
+    return [c for c in scope if c in hosts.columns]
+
+
 def on_hosts(df: DataFrame, hosts: DataFrame | None, scope: Sequence[str] = SCOPE) -> DataFrame:
-    """Rows of the named hosts; all rows when ``hosts`` is unset."""
-    return df if hosts is None else df.join(hosts.select(*scope).distinct(), list(scope), "left_semi")
+    """Rows of the named hosts (by the scope columns ``hosts`` has); all rows when it is unset."""
+    return df if hosts is None else df.join(hosts, _keys(hosts, scope), "left_semi")
 
 
 def off_hosts(df: DataFrame, hosts: DataFrame | None, scope: Sequence[str] = SCOPE) -> DataFrame:
     """Rows of all other hosts; all rows when ``hosts`` is unset."""
-    return df if hosts is None else df.join(hosts.select(*scope).distinct(), list(scope), "left_anti")
+    return df if hosts is None else df.join(hosts, _keys(hosts, scope), "left_anti")

@@ -236,8 +236,7 @@ _QUERIES |= {
 @query
 def database_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     io = databases.database_io(databases.database_increase(view(spark, sf_dir, "fx_database")))
-    aurora = databases.aurora_hosts(view(spark, sf_dir, "fx_version").drop("database").join(io.select(*SCOPE), "host"))
-    return databases.database_findings(io, aurora)
+    return databases.database_findings(io, databases.aurora_hosts(view(spark, sf_dir, "fx_version"), ["host"]))
 
 
 @query
