@@ -38,7 +38,7 @@ def test_all_results_are_written(written):
 
 
 def test_written_equals_lazy(spark, frames, written):
-    lazy = report.build_report(frames, limit=5, digest_text=False)
+    lazy = report.build_report(frames, limit=5, digest_text=True)
     for name in ("sql_r_io_stats", "table_heap_reads", "vacuum_stats", "index_usage", "bgwriter_stats", "remainder_io"):
         got = spark.read.parquet(written[name])
         assert sorted(got.columns) == sorted(lazy[name].columns)
