@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from snapdelta.schema import SCOPE, STATS, TIME
-from snapdelta.sources.lake import _FILE_FIELDS, _PARTITION_FIELDS, _parse_csv, _pattern
+from snapdelta.sources.lake import _FILE_FIELDS, _PARTITION_FIELDS, _parse_csv, _pattern, require_utc
 
 
 def stream_snapshots(
@@ -21,6 +21,7 @@ def stream_snapshots(
     max_files: int | None = None,
 ) -> DataFrame:
     """A stream of one statistic's rows from the lake; every file is read once."""
+    require_utc(spark)
     wanted = schema or STATS[stat].schema
     reader = spark.readStream.option("basePath", root)
     if max_files:
