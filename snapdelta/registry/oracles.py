@@ -268,10 +268,12 @@ select * from (select {HD}, index_name, {metric}, hit_ratio, {_text(metric)} ind
 
 _DROPPABLE = "indkey <> '0' and conname is null and not indisunique and schemaname not in ('pg_catalog', 'pg_toast')"
 _UNUSED = f"""u as (
-  select distinct {HD}, concat(schemaname, '.', relname) table_name, concat(schemaname, '.', relname, '.', indexrelname) index_name
+  select distinct {HD}, concat(schemaname, '.', relname) table_name,
+    concat(schemaname, '.', relname, '.', indexrelname) index_name
   from fx_indexes where {_DROPPABLE} and idx_scan = 0)"""
 _NEVER_USED = f"""u as (
-  select {HD}, concat(schemaname, '.', relname) table_name, concat(schemaname, '.', relname, '.', indexrelname) index_name
+  select {HD}, concat(schemaname, '.', relname) table_name,
+    concat(schemaname, '.', relname, '.', indexrelname) index_name
   from fx_indexes where {_DROPPABLE} group by 1, 2, 3, 4 having max(idx_scan) = 0)"""
 _UNUSED_LIST = """select * from (select host, database, table_name, index_name,
   cast(row_number() over (partition by host, database order by table_name, index_name) as integer) rank from u)
@@ -293,7 +295,8 @@ select * from (select *, cast(row_number() over (partition by host, database ord
 select distinct {HD}, 'index' category,
   'There are unused indexes; dropping them saves the I/O of keeping them up to date.' recommendation from u
 union all
-select distinct {HD}, 'index', 'Some indexes have a low cache-hit ratio; see the index I/O lists.' from b where hit_ratio < 99""",
+select distinct {HD}, 'index', 'Some indexes have a low cache-hit ratio; see the index I/O lists.' from b
+where hit_ratio < 99""",
     }
 
 
@@ -348,7 +351,8 @@ def _other_sql() -> dict[str, str]:
 select {HD}, count(distinct snapshot_time) total_snapshots, min(snapshot_time) first_snapshot,
   max(snapshot_time) last_snapshot from fx_database group by {HD}""",
         "cluster_versions": f"""{_with("fx_version")}
-select distinct {HD}, concat(split_part(version, ' ', 1), ' ', split_part(version, ' ', 2)) as version, aurora_version from fx_version""",
+select distinct {HD}, concat(split_part(version, ' ', 1), ' ', split_part(version, ' ', 2)) as version, aurora_version
+from fx_version""",
         "database_io": f"{_database_cte(HD)} select * from r where {fleet}",
         "database_io_named": f"{_database_cte('')} select * from r where {named}",
         "remainder_io": f"{_database_cte(HD)} select * from r where not ({fleet})",
@@ -373,7 +377,8 @@ select * from s qualify count(*) over (partition by {HD}, name) > 1""",
 select {HD}, name, snapshot_time change_time, setting from {_changes("fx_settings", HD + ", name", "setting")}""",
         "bgwriter_summary": f"{_bgwriter_cte()} select * from b",
         "bgwriter_findings": f"""{_bgwriter_cte()}, {_with("fx_version").removeprefix("with ")}
-select {HD}, 'bgwriter' category, 'Fewer than 90% of the checkpoints are timed; review max_wal_size and checkpoint_timeout to avoid extra I/O.' recommendation
+select {HD}, 'bgwriter' category,
+  'Fewer than 90% of the checkpoints are timed; review max_wal_size and checkpoint_timeout to avoid extra I/O.' recommendation
 from b where timed_percent < 90 and host not in (select host from fx_version where aurora_version is not null)""",
         "guard_snapshot_count": f"""{_with("fx_database")}
 select {HD}, count(distinct snapshot_time) snapshots, count(distinct snapshot_time) >= 2 ok from fx_database group by {HD}""",
@@ -398,7 +403,9 @@ where snapshot_time between timestamp '2024-01-05' and timestamp '2024-01-20'"""
 
 def _catalog_sql() -> dict[str, str]:
     tag = "'1.2' capture_version"
-    statement = f"""select s.snapshot_time, usename username, userid, queryid, shared_blks_read, calls, total_exec_time, query, {tag}"""
+    statement = (
+        "select s.snapshot_time, usename username, userid, queryid, shared_blks_read, calls, total_exec_time, query, " + tag
+    )
     return {
         "catalog_database_stats": f"""{_with("raw_stat_database", "raw_databases")}
 select snapshot_time, datid, blks_read, blks_hit, datname, oldest_transaction_age, standby, {tag}

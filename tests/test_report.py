@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from snapdelta.operators import quality
 from snapdelta.plans import databases, indexes, report, statements, tables
 from snapdelta.registry.fixtures import view
+from snapdelta.sources import lake
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -125,3 +126,36 @@ def test_guards(spark):
     versions = spark.createDataFrame([("PostgreSQL 12.1 on a",), ("PostgreSQL 13.1 on a",)], "version string")
     with pytest.raises(quality.DataQualityError):
         quality.require_ok(quality.one_engine(versions), "mixed servers")
+
+
+def test_report_from_a_csv_lake(spark, frames, tmp_path):
+    """A lake of gzipped CSV files gives the results its rows give, for every statistic that is in it."""
+    names = ("pg_stat_bgwriter", "pg_settings", "version")
+    small = {name: frames[name].where("year(snapshot_time) <= 1995 or year(snapshot_time) >= 2024") for name in names}
+    for name, df in small.items():
+        lake.write_snapshots(df, str(tmp_path), name, file_format="csv")
+    loaded = lake.load_stats(spark, str(tmp_path), file_format="csv")
+    assert set(loaded) == set(names)
+    got, expected = report.build_report(loaded), report.build_report(small)
+    assert set(got) == set(expected)
+    for name, df in expected.items():
+        columns = [c for c in df.columns if c in got[name].columns]
+        left, right = got[name].select(*columns).collect(), df.select(*columns).collect()
+        assert sorted(map(repr, left)) == sorted(map(repr, right))
+        assert right or name.endswith("findings")
+
+
+def test_scopes_do_not_mix(spark):
+    """The same statement on two hosts and in two databases stays four entities."""
+    rows = [
+        (host, database, datetime(2024, 1, 1, hour), "u", 1, "q", base + hour * step)
+        for host, database, base, step in (("a", "x", 0, 1), ("a", "y", 100, 2), ("b", "x", 200, 3), ("b", "y", 300, 4))
+        for hour in range(3)
+    ]
+    schema = "host string, database string, snapshot_time timestamp, username string, queryid bigint, query string, n bigint"
+    df = spark.createDataFrame(rows, schema)
+    filled = df.select("*", *[F.col("n").alias(c) for c in statements.NEEDED]).drop("n")
+    base = {(r["host"], r["database"]): r["calls"] for r in statements.statement_base(filled).collect()}
+    assert base == {("a", "x"): 2, ("a", "y"): 4, ("b", "x"): 6, ("b", "y"): 8}
+    assert {r["rank"] for r in statements.top_reads(statements.statement_base(filled), 1).collect()} == {1}
+    assert statements.top_reads(statements.statement_base(filled), 1).count() == 4
