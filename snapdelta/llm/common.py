@@ -96,7 +96,7 @@ def with_matches(df: DataFrame, kinds: dict[str, tuple[Column, str]], text: str,
         none = F.lit("")
         spans = F.transform(
             found,
-            lambda m, i, gaps=gaps, at=at: F.struct(
+            lambda m, i: F.struct(
                 at[2 * i + 1].alias("start"),
                 at[2 * i + 2].alias("end"),
                 m.alias("match"),

@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from snapdelta.llm import oracles
 from snapdelta.llm.common import table
+from snapdelta.llm.decontaminate import contamination
+from snapdelta.llm.jaccard_join import jaccard_groups
+from snapdelta.llm.pii import KINDS, all_span_texts, personal_data
 from snapdelta.llm.quality_rules import quality_rules
+from snapdelta.llm.secrets import secret_spans
+from snapdelta.llm.url_filters import url_filter
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +29,55 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    fixed, more = all_span_texts()
+    texts = found.withColumn("_fixed", fixed).withColumn("_more", more)
+    return texts.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(F.concat_ws(",", "_fixed"), 256).alias("base_sha256"),
+        F.concat_ws(",", F.concat("_fixed", "_more")).alias("spans"),
+        F.size("context").cast("long").alias("n_context"),
+    )
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    base = F.filter("secrets", lambda s: s["order"] < 3)
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("secrets")).alias("spans"),
+    )
+
+
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, percent=90)
+    return grouped.select("doc_id", "n_shingles", "component_id")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 
