@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from snapdelta.llm import oracles
 from snapdelta.llm.common import table
 from snapdelta.llm.decontaminate import contamination
+from snapdelta.llm.html_text import extract_text
 from snapdelta.llm.jaccard_join import jaccard_groups
+from snapdelta.llm.mixing import mix_sources
 from snapdelta.llm.pii import KINDS, all_span_texts, personal_data
+from snapdelta.llm.quality_classifier import KEEP_FROM, held_out, score_texts, train
 from snapdelta.llm.quality_rules import quality_rules
 from snapdelta.llm.secrets import secret_spans
+from snapdelta.llm.token_counts import length_histogram, read_vocabulary
 from snapdelta.llm.url_filters import url_filter
 
 
@@ -47,6 +51,14 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted")
+    )
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
@@ -60,6 +72,19 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(table(spark, sf_dir, "documents").select("text"), read_vocabulary())
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, percent=90)
     return grouped.select("doc_id", "n_shingles", "component_id")
