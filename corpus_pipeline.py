@@ -1,17 +1,59 @@
-"""Corpus preparation in stages; each calls one operator of ``snapdelta.llm``."""
+"""Corpus preparation in stages; each calls one operator of ``snapdelta.llm`` on all that the stage before kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapdelta.llm.common import kept, table
+from snapdelta.llm.decontaminate import drop_contaminated
+from snapdelta.llm.jaccard_join import one_per_group
+from snapdelta.llm.mixing import mix_sources
+from snapdelta.llm.quality_classifier import KEEP_FROM, score_texts, train
+from snapdelta.llm.secrets import redact_secrets
 
-STAGES: list = []
-#: SQL can express neither the trained classifier nor seeded block selection; tests compare with a brute-force version.
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the classifier rejects go."""
+    scored = score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.where(F.col("score") >= KEEP_FROM).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
+    return one_per_group(docs, k=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that hold a passage of the benchmark go."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked; the documents stay."""
+    masked = redact_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document: size and taken words, and its source's size and target."""
+    mixed = mix_sources(docs.select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("near copies", near_copies),
+    ("decontamination", decontamination),
+    ("secret scans", secret_scans),
+    ("source mixing", source_mixing),
+]
+#: SQL can express neither the trained classifier nor seeded block selection; a test compares with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is a table that the next stage reads."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
