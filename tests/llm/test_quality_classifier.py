@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from snapdelta.llm import quality_classifier as qc
 
@@ -26,7 +27,7 @@ def test_held_out_accuracy(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, quality int, toxic int")
     model = qc.train(docs, labels)
-    out = {r.doc_id: r for r in qc.score_texts(docs, model).withColumn("held", qc.held_out(docs.doc_id)).collect()}
+    out = {r.doc_id: r for r in qc.score_texts(docs, model).withColumn("held", qc.held_out(F.col("doc_id"))).collect()}
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert {r[0] for r in held} == {i for i, r in out.items() if r.held} and len(held) > 80
     assert sum((out[i].score >= 0.5) == bool(q) for i, _, q in held) >= 0.97 * len(held)
