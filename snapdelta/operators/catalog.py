@@ -89,7 +89,7 @@ def statement_stats(
     The connected database is ``current_database``, or the ``database`` column of the rows when unset; the latter
     needs the id of every database in ``databases``, joined like the users.
     """
-    profile = SPLIT_STATEMENT_COLUMNS if "total_exec_time" in statements.columns else EARLIER_STATEMENT_COLUMNS
+    profile = statement_columns(statements.columns)
     names = _with_renamed(users, {"usesysid": "userid", "usename": "username"})
     joined = statements.where(F.col("calls") > 0).join(
         names.select(*[c for c in capture if c in names.columns], "userid", "username"),
@@ -102,8 +102,13 @@ def statement_stats(
         ids = _with_renamed(databases, {"oid": "dbid", "datname": "database"})
         keys = [c for c in capture if c in ids.columns and c != "database"]
         joined = joined.join(ids.select(*keys, "dbid", "database"), [*keys, "dbid", "database"], "inner")
-    kept = [c for c in profile if c in joined.columns]
-    return _tagged(joined.select(*capture, "username", "userid", "queryid", *kept, "query"))
+    return _tagged(joined.select(*capture, "username", "userid", "queryid", *profile, "query"))
+
+
+def statement_columns(present: Sequence[str]) -> list[str]:
+    """The counters among the columns present, of either profile: extracts of servers before and after the split of
+    execution times can share one frame, where each row fills its own profile's columns."""
+    return [c for c in dict.fromkeys([*SPLIT_STATEMENT_COLUMNS, *EARLIER_STATEMENT_COLUMNS]) if c in present]
 
 
 def table_stats(io: DataFrame, activity: DataFrame, capture: Sequence[str] = ()) -> DataFrame:

@@ -47,13 +47,14 @@ def previous_row(
     columns: Sequence[str],
     keys: Sequence[str],
     time: str = TIME,
-    slice_seconds: int | None = WEEK,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Add ``prev_<column>`` and ``has_prev`` from the entity's row before this one.
 
-    A long timeline is cut into time slices, so no task has to sort the whole history of a busy entity: each slice
-    receives the last row of the entity's slice before it. Rows with a null key have no row before them; they are
-    spread over tasks because they would otherwise form one group.
+    An entity has one row per snapshot, so by default its timeline is one window: one scan, one shuffle. Where single
+    entities have far more rows, ``slice_seconds`` cuts timelines into slices, each of which receives the last row of
+    the slice before it; that reads the source twice. Rows with a null key have no row before them; they are spread
+    over tasks because they would otherwise form one group.
     """
     columns = list(dict.fromkeys(columns))
     no_entity = any_null(keys)
@@ -101,7 +102,7 @@ def counter_delta(
     time: str = TIME,
     on_reset: str = "raw",
     duplicates: str | None = None,
-    slice_seconds: int | None = WEEK,
+    slice_seconds: int | None = None,
     keep_previous: bool = False,
 ) -> DataFrame:
     """Add ``delta_<counter>``: the value minus the value in the entity's previous snapshot.
@@ -124,7 +125,7 @@ def counter_delta(
 
 
 def elapsed_delta(
-    df: DataFrame, keys: Sequence[str], *, time: str = TIME, slice_seconds: int | None = WEEK
+    df: DataFrame, keys: Sequence[str], *, time: str = TIME, slice_seconds: int | None = None
 ) -> DataFrame:
     """Add ``delta_seconds``: seconds since the entity's previous snapshot."""
     looked_back = previous_row(df, [time], keys, time, slice_seconds)
@@ -161,18 +162,30 @@ def _increase_by_slices(
     slice_seconds: int,
     on_reset: str = "raw",
     carried: Sequence[str] = (),
+    duplicates: str | None = None,
 ) -> DataFrame:
     """Sum of deltas per entity: within each time slice, then over the seams between an entity's slices.
 
-    The first step leaves one row per entity and slice in the partitioning of its own shuffle, so only those
-    summaries move again. Keys must not be null; ``carried`` columns are constant per entity.
+    Rows move once, by entity and slice; duplicates are folded, differences taken and slices summed up where they then
+    lie, and only those summaries move again. Rows with a null key are spread and add nothing; ``carried`` columns are
+    constant per entity.
     """
-    sliced = rows.withColumn(_SLICE, F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(slice_seconds)))
-    before, seam = _window([*keys, _SLICE], time), _window(keys, _SLICE)
+    slices = F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(slice_seconds))
+    spread = F.when(any_null(keys), F.pmod(F.xxhash64(time, *keys), F.lit(NULL_KEY_SPREAD)))
+    groups = [*keys, _SLICE, _SPREAD]
+    sliced = rows.withColumn(_SLICE, slices).withColumn(_SPREAD, spread)
+    if duplicates:
+        # The exchange is by entity and slice; it also serves the fold per snapshot, which cannot combine much before it.
+        sliced = one_row_per_snapshot(sliced.repartition(*groups), counters, groups, duplicates, time)
+    before, seam = _window(groups, time), _window(keys, _SLICE)
+
+    def change(value: str, previous: str) -> str:
+        return f"case when {_SPREAD} is null then {_change(value, previous, on_reset)} else 0 end"
+
     inside = sliced.select(
-        "*", *[F.expr(_change(f"`{c}`", f"lag(`{c}`) over {before}", on_reset)).alias(f"_in_{c}") for c in counters]
+        "*", *[F.expr(change(f"`{c}`", f"lag(`{c}`) over {before}")).alias(f"_in_{c}") for c in counters]
     )
-    summaries = inside.groupBy(*keys, _SLICE).agg(
+    summaries = inside.groupBy(*groups).agg(
         F.min(time).alias("_start"),
         F.max(time).alias("_stop"),
         *[F.sum(f"_in_{c}").alias(f"_in_{c}") for c in counters],
@@ -180,7 +193,7 @@ def _increase_by_slices(
         *[F.max_by(c, time).alias(f"_last_{c}") for c in counters],
         *[F.any_value(c).alias(c) for c in carried],
     )
-    over_seam = {c: _change(f"`_first_{c}`", f"lag(`_last_{c}`) over {seam}", on_reset) for c in counters}
+    over_seam = {c: change(f"`_first_{c}`", f"lag(`_last_{c}`) over {seam}") for c in counters}
     joined = summaries.select(
         *keys,
         *carried,
@@ -189,6 +202,7 @@ def _increase_by_slices(
         *[F.expr(f"`_in_{c}` + {over_seam[c]}").alias(f"_sum_{c}") for c in counters],
     )
     span = epoch_seconds(F.max("_stop")) - epoch_seconds(F.min("_start"))
+    span = F.when(any_null(keys), F.lit(0.0)).otherwise(span)
     return joined.groupBy(*keys).agg(
         *[F.sum(f"_sum_{c}").alias(f"increase_{c}") for c in counters],
         *([] if "elapsed_seconds" in carried else [span.alias("elapsed_seconds")]),
@@ -219,24 +233,22 @@ def counter_increase(
     Nulls before the first or after the last value of an entity are settled in the same pass. An entity whose nulls
     lie between its values is summed from its deltas in a second pass over those entities (``gaps='resolve'``), or
     fails the job (``gaps='fail'``, for sources that cannot have them). ``settle`` writes the aggregate out and
-    returns it read back; the second pass is then left out at run time when no entity needs it.
+    returns it read back; the second pass is then left out at run time when no entity needs it. ``gaps='lag'`` takes
+    every difference in the first place: rows move once whether there are gaps or not, which is the better way where
+    duplicates have to be folded by snapshot anyway, and the only one under other reset policies.
     """
-    if gaps not in ("resolve", "fail"):
+    if gaps not in ("resolve", "fail", "lag"):
         raise ValueError(f"unknown gap rule {gaps!r}")
     counters, extra = list(dict.fromkeys(counters)), list(aggregates)
+    types = dict(df.select(*counters).dtypes)
+    if not extra and (on_reset != "raw" or gaps == "lag"):
+        rows = df.select(*keys, time, *counters)
+        grown = _increase_by_slices(rows, counters, keys, time, slice_seconds, on_reset, duplicates=duplicates)
+        increases = [F.col(f"increase_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters]
+        return grown.select(*keys, *increases, "elapsed_seconds")
     if duplicates:
         df = one_row_per_snapshot(df, counters, keys, duplicates, time)
-    types = dict(df.select(*counters).dtypes)
     if on_reset != "raw":
-        if not extra:
-            known = df.where(~any_null(keys)).select(*keys, time, *counters)
-            grown = _increase_by_slices(known, counters, keys, time, slice_seconds, on_reset)
-            hidden = df.where(any_null(keys)).select(*keys).distinct()
-            result = grown.unionByName(
-                hidden.select("*", *[F.lit(0).alias(f"increase_{c}") for c in counters], F.lit(0.0).alias("elapsed_seconds"))
-            )
-            increases = [F.col(f"increase_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters]
-            return result.select(*keys, *increases, "elapsed_seconds")
         deltas = counter_delta(df, counters, keys, time=time, on_reset=on_reset, slice_seconds=slice_seconds)
         return deltas.groupBy(*keys).agg(
             *[F.sum(f"delta_{c}").cast(types[c]).alias(f"increase_{c}") for c in counters], _elapsed(keys, time), *extra

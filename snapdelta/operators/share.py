@@ -1,21 +1,23 @@
-"""Totals per host and database, joined back to the entities they are shared by."""
+"""Totals per host and database beside the entities they are shared by."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_totals(df: DataFrame, totals: Sequence[Column], scope: Sequence[str]) -> DataFrame:
-    """Add aggregate columns of the whole ``scope`` group to each of its rows.
+def with_totals(df: DataFrame, totals: Mapping[str, Column], scope: Sequence[str]) -> DataFrame:
+    """Add aggregates of the whole ``scope`` group to each of its rows, by name.
 
-    The totals are an aggregate joined on the scope, not a window: a window would bring a whole group to one task.
-    Without a scope the totals are one scalar subquery, so there is no join at all.
+    ``df`` has one row per entity, so a group is the catalog of one database and fits a window; its rows are computed
+    once, and a null in the scope is a group like others. Without a scope everything would be one group: there the
+    totals are one scalar subquery, which combines before it shuffles.
     """
     if scope:
-        return df.join(df.groupBy(*scope).agg(*totals), list(scope), "inner")
-    summed = df.agg(*totals)
+        group = Window.partitionBy(*scope)
+        return df.select("*", *[total.over(group).alias(name) for name, total in totals.items()])
+    summed = df.agg(*[total.alias(name) for name, total in totals.items()])
     row = summed.select(F.struct(*summed.columns)).scalar().alias("_totals")
     return df.select("*", row).select("*", "_totals.*").drop("_totals")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import whole_seconds
-from snapdelta.operators.delta import WEEK, previous_row
+from snapdelta.operators.delta import previous_row
 from snapdelta.schema import TIME
 
 
@@ -19,7 +19,7 @@ def change_points(
     keys: Sequence[str],
     *,
     time: str = TIME,
-    slice_seconds: int | None = WEEK,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Rows at which an entity's values differ from its row before, its first row included. A return to an earlier
     value is a change; null counts as a value. (key, time) must be unique."""

@@ -24,7 +24,7 @@ def bgwriter_summary(
     bgwriter: DataFrame, *, scope: Sequence[str] = SCOPE, block_size: int = BLOCK_SIZE, **increase_options
 ) -> DataFrame:
     """Checkpoints and bytes written per scope, summed over the stretches between statistics resets."""
-    increase_options.setdefault("nullable", ())
+    increase_options.setdefault("gaps", "lag")
     by_reset = counter_increase(bgwriter, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
     total = by_reset.groupBy(*scope).agg(
         F.max("stats_reset").alias("last_reset"),

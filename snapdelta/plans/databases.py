@@ -69,7 +69,7 @@ def database_increase(
     databases: DataFrame, *, scope: Sequence[str] = SCOPE, block_size: int = BLOCK_SIZE, **increase_options
 ) -> DataFrame:
     """I/O per database with its share of all reads of the scope (shared objects count in the total)."""
-    increase_options.setdefault("nullable", ())
+    increase_options.setdefault("gaps", "lag")
     grown = counter_increase(databases, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
     sized = grown.select(
         *scope,
@@ -79,7 +79,7 @@ def database_increase(
         blocks_to_bytes("increase_blks_read", block_size).alias("read_bytes"),
         blocks_to_bytes("increase_blks_hit", block_size).alias("hit_bytes"),
     )
-    shared = with_totals(sized, [F.sum("read_bytes").alias("_read")], scope)
+    shared = with_totals(sized, {"_read": F.sum("read_bytes")}, scope)
     return shared.where(F.col("datid") != SHARED_OBJECTS).select(
         *sized.columns,
         human_bytes("read_bytes").alias("read_text"),
@@ -88,7 +88,9 @@ def database_increase(
     )
 
 
-def _current(database: str | None) -> Column:
+def _current(database: str | None, scope: Sequence[str] = SCOPE) -> Column:
+    if database is None and "database" not in scope:
+        raise ValueError("name the current database: the scope has no database column")
     return F.col("datname") == (F.lit(database) if database is not None else F.col("database"))
 
 
@@ -99,12 +101,12 @@ def _by_share(df: DataFrame, scope: Sequence[str]) -> DataFrame:
 
 def database_io(increase: DataFrame, database: str | None = None, scope: Sequence[str] = SCOPE) -> DataFrame:
     """The database the capture was connected to (the ``database`` column unless one is named)."""
-    return _by_share(increase.where(_current(database)), scope)
+    return _by_share(increase.where(_current(database, scope)), scope)
 
 
 def remainder_io(increase: DataFrame, database: str | None = None, scope: Sequence[str] = SCOPE) -> DataFrame:
     """The other databases of the server, by their share of reads."""
-    return _by_share(increase.where(~_current(database)), scope)
+    return _by_share(increase.where(~_current(database, scope)), scope)
 
 
 def database_findings(

@@ -28,7 +28,7 @@ def index_base(
     **increase_options,
 ) -> DataFrame:
     """One row per index that moved any block."""
-    increase_options.setdefault("nullable", ())
+    increase_options.setdefault("gaps", "lag" if duplicates else "resolve")
     grown = counter_increase(
         indexes, SPEC.counters, [*scope, *SPEC.keys], duplicates=duplicates, **increase_options
     )

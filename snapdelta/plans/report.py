@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.operators import quality
-from snapdelta.operators.topk import DEFAULT_LIMIT
+from snapdelta.operators.topk import DEFAULT_LIMIT, TOP_FINDINGS, UNUSED_INDEX_LIST
 from snapdelta.plans import bgwriter, databases, indexes, sessions, settings, statements, tables
 from snapdelta.schema import SCOPE
-from snapdelta.sources.shared import settle, shared_dir
+from snapdelta.sources.shared import remove, settle, shared_dir
 
 # The results of a report.
 RESULTS = (
@@ -34,7 +34,10 @@ def build_report(
     frames: dict[str, DataFrame],
     *,
     limit: int = DEFAULT_LIMIT,
+    findings_limit: int = TOP_FINDINGS,
+    unused_limit: int = UNUSED_INDEX_LIST,
     scope: Sequence[str] = SCOPE,
+    database: str | None = None,
     on_reset: str = "raw",
     unused: str = "any",
     digest_text: bool = False,
@@ -45,7 +48,9 @@ def build_report(
 
     Frames are lazy. ``keep(frame, name)`` is applied to what several results share and to aggregates that may need
     a second pass; ``write_report`` passes one that writes them out, so that each is computed once. ``folded`` says
-    that the frames hold one row per entity and snapshot, as folded compaction leaves them.
+    that the frames hold one row per entity and snapshot, as folded compaction leaves them. ``database`` names the
+    current database, which a scope without a database column needs; ``limit``, ``findings_limit`` and ``unused_limit``
+    are the sizes of the top lists, of the statements among the findings and of the list of unused indexes.
     """
     results: dict[str, DataFrame] = {}
 
@@ -63,12 +68,12 @@ def build_report(
     if "pg_stat_database" in frames:
         rows = frames["pg_stat_database"]
         io = keep(databases.database_increase(rows, scope=scope, **increase("database")), "database_io")
-        current = databases.database_io(io, scope=scope)
+        current = databases.database_io(io, database, scope)
         results |= {
             "snapshot_details": databases.snapshot_summary(rows, scope),
             "database_role_timeline": databases.role_change_points(rows, scope),
             "database_io": current,
-            "remainder_io": databases.remainder_io(io, scope=scope),
+            "remainder_io": databases.remainder_io(io, database, scope),
             "snapshot_details_findings": databases.database_findings(
                 current, aurora if aurora is not None else current.where(F.lit(False)), scope
             ),
@@ -96,7 +101,7 @@ def build_report(
             "sql_tr_stats": statements.top_temp_reads(base, limit, scope),
             "sql_tw_stats": statements.top_temp_writes(base, limit, scope),
             "sql_stats_wg": statements.top_wal(base, limit, scope),
-            "findings_top_io_sql": statements.top_io_findings(base, scope=scope),
+            "findings_top_io_sql": statements.top_io_findings(base, findings_limit, scope),
         }
 
     if "pg_stat_bgwriter" in frames:
@@ -113,7 +118,7 @@ def build_report(
             "index_reads": indexes.top_indexes(base, "read", limit, scope),
             "index_hits": indexes.top_indexes(base, "hit", limit, scope),
             "index_usage": indexes.unused_index_tables(idle, limit, scope),
-            "index_usage_2": indexes.unused_index_list(idle, scope=scope),
+            "index_usage_2": indexes.unused_index_list(idle, unused_limit, scope),
             "index_stats_findings": indexes.index_findings(base, idle, scope),
         }
 
@@ -132,41 +137,72 @@ def build_report(
     return {name: results[name] for name in RESULTS if name in results}
 
 
-def report_status(frames: dict[str, DataFrame], scope: Sequence[str] = SCOPE) -> DataFrame:
-    """Per host and database: are there enough snapshots, and did the database's counters run through."""
+def report_status(
+    frames: dict[str, DataFrame], scope: Sequence[str] = SCOPE, database: str | None = None
+) -> DataFrame:
+    """Per scope: are there enough snapshots, did the database's counters run through, is there one engine and version."""
     rows = frames["pg_stat_database"]
     counted = quality.snapshot_count(rows, scope=scope).withColumnRenamed("ok", "enough_snapshots")
-    resets = quality.database_stats_reset(rows, scope=scope).withColumnRenamed("ok", "_ran_through")
-    joined = counted.join(resets, list(scope), "left")
+    resets = quality.database_stats_reset(rows, scope=scope, database=database).withColumnRenamed("ok", "_ran_through")
+    joined = _beside(counted, resets, scope)
+    if "version" in frames:
+        engines = quality.one_engine(frames["version"], scope=scope).select(*scope, F.col("ok").alias("_one_engine"))
+        joined = _beside(joined, engines, scope)
+    else:
+        joined = joined.withColumn("_one_engine", F.lit(None).cast("boolean"))
     return joined.select(
         *scope,
         "snapshots",
         "enough_snapshots",
         F.coalesce("resets", F.lit(0)).alias("resets"),
         F.coalesce("_ran_through", F.lit(True)).alias("not_reset"),
+        F.coalesce("_one_engine", F.lit(True)).alias("one_engine"),
     )
 
 
+def _beside(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Left join on the scope, null-safe; without a scope both sides are one row."""
+    named = right.select(*[F.col(c).alias(f"_of_{c}") for c in scope], *[c for c in right.columns if c not in scope])
+    same = F.lit(True)
+    for c in scope:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return left.join(named, same, "left").drop(*[f"_of_{c}" for c in scope])
+
+
 def write_report(
-    frames: dict[str, DataFrame], out: str, *, strict: bool = False, mode: str = "overwrite", **options
+    frames: dict[str, DataFrame],
+    out: str,
+    *,
+    strict: bool = False,
+    mode: str = "overwrite",
+    scope: Sequence[str] = SCOPE,
+    database: str | None = None,
+    **options,
 ) -> dict[str, str]:
     """Write every result as Parquet under ``out`` and return the paths.
 
-    Shared frames are written to the cluster's shared folder first and read back. With ``strict`` a scope with too
-    few snapshots or a statistics reset fails the report; otherwise ``report_status`` tells them apart.
+    Shared frames are written to the cluster's shared folder first and read back; that folder is removed at the end.
+    With ``strict`` a scope with too few snapshots, a statistics reset or mixed versions fails the report; otherwise
+    ``report_status`` tells them apart.
     """
+    if not frames:
+        raise quality.DataQualityError("no statistics to report on")
     spark = next(iter(frames.values())).sparkSession
     scratch = shared_dir(spark, "report")
-    if "pg_stat_database" in frames:
-        status = settle(report_status(frames), f"{scratch}/status")
-        if strict:
-            quality.require_rows(status)
-            quality.require_ok(
-                status.withColumn("ok", F.col("enough_snapshots") & F.col("not_reset")), "report not possible"
-            )
-        status.write.mode(mode).parquet(f"{out}/report_status")
-    results = build_report(frames, keep=lambda df, name: settle(df, f"{scratch}/{name}"), **options)
-    paths = {name: f"{out}/{name}" for name in results}
-    for name, df in results.items():
-        df.write.mode(mode).parquet(paths[name])
+    try:
+        if "pg_stat_database" in frames:
+            status = settle(report_status(frames, scope, database), f"{scratch}/status")
+            if strict:
+                quality.require_rows(status)
+                passed = F.col("enough_snapshots") & F.col("not_reset") & F.col("one_engine")
+                quality.require_ok(status.withColumn("ok", passed), "report not possible")
+            status.write.mode(mode).parquet(f"{out}/report_status")
+        results = build_report(
+            frames, keep=lambda df, name: settle(df, f"{scratch}/{name}"), scope=scope, database=database, **options
+        )
+        paths = {name: f"{out}/{name}" for name in results}
+        for name, df in results.items():
+            df.write.mode(mode).parquet(paths[name])
+    finally:
+        remove(spark, scratch)
     return paths

@@ -37,7 +37,7 @@ def statement_base(
 ) -> DataFrame:
     """One row per statement that moved any block in the window.
 
-    ``duplicates=None`` skips the fold per snapshot where the data is known to hold one row per statement.
+    A counter that no server has gives 0. ``duplicates=None`` skips the fold per snapshot where the data is known to hold one row per statement.
     With ``digest_text`` the shuffles carry a 256-bit digest in place of the statement's text, and the distinct
     texts are read again and joined back to the result. That pays only where shuffling very long texts is what a job
     waits for: over rows sorted by statement, map-side combine and shuffle compression leave little to save.
@@ -50,9 +50,10 @@ def statement_base(
         rows = rows.withColumn(_DIGEST, F.sha2("query", 256))
         texts = rows.select(*scope, "username", "queryid", _DIGEST, "query").distinct()
         keys = [*scope, "username", "queryid", _DIGEST]
-    # A server starts to count WAL with an upgrade, so those columns are missing at the start of a window or not at all.
-    increase_options.setdefault("nullable", [c for c in SPEC.nullable if c in wal])
-    increase_options.setdefault("gaps", "fail")
+    # Any counter may be null for a while, or on some servers throughout; what touches a null adds nothing.
+    increase_options.setdefault("gaps", "lag" if duplicates else "resolve")
+    needed = SPEC.present(rows, NEEDED)
+    rows = rows.select("*", *[F.lit(None).cast("bigint").alias(c) for c in NEEDED if c not in needed])
     grown = counter_increase(rows, [*NEEDED, *wal], keys, duplicates=duplicates, **increase_options)
     base = grown.select(
         *keys,

@@ -39,7 +39,7 @@ def table_activity(
     """What the table report needs, one row per table and one pass over the rows.
 
     Name the block ``families`` and leave ``vacuum`` out where only some of it is wanted: counters that are not
-    asked for are not read, and the families that can be null are the only ones that may need a second pass.
+    asked for are not read. Any counter may be null; tables with nulls between values take a second pass.
     """
     blocks = [(family, FAMILIES[family], kind) for family in families for kind in ("read", "hit")]
     counters = [f"{short}_blks_{kind}" for _, short, kind in blocks]
@@ -49,7 +49,6 @@ def table_activity(
     )
     gauges = {"_dead": "sum(n_dead_tup)", "_dead_rows": "count(n_dead_tup)", "_ratio": f"sum({ratio})"}
     gauges["_ratio_rows"] = f"count({ratio})"
-    increase_options.setdefault("nullable", SPEC.nullable)
     grown = counter_increase(
         tables,
         counters + (["vacuum_count", "autovacuum_count"] if vacuum else []),
@@ -109,9 +108,7 @@ def vacuum_efficiency(activity: DataFrame, scope: Sequence[str] = SCOPE) -> Data
     counted = activity.select(
         *scope, "schemaname", "table_name", "manual_vacuums", "autovacuums", "average_dead_rows", "dead_row_ratio"
     )
-    shared = with_totals(
-        counted, [F.sum("manual_vacuums").alias("_manual"), F.sum("autovacuums").alias("_auto")], scope
-    )
+    shared = with_totals(counted, {"_manual": F.sum("manual_vacuums"), "_auto": F.sum("autovacuums")}, scope)
     return (
         shared.where(~is_toast("schemaname") & ((F.col("manual_vacuums") > 0) | (F.col("autovacuums") > 0)))
         .select(

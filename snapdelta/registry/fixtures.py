@@ -102,6 +102,39 @@ select distinct concat('h', cast(o_custkey % 4 as string)) host, 'app' database,
     cast(o_custkey % 4 as string), ' on x86_64, 64-bit') as version,
   case when o_custkey % 4 < 2 then concat('3.', cast(o_custkey % 4 as string)) end aurora_version
 from {orders}""",
+    # Statistics with nulls between values, and with columns that one host does not have.
+    "fx_statements_gaps": """
+select host, database, snapshot_time, username, queryid, query,
+  case when queryid % 5 = 0 and day(snapshot_time) % 7 = 3 then null else calls end calls, total_exec_time,
+  case when day(snapshot_time) % 5 = 2 then null else shared_blks_read end shared_blks_read, shared_blks_hit,
+  shared_blks_written, temp_blks_read, temp_blks_written,
+  case when host = 'h1' and day(snapshot_time) = 9 then null else blk_read_time end blk_read_time,
+  case when host = 'h2' and day(snapshot_time) < 12 then null else wal_records end wal_records,
+  case when host = 'h2' and day(snapshot_time) < 12 then null else wal_fpi end wal_fpi,
+  case when day(snapshot_time) % 4 = 1 then null else wal_bytes end wal_bytes
+from fx_statements""",
+    "fx_statements_missing": """
+select host, database, snapshot_time, username, queryid, query, calls, total_exec_time, shared_blks_read, shared_blks_hit,
+  shared_blks_written, temp_blks_read, temp_blks_written, case when host <> 'h1' then blk_read_time end blk_read_time,
+  case when host <> 'h1' then wal_records end wal_records, case when host <> 'h1' then wal_fpi end wal_fpi,
+  case when host <> 'h1' then wal_bytes end wal_bytes
+from fx_statements""",
+    "fx_bgwriter_gaps": """
+select host, database, snapshot_time, stats_reset, case when host <> 'h1' then checkpoints_timed end checkpoints_timed,
+  case when day(snapshot_time) % 3 = 1 then null else checkpoints_req end checkpoints_req, buffers_checkpoint,
+  case when day(snapshot_time) % 4 = 2 then null else buffers_clean end buffers_clean, buffers_backend
+from fx_bgwriter""",
+    "fx_indexes_gaps": """
+select host, database, snapshot_time, schemaname, relname, indexrelname,
+  case when month(snapshot_time) % 5 = 2 then null else idx_blks_read end idx_blks_read,
+  case when relname = 'Brand#12' then null else idx_blks_hit end idx_blks_hit
+from fx_indexes""",
+    "fx_database_resets": """
+select host, database, snapshot_time, datname, datid,
+  case when host = 'h1' and snapshot_time >= timestamp '1995-01-01' then timestamp '1995-01-01' end stats_reset
+from fx_database union all
+select host, database, snapshot_time, datname, datid, timestamp '1993-01-01' stats_reset
+from fx_database where host = 'h1'""",
     # Raw catalog extracts, one row per object and monthly or daily capture.
     "raw_databases": """
 select n_nationkey oid, n_name datname, n_nationkey * 1000 oldest_transaction_age, n_regionkey % 2 = 0 standby
@@ -140,11 +173,12 @@ select date_trunc('month', l_shipdate) snapshot_time, l_suppkey relid,
   case when l_suppkey % 10 = 0 then 'pg_toast' else 'public' end schemaname,
   concat('t', cast(case when l_suppkey % 17 = 0 then 0 else l_suppkey end as string)) relname,
   count(*) n_live_tup, count(distinct l_orderkey) n_dead_tup
-from {lineitem} where l_linestatus = 'F' group by date_trunc('month', l_shipdate), l_suppkey""",
+from {lineitem} group by date_trunc('month', l_shipdate), l_suppkey""",
     "raw_vacuum_progress": """
-select date_trunc('month', l_shipdate) snapshot_time, l_suppkey relid, l_returnflag phase,
+select date_trunc('month', l_shipdate) snapshot_time,
+  case when l_linenumber < 7 then l_suppkey + 100000000 else l_suppkey end relid, l_returnflag phase,
   count(*) heap_blks_total
-from {lineitem} where l_linenumber = 7 group by date_trunc('month', l_shipdate), l_suppkey, l_returnflag""",
+from {lineitem} group by 1, 2, 3""",
     "raw_stat_indexes": """
 select date_trunc('month', l_shipdate) snapshot_time, cast(l_suppkey % 50 as bigint) relid, 'public' schemaname,
   concat('t', cast(l_suppkey % 50 as string)) relname, l_suppkey indexrelid,
@@ -170,6 +204,21 @@ select s_suppkey + 100000000 conindid, concat('x', cast(s_suppkey as string)) co
 }
 
 
+# Views that are made from another view.
+OVER = {
+    "fx_statements_gaps": "fx_statements",
+    "fx_statements_missing": "fx_statements",
+    "fx_bgwriter_gaps": "fx_bgwriter",
+    "fx_indexes_gaps": "fx_indexes",
+    "fx_database_resets": "fx_database",
+}
+
+
+def view_text(name: str) -> str:
+    text = VIEWS[name]
+    return f"with {OVER[name]} as ({VIEWS[OVER[name]]}) {text}" if name in OVER else text
+
+
 def tables_in(sql: str) -> set[str]:
     return set(re.findall(r"\{(\w+)\}", sql))
 
@@ -179,10 +228,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sql = VIEWS[name]
+    sql = view_text(name)
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables_in(sql)})
 
 
 def view_sql(name: str) -> str:
     """The view's text with the plain table names."""
-    return VIEWS[name].format(**{t: t for t in tables_in(VIEWS[name])})
+    text = view_text(name)
+    return text.format(**{t: t for t in tables_in(text)})

@@ -149,12 +149,12 @@ _STMT_SIZES = {
 }
 
 
-def _statement_base() -> str:
+def _statement_base(fixture: str = "fx_statements") -> str:
     sizes = ", ".join(f"8192 * {c} {name}_bytes" for name, c in _STMT_SIZES.items())
     moved = " or ".join(f"{c} > 0" for c in _STMT_SIZES.values())
-    return f"""{_with("fx_statements")}, inc as (
+    return f"""{_with(fixture)}, inc as (
   select {STMT}, {_sums(_STMT_COUNTERS)}, cast(sum(d_seconds) as bigint) span
-  from ({_deltas("fx_statements", STMT, _STMT_COUNTERS)}) group by {STMT}),
+  from ({_deltas(fixture, STMT, _STMT_COUNTERS)}) group by {STMT}),
 b as (select {STMT}, {sizes}, {_ratio("shared_blks_read", "shared_blks_hit")} hit_ratio, calls,
   {_rounded("total_exec_time", "calls")} ms_per_call, {_rounded("shared_blks_hit", "calls")} shared_hit_per_call,
   {_rounded("shared_blks_read", "calls")} shared_read_per_call, {_rounded("blk_read_time", "calls")} read_ms_per_call,
@@ -173,6 +173,9 @@ def _statement_sql() -> dict[str, str]:
     return {
         "sql_base": f"{_statement_base()} select * from t",
         "sql_base_digest": f"{_statement_base()} select * from t",
+        "sql_base_gaps": f"{_statement_base('fx_statements_gaps')} select * from t",
+        "sql_base_missing_column": f"{_statement_base('fx_statements_missing')} select * from t",
+        "lake_compacted_twice": f"{_statement_base()} select * from t",
         "sql_top_reads": _top_statements("shared_read_bytes", 10),
         "sql_top_hits": _top_statements("shared_hit_bytes", 10),
         "sql_top_writes": _top_statements("shared_written_bytes", 10),
@@ -248,11 +251,11 @@ from b group by {HD} having {low}""",
 # --- indexes --------------------------------------------------------------------------------------------------------
 
 
-def _index_base() -> str:
+def _index_base(fixture: str = "fx_indexes") -> str:
     keys = "host, database, schemaname, relname, indexrelname"
     counters = ["idx_blks_read", "idx_blks_hit"]
-    return f"""{_with("fx_indexes")}, inc as (
-  select {keys}, {_sums(counters)} from ({_deltas("fx_indexes", keys, counters)}) group by {keys}),
+    return f"""{_with(fixture)}, inc as (
+  select {keys}, {_sums(counters)} from ({_deltas(fixture, keys, counters)}) group by {keys}),
 b as (select {HD}, concat(schemaname, '.', relname, '.', indexrelname) index_name, 8192 * idx_blks_read index_read_bytes,
   8192 * idx_blks_hit index_hit_bytes, {_ratio("idx_blks_read", "idx_blks_hit")} hit_ratio
   from inc where idx_blks_read > 0 or idx_blks_hit > 0)"""
@@ -283,6 +286,7 @@ where rank <= 500"""
 def _index_sql() -> dict[str, str]:
     return {
         "index_base": f"{_index_base()} select * from b",
+        "index_base_gaps": f"{_index_base('fx_indexes_gaps')} select * from b",
         "index_reads": _top_index("read"),
         "index_hits": _top_index("hit"),
         "unused_index_tables": f"""{_with("fx_indexes")}, {_UNUSED}, c as (
@@ -328,13 +332,13 @@ def _changes(source: str, keys: str, value: str) -> str:
   window k as (partition by {keys} order by snapshot_time)) where n = 1 or {value} is distinct from before"""
 
 
-def _bgwriter_cte() -> str:
+def _bgwriter_cte(fixture: str = "fx_bgwriter") -> str:
     keys = "host, database, stats_reset"
     counters = ["checkpoints_timed", "checkpoints_req", "buffers_checkpoint", "buffers_clean", "buffers_backend"]
     sizes = {"checkpoint": "buffers_checkpoint", "bgwriter": "buffers_clean", "backend": "buffers_backend"}
-    return f"""{_with("fx_bgwriter")}, inc as (
+    return f"""{_with(fixture)}, inc as (
   select {HD}, max(stats_reset) last_reset, {_sums(counters)}, cast(sum(d_seconds) as bigint) span
-  from ({_deltas("fx_bgwriter", keys, counters)}) group by {HD}),
+  from ({_deltas(fixture, keys, counters)}) group by {HD}),
 b as (select {HD}, last_reset, checkpoints_timed, checkpoints_req checkpoints_requested,
   {", ".join(f"8192 * {c} {n}_bytes" for n, c in sizes.items())},
   {", ".join(f"{_text('8192 * ' + c)} {n}_text" for n, c in sizes.items())},
@@ -376,6 +380,11 @@ select * from s qualify count(*) over (partition by {HD}, name) > 1""",
         "settings_change_points": f"""{_with("fx_settings")}
 select {HD}, name, snapshot_time change_time, setting from {_changes("fx_settings", HD + ", name", "setting")}""",
         "bgwriter_summary": f"{_bgwriter_cte()} select * from b",
+        "bgwriter_summary_gaps": f"{_bgwriter_cte('fx_bgwriter_gaps')} select * from b",
+        "guard_database_reset": f"""{_with("fx_database_resets")}
+select {HD}, count(distinct stats_reset) resets, count(distinct stats_reset) <= 1 ok from fx_database_resets
+where datid <> 0 and datname = database group by {HD}""",
+        "report_fleet_scope": f"{_database_cte('')} select * from r",
         "bgwriter_findings": f"""{_bgwriter_cte()}, {_with("fx_version").removeprefix("with ")}
 select {HD}, 'bgwriter' category,
   'Fewer than 90% of the checkpoints are timed; review max_wal_size and checkpoint_timeout to avoid extra I/O.' recommendation
@@ -420,6 +429,11 @@ select p.*, t.schemaname, t.relname, {tag} from raw_vacuum_progress p join raw_s
 on p.relid = t.relid and p.snapshot_time = t.snapshot_time""",
         "catalog_statement_stats": f"""{_with("raw_statements", "raw_users", "raw_databases")}
 {statement} from raw_statements s, raw_users
+where userid = usesysid and calls > 0 and dbid = (select oid from raw_databases where datname = 'NATION_7')""",
+        "catalog_statement_stats_mixed": f"""{_with("raw_statements", "raw_users", "raw_databases")}
+select s.snapshot_time, usename username, userid, queryid, shared_blks_read, calls,
+  case when userid % 2 = 1 then total_exec_time end total_exec_time, case when userid % 2 = 0 then total_exec_time end total_time,
+  query, {tag} from raw_statements s, raw_users
 where userid = usesysid and calls > 0 and dbid = (select oid from raw_databases where datname = 'NATION_7')""",
         "catalog_statement_stats_fleet": f"""{_with("raw_statements", "raw_users", "raw_databases")}
 {statement}, n.datname database from raw_statements s
@@ -450,6 +464,8 @@ def _lake_sql() -> dict[str, str]:
 select {HD}, snapshot_time, epoch(snapshot_time) snapshot_timestamp, relname, heap_blks_read from fx_tables
 where {window} and host in ('h1', 'h2')""",
         "lake_csv_round_trip": f"{_with('fx_settings')} select * from fx_settings",
+        "lake_statements_round_trip": f"{_with('fx_statements')} select * from fx_statements",
+        "lake_extra_columns": f"{_with('fx_tables')} select *, heap_blks_read + 1 seq_scan from fx_tables",
         "lake_folded": f"{_index_base()} select * from b",
         "lake_compacted": f"{_with('fx_indexes')} select * from fx_indexes where {window}",
         "written_report": _vacuum(HD),
@@ -466,7 +482,62 @@ where window_start + interval 1 hour <= (select max(ts) from events) - interval
     }
 
 
+# Result of the report: the query that has the same rows (lists of 10).
+_REPORT_ROWS = {
+    "snapshot_details": "snapshot_summary",
+    "cluster_details": "cluster_versions",
+    "database_io": "database_io",
+    "remainder_io": "remainder_io",
+    "wait_events": "wait_events",
+    "wait_events_type": "wait_event_types",
+    "parameters": "settings_current",
+    "pg_setting_change_timeline": "settings_first_seen",
+    "sql_r_io_stats": "sql_top_reads",
+    "sql_h_io_stats": "sql_top_hits",
+    "sql_w_io_stats": "sql_top_writes",
+    "sql_tr_stats": "sql_top_temp_reads",
+    "sql_tw_stats": "sql_top_temp_writes",
+    "sql_stats_wg": "sql_top_wal",
+    "findings_top_io_sql": "sql_top5_io",
+    "bgwriter_stats": "bgwriter_summary",
+    "bgwriter_findings": "bgwriter_findings",
+    "index_reads": "index_reads",
+    "index_hits": "index_hits",
+    "index_usage": "unused_index_tables",
+    "index_usage_2": "unused_index_list",
+    "index_stats_findings": "index_findings",
+    **{f"table_{f}_{k}s": f"table_{f}_{k}s" for f in _FAMILIES for k in ("read", "hit")},
+    "vacuum_stats": "vacuum_efficiency",
+    "table_stats_findings": "table_findings",
+}
+
+
+def _report_sql(known: dict[str, str]) -> str:
+    """Rows per scope of every result, each from the SQL of its own query."""
+    role = f"""{_with("fx_database")}, c as (
+  select {HD}, snapshot_time, bool_or(standby) standby from fx_database where datid <> 0 group by {HD}, snapshot_time)
+select * from {_changes("c", HD, "standby")}"""
+    low = f"""{_database_cte(HD)}, {_with("fx_version").removeprefix("with ")}
+select * from r where datname = database and hit_ratio < 99
+and (host, database) in (select (host, database) from fx_version where aurora_version is not null)"""
+    off = f"""{_bgwriter_cte()}, {_with("fx_version").removeprefix("with ")}
+select * from b where timed_percent < 90
+and (host, database) not in (select (host, database) from fx_version where aurora_version is not null)"""
+    texts = {name: known[query] for name, query in _REPORT_ROWS.items()} | {
+        "database_role_timeline": role, "snapshot_details_findings": low, "bgwriter_findings": off
+    }
+    return " union all ".join(
+        f"select host, database, count(*) as \"rows\", '{name}' as result from ({sql}) group by host, database"
+        for name, sql in texts.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
+    known = _known_sql()
+    return known | {"written_report_all": _report_sql(known)}
+
+
+def _known_sql() -> dict[str, str]:
     return {
         **_delta_sql(),
         **_stat_delta_sql(),

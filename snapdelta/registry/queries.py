@@ -142,6 +142,10 @@ def _statements(cut: Callable[[DataFrame], DataFrame], **options) -> Query:
 _QUERIES |= {
     "sql_base": _statements(statements.with_texts),
     "sql_base_digest": _statements(statements.with_texts, digest_text=True),
+    "sql_base_gaps": _fixture("fx_statements_gaps", lambda df: statements.with_texts(statements.statement_base(df))),
+    "sql_base_missing_column": _fixture(
+        "fx_statements_missing", lambda df: statements.with_texts(statements.statement_base(df, duplicates=None))
+    ),
     "sql_top_reads": _statements(lambda base: statements.top_reads(base, LIMIT)),
     "sql_top_hits": _statements(lambda base: statements.top_hits(base, LIMIT)),
     "sql_top_writes": _statements(lambda base: statements.top_writes(base, LIMIT)),
@@ -187,6 +191,7 @@ def _indexes(cut: Callable[[DataFrame], DataFrame]) -> Query:
 
 _QUERIES |= {
     "index_base": _indexes(lambda base: base),
+    "index_base_gaps": _fixture("fx_indexes_gaps", indexes.index_base),
     "index_reads": _indexes(lambda base: indexes.top_indexes(base, "read", LIMIT)),
     "index_hits": _indexes(lambda base: indexes.top_indexes(base, "hit", LIMIT)),
     "unused_index_tables": _fixture(
@@ -227,6 +232,8 @@ _QUERIES |= {
     "settings_first_seen": _fixture("fx_settings", settings.settings_first_seen),
     "settings_change_points": _fixture("fx_settings", settings.settings_change_points),
     "bgwriter_summary": _fixture("fx_bgwriter", bgwriter.bgwriter_summary),
+    "bgwriter_summary_gaps": _fixture("fx_bgwriter_gaps", bgwriter.bgwriter_summary),
+    "guard_database_reset": _fixture("fx_database_resets", quality.database_stats_reset),
     "guard_snapshot_count": _fixture("fx_database", quality.snapshot_count),
     "guard_stats_reset": _fixture("fx_bgwriter", quality.stats_reset),
     "guard_one_engine": _fixture("fx_version", quality.one_engine),
@@ -309,6 +316,18 @@ def catalog_statement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def catalog_statement_stats_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Servers before and after the split of execution times in one frame; each row keeps its own profile's time."""
+    rows = view(spark, sf_dir, "raw_statements")
+    earlier = F.col("userid") % 2 == 0
+    mixed = rows.withColumn("total_time", F.when(earlier, F.col("total_exec_time"))).withColumn(
+        "total_exec_time", F.when(~earlier, F.col("total_exec_time"))
+    )
+    users, names = view(spark, sf_dir, "raw_users"), view(spark, sf_dir, "raw_databases")
+    return catalog.statement_stats(mixed, users, names, current_database=CURRENT_DATABASE, capture=CAPTURE)
+
+
 @query
 def catalog_statement_stats_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row names the database it was captured in; rows of other databases drop out."""
@@ -385,7 +404,7 @@ def lake_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index rows landed by day and read back for a window."""
     rows, root = view(spark, sf_dir, "fx_indexes"), shared_dir(spark, "lake")
-    lake.compact_snapshots(rows, root, "index_stats")
+    lake.compact_snapshots(rows, root, "index_stats", fold=False)
     start, end = parse_report_window("01/01/1996 00:00:00", "12/01/1997 00:00:00")
     return lake.read_compacted(spark, root, "index_stats", start, end).select(*rows.columns)
 
@@ -395,10 +414,74 @@ def lake_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index rows that repeat per constraint, folded while they are landed; the report then skips the fold."""
     rows, root = view(spark, sf_dir, "fx_indexes"), shared_dir(spark, "lake")
     repeated = rows.unionByName(rows.where(F.col("conname").isNotNull()).withColumn("conname", F.lit("another")))
-    lake.compact_snapshots(repeated, root, "index_stats", fold=True)
+    lake.compact_snapshots(repeated, root, "index_stats")
     return indexes.index_base(lake.read_compacted(spark, root, "index_stats"), duplicates=None)
 
 
+@query
+def lake_statements_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statement rows with the types a driver gives them (fractions on WAL bytes, whole numbers for times)."""
+    rows, root = view(spark, sf_dir, "fx_statements"), shared_dir(spark, "lake")
+    given = rows.withColumn("wal_bytes", F.col("wal_bytes").cast("decimal(38,18)"))
+    lake.write_snapshots(given.withColumn("calls", F.col("calls").cast("decimal(20,0)")), root, "pg_stat_statements")
+    back = lake.read_snapshots(spark, root, "pg_stat_statements")
+    return back.select(*[F.col(c).cast(kind).alias(c) for c, kind in rows.dtypes])
+
+
+@query
+def lake_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that the schema does not know, through the lake, compaction and back."""
+    rows, root = view(spark, sf_dir, "fx_tables"), shared_dir(spark, "lake")
+    lake.write_snapshots(rows.withColumn("seq_scan", F.col("heap_blks_read") + 1), f"{root}/raw", "table_stats")
+    raw = lake.read_snapshots(spark, f"{root}/raw", "table_stats", every_column=True)
+    lake.compact_snapshots(raw, f"{root}/days", "table_stats")
+    return lake.read_compacted(spark, f"{root}/days", "table_stats", every_column=True).select(*rows.columns, "seq_scan")
+
+
+@query
+def lake_compacted_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that are landed a second time take the place of the first landing."""
+    rows, root = view(spark, sf_dir, "fx_statements"), shared_dir(spark, "lake")
+    for _ in range(2):
+        lake.compact_snapshots(rows, root, "pg_stat_statements")
+    base = statements.statement_base(lake.read_compacted(spark, root, "pg_stat_statements"), duplicates=None)
+    wal = [F.col(c).cast("bigint").alias(c) for c in ("wal_bytes",)]
+    return statements.with_texts(base.select(*[c for c in base.columns if c != "wal_bytes"], *wal))
+
+
+@query
+def report_fleet_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database shares of a report over the whole fleet, current database named."""
+    results = report.build_report({"pg_stat_database": view(spark, sf_dir, "fx_database")}, scope=(), database=CURRENT_DATABASE)
+    return results["database_io"].unionByName(results["remainder_io"])
+
+
+REPORT_FIXTURES = {
+    "pg_stat_database": "fx_database",
+    "pg_stat_activity": "fx_activity",
+    "pg_stat_bgwriter": "fx_bgwriter",
+    "pg_settings": "fx_settings",
+    "pg_stat_statements": "fx_statements",
+    "table_stats": "fx_tables",
+    "index_stats": "fx_indexes",
+    "version": "fx_version",
+}
+
+
+@query
+def written_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every result of a report that was written out, per host and database."""
+    frames = {stat: view(spark, sf_dir, fixture) for stat, fixture in REPORT_FIXTURES.items()}
+    rows = frames["pg_stat_database"]
+    frames["pg_stat_database"] = rows.withColumn("stats_reset", F.lit(None).cast("timestamp"))
+    paths = report.write_report(frames, shared_dir(spark, "report-out"), limit=LIMIT)
+    counts = [
+        spark.read.parquet(path).groupBy(*SCOPE).agg(F.count(F.lit(1)).alias("rows")).withColumn("result", F.lit(name))
+        for name, path in paths.items()
+    ]
+    return lake.union_snapshots(counts)
+
+
 @query
 def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vacuum activity from a report that was written out."""
@@ -445,7 +528,7 @@ def stream_wait_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif("event_type", F.lit("view")).alias("wait_event"),
         F.when(F.col("event_type") != "view", F.lit("IO")).alias("wait_event_type"),
     )
-    land_wait_windows(waits, f"{root}/out", f"{root}/checkpoint", scope=["host"]).awaitTermination()
+    land_wait_windows(waits, f"{root}/out", f"{root}/checkpoint", delay="10 minutes", scope=["host"]).awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 

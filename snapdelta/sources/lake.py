@@ -29,6 +29,8 @@ CLOCK = ("year", "month", "day", "hour", "minute")
 PARTITIONS = (*SCOPE, "stat", *CLOCK)
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 UTC_NAMES = ("UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "Universal")
+# Fixed value: the text column in which the duplicate rows of an entity differ (the constraints on one index).
+VARYING = ("conname",)
 ROWS_PER_CHUNK = 50_000
 MOST_ALTERNATIVES = 62
 
@@ -51,9 +53,16 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def stamp(df: DataFrame, host: str, database: str, at: datetime | None = None) -> DataFrame:
-    """Put scope and snapshot time before the columns of a fresh extract; one time for the whole batch."""
-    at = (at or datetime.now(timezone.utc)).astimezone(timezone.utc)
-    return df.select(F.lit(host).alias("host"), F.lit(database).alias("database"), F.lit(at).alias(TIME), "*")
+    """Put scope and snapshot time before the columns of a fresh extract: one time for the whole batch, that of the query
+    which reads it unless ``at`` is named."""
+    time = F.current_timestamp() if at is None else F.lit(at.astimezone(timezone.utc))
+    return df.select(F.lit(host).alias("host"), F.lit(database).alias("database"), time.alias(TIME), "*")
+
+
+def conformed(df: DataFrame, stat: str) -> DataFrame:
+    """Rows with the statistic's columns in its types, as far as they are there, and all other columns as they are."""
+    kinds = {field.name: field.dataType for field in STATS[stat].schema}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
 def write_snapshots(
@@ -62,9 +71,11 @@ def write_snapshots(
     """Append rows to the lake.
 
     Rows are brought together by partition before writing, so each partition gets few files; a partition that is
-    much larger than the others is split again at run time.
+    much larger than the others is split again at run time. Columns of the statistic are cast to its types, so that
+    whatever a driver or a server version calls them reads back; other columns are written as they come.
     """
     require_utc(df.sparkSession)
+    df = conformed(df, stat)
     time = F.col(TIME).cast("timestamp")
     placed = df.select(
         "*", F.lit(stat).alias("stat"), *[getattr(F, c if c != "day" else "dayofmonth")(time).alias(c) for c in CLOCK]
@@ -143,6 +154,20 @@ def _open(reader, path: str, what: str) -> DataFrame:
         raise
 
 
+def _every_column(spark: SparkSession, root: str, pattern: str, stat: str, wanted: T.StructType, places: Sequence[str]) -> T.StructType:
+    """The wanted columns and whatever others the files hold."""
+    found = _open(spark.read.format("parquet").options(basePath=root, mergeSchema="true"), pattern, stat).schema
+    held = {*wanted.names, *places}
+    return T.StructType([*wanted, *[field for field in found if field.name not in held]])
+
+
+def _not_empty(rows: DataFrame, stat: str) -> DataFrame:
+    """The rows, or an error when there is none: an empty window is one whatever its length and the layout."""
+    if rows.isEmpty():
+        raise DataQualityError(f"no snapshots of {stat} in the window")
+    return rows
+
+
 def read_snapshots(
     spark: SparkSession,
     root: str,
@@ -154,10 +179,12 @@ def read_snapshots(
     databases: Sequence[str] | None = None,
     file_format: str = "parquet",
     schema: T.StructType | None = None,
+    every_column: bool = False,
 ) -> DataFrame:
-    """Rows of one statistic in a window, over all hosts and databases unless some are named.
+    """Rows of one statistic in a window, over all hosts and databases unless some are named; an error if there is none.
 
-    Columns are matched by name against the statistic's schema; a column a file lacks is null. Only the folders of
+    Columns are matched by name against the statistic's schema; a column a file lacks is null. With ``every_column`` the
+    other columns of Parquet files come along (their footers are read for that), as re-landing them wants. Only the folders of
     the statistic, of the named hosts and databases and of the window's days (months, when it is long) are listed, and
     the window prunes partitions by minute before any file is opened.
     """
@@ -172,10 +199,12 @@ def read_snapshots(
         )
         rows = _parse_csv(_in_scope(files.where(_partition_window(start, end)), hosts, databases), wanted)
     else:
+        if every_column:
+            wanted = _every_column(spark, root, pattern, stat, wanted, PARTITIONS)
         full = T.StructType(list(wanted) + _PARTITION_FIELDS)
         rows = _open(spark.read.format(file_format).option("basePath", root).schema(full), pattern, stat)
         rows = _in_scope(rows.where(_partition_window(start, end)), hosts, databases)
-    return rows.select(*SCOPE, *wanted.names).where(in_window(start, end))
+    return _not_empty(rows.select(*SCOPE, *wanted.names).where(in_window(start, end)), stat)
 
 
 def _parse_csv(files: DataFrame, schema: T.StructType) -> DataFrame:
@@ -229,25 +258,29 @@ def fold_duplicates(df: DataFrame, stat: str) -> DataFrame:
     if spec.duplicates is None:
         return df
     rows = with_exec_time(df) if stat == "pg_stat_statements" else df
-    keys = [c for c in (*SCOPE, *spec.keys, TIME) if c in rows.columns]
     fold = F.sum if spec.duplicates == "sum" else F.max
     kinds = dict(rows.dtypes)
+    # Texts that describe an entity are the same in all its rows; as keys they leave the buffers of a fixed width.
+    constant = [c for c, kind in rows.dtypes if kind == "string" and c not in VARYING]
+    keys = list(dict.fromkeys(c for c in (*SCOPE, *spec.keys, TIME, *constant) if c in rows.columns))
 
     def folded(c: str) -> Column:
         if c in spec.counters:
             return fold(c).cast(kinds[c])
-        # The largest of a text is its one value that is not null, as in the name of a constraint.
-        return F.max(c)
+        return F.array_max(F.collect_set(c)) if c in VARYING else F.max(c)
 
     return rows.groupBy(*keys).agg(*[folded(c).alias(c) for c in rows.columns if c not in keys])
 
 
-def compact_snapshots(df: DataFrame, root: str, stat: str, mode: str = "append", fold: bool = False) -> None:
+def compact_snapshots(df: DataFrame, root: str, stat: str, mode: str = "overwrite", fold: bool = True) -> None:
     """Land rows by day, sorted by scope and entity, so that a reader skips row groups of other hosts.
 
-    With ``fold`` duplicate rows are folded on the way, once, instead of in every report.
+    Give whole days: the days that ``df`` holds are replaced, others stay, so landing a day again changes nothing
+    (``mode="append"`` adds instead). Duplicate rows are folded on the way, once, instead of in every report, unless
+    ``fold`` is off; pass ``folded=True`` to reports over folded rows.
     """
     require_utc(df.sparkSession)
+    df = conformed(df, stat)
     df = fold_duplicates(df, stat) if fold else df
     order = [c for c in (*SCOPE, *STATS[stat].keys, TIME) if c in df.columns]
     dated = df.select("*", F.lit(stat).alias("stat"), F.to_date(F.col(TIME).cast("timestamp")).alias("snapshot_date"))
@@ -255,6 +288,7 @@ def compact_snapshots(df: DataFrame, root: str, stat: str, mode: str = "append",
         dated.hint("rebalance", "snapshot_date", "host")
         .sortWithinPartitions("snapshot_date", *order)
         .write.partitionBy("stat", "snapshot_date")
+        .option("partitionOverwriteMode", "dynamic")
         .mode(mode)
         .parquet(root)
     )
@@ -270,10 +304,13 @@ def read_compacted(
     hosts: Sequence[str] | None = None,
     databases: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    every_column: bool = False,
 ) -> DataFrame:
-    """Rows of one statistic from the compacted layout."""
+    """Rows of one statistic from the compacted layout; as ``read_snapshots`` otherwise."""
     require_utc(spark)
     wanted = schema or STATS[stat].schema
+    if every_column:
+        wanted = _every_column(spark, root, f"{root}/stat={stat}", stat, wanted, (*SCOPE, "stat", "snapshot_date"))
     scope = [T.StructField(c, T.StringType()) for c in SCOPE]
     places = [T.StructField("stat", T.StringType()), T.StructField("snapshot_date", T.DateType())]
     reader = spark.read.format("parquet").option("basePath", root).schema(T.StructType(scope + list(wanted) + places))
@@ -282,7 +319,7 @@ def read_compacted(
         rows = rows.where(F.col("snapshot_date") >= F.lit(as_utc(start).date()))
     if end is not None:
         rows = rows.where(F.col("snapshot_date") <= F.lit(as_utc(end).date()))
-    return _in_scope(rows.where(in_window(start, end)), hosts, databases).select(*SCOPE, *wanted.names)
+    return _not_empty(_in_scope(rows.where(in_window(start, end)), hosts, databases).select(*SCOPE, *wanted.names), stat)
 
 
 def load_stats(
@@ -295,7 +332,8 @@ def load_stats(
     compacted: bool = False,
     **options,
 ) -> dict[str, DataFrame]:
-    """Frames of the named statistics (all nine when unset); a statistic that is not in the lake is left out."""
+    """Frames of the named statistics, each of which must have rows in the window; when unset, of those of the nine that
+    have, and an error if none has."""
     read = read_compacted if compacted else read_snapshots
     frames = {}
     for stat in stats or STATS:
@@ -304,6 +342,8 @@ def load_stats(
         except DataQualityError:
             if stats:
                 raise
+    if not frames:
+        raise DataQualityError(f"no snapshots under {root} in the window")
     return frames
 
 

@@ -22,3 +22,9 @@ def settle(df: DataFrame, path: str) -> DataFrame:
     """Write a frame out and read it back: computed once, and kept when executors are lost."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables, wherever it is stored."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

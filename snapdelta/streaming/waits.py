@@ -15,15 +15,16 @@ from snapdelta.schema import SCOPE, TIME
 def wait_windows(
     activity: DataFrame,
     *,
+    delay: str,
     width: str = "1 hour",
-    delay: str = "10 minutes",
     scope: Sequence[str] = SCOPE,
     time: str = TIME,
 ) -> DataFrame:
     """Samples per tumbling window, wait event and type; on a stream or on a plain frame.
 
-    On a stream, samples older than ``delay`` behind the newest one are dropped and a window is final once the
-    newest sample is ``delay`` past its end.
+    On a stream, a window is final once the newest sample of any host is ``delay`` past its end; samples that come later
+    are not counted. There is no default: name a delay longer than any host's files lag behind the others' (with hourly
+    capture, several hours), or recount from the lake, where nothing is ever late.
     """
     named = activity.select(
         F.col(time).cast("timestamp").alias(time),

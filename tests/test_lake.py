@@ -71,9 +71,8 @@ def test_statement_report_over_drifting_columns(spark, csv_lake):
     from snapdelta.plans import statements
 
     rows = lake.read_snapshots(spark, csv_lake, "pg_stat_statements", file_format="csv", hosts=["H"])
-    blocks = [c for c in statements.NEEDED if c not in ("calls", "total_exec_time")]
     filled = rows.select(
-        *[F.col(c) if c not in blocks else (F.col("calls") * 2).cast(t).alias(c) for c, t in rows.dtypes]
+        *[F.col(c) if c != "shared_blks_hit" else (F.col("calls") * 2).cast(t).alias(c) for c, t in rows.dtypes]
     )
     for digest in (False, True):
         base = statements.statement_base(filled, digest_text=digest).collect()
@@ -128,9 +127,28 @@ def test_missing_and_empty(spark, tmp_path, csv_lake):
     with pytest.raises(quality.DataQualityError):
         lake.load_stats(spark, str(tmp_path), stats=["version"])
     later = datetime(2030, 1, 1)
-    rows = lake.read_snapshots(spark, csv_lake, "pg_stat_statements", later, file_format="csv")
-    with pytest.raises(quality.DataQualityError):
-        quality.require_rows(rows)
+    with pytest.raises(quality.DataQualityError, match="no snapshots"):
+        lake.load_stats(spark, str(tmp_path))
+    for days in (1, 100, 3_650, None):
+        end = later + timedelta(days=days) if days else None
+        with pytest.raises(quality.DataQualityError, match="no snapshots"):
+            lake.read_snapshots(spark, csv_lake, "pg_stat_statements", later, end, file_format="csv")
+
+
+def test_empty_windows_are_alike_in_every_layout(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("h1", "d", datetime(2024, 1, 1, 3), "a", "1")],
+        "host string, database string, snapshot_time timestamp, name string, setting string",
+    )
+    lake.write_snapshots(df, str(tmp_path / "raw"), "pg_settings")
+    lake.compact_snapshots(df, str(tmp_path / "days"), "pg_settings")
+    for start in (datetime(2024, 1, 1, 3, 30), datetime(2030, 1, 1)):
+        for end in (start + timedelta(days=1), start + timedelta(days=100), start + timedelta(days=3_650), None):
+            for read, place in ((lake.read_snapshots, "raw"), (lake.read_compacted, "days")):
+                with pytest.raises(quality.DataQualityError, match="no snapshots"):
+                    read(spark, str(tmp_path / place), "pg_settings", start, end)
+                with pytest.raises(quality.DataQualityError):
+                    lake.load_stats(spark, str(tmp_path / place), start, end, compacted=place == "days")
 
 
 def test_stamp_and_union(spark):
