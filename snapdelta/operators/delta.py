@@ -24,7 +24,7 @@ _SLICE, _SPREAD, _CARRIED = "_slice", "_spread", "_carried"
 
 
 def any_null(columns: Sequence[str]) -> Column:
-    return F.expr(" or ".join(f"`{c}` is null" for c in columns))
+    return F.expr(" or ".join(f"`{c}` is null" for c in columns) or "false")
 
 
 def one_row_per_snapshot(
@@ -39,7 +39,8 @@ def one_row_per_snapshot(
 
 
 def _window(groups: Sequence[str], order: str) -> str:
-    return "(partition by " + ", ".join(f"`{g}`" for g in groups) + f" order by `{order}`)"
+    by = "partition by " + ", ".join(f"`{g}`" for g in groups) if groups else ""
+    return f"({by} order by `{order}`)"
 
 
 def previous_row(

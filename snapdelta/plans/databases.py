@@ -43,10 +43,11 @@ def cluster_versions(versions: DataFrame, scope: Sequence[str] = SCOPE) -> DataF
 
 
 def aurora_hosts(versions: DataFrame, scope: Sequence[str] = SCOPE) -> DataFrame:
-    """Scopes whose engine reports the second version."""
+    """Scopes whose engine reports the second version; without a scope one row if any does."""
+    places = list(scope) or [F.lit(True).alias("any")]
     if "aurora_version" not in versions.columns:
-        return versions.where(F.lit(False)).select(*scope)
-    return versions.where(F.col("aurora_version").isNotNull()).select(*scope).distinct()
+        return versions.where(F.lit(False)).select(*places)
+    return versions.where(F.col("aurora_version").isNotNull()).select(*places).distinct()
 
 
 def _roles(databases: DataFrame, scope: Sequence[str]) -> DataFrame:

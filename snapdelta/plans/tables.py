@@ -39,7 +39,8 @@ def table_activity(
     """What the table report needs, one row per table and one pass over the rows.
 
     Name the block ``families`` and leave ``vacuum`` out where only some of it is wanted: counters that are not
-    asked for are not read. Any counter may be null; tables with nulls between values take a second pass.
+    asked for are not read. Any counter may be null; with vacuums, tables with
+    nulls between values take a second pass.
     """
     blocks = [(family, FAMILIES[family], kind) for family in families for kind in ("read", "hit")]
     counters = [f"{short}_blks_{kind}" for _, short, kind in blocks]
@@ -49,6 +50,8 @@ def table_activity(
     )
     gauges = {"_dead": "sum(n_dead_tup)", "_dead_rows": "count(n_dead_tup)", "_ratio": f"sum({ratio})"}
     gauges["_ratio_rows"] = f"count({ratio})"
+    if not vacuum and increase_options.get("settle") is None:
+        increase_options.setdefault("gaps", "lag")
     grown = counter_increase(
         tables,
         counters + (["vacuum_count", "autovacuum_count"] if vacuum else []),

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Does without the Python call site of every column, which only serves error messages.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

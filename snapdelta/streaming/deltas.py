@@ -1,8 +1,7 @@
 """Counter deltas over a stream of snapshots.
 
 Every micro-batch is compared with the last known row of each of its entities, which is kept as a table beside the
-output. The batch logic is the ordinary delta operator, so all work stays in generated code and a busy entity is cut
-into time slices like in batch. A batch that is run again overwrites what its first run wrote.
+output. The batch logic is the ordinary delta operator, so all work stays in generated code. A batch that is run again overwrites what its first run wrote.
 """
 
 from __future__ import annotations
@@ -15,14 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from snapdelta.operators.delta import WEEK, _change, any_null, one_row_per_snapshot, previous_row
+from snapdelta.operators.delta import _change, any_null, one_row_per_snapshot, previous_row
 from snapdelta.schema import TIME
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Remove a table of this stream on whatever file system it is on."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+from snapdelta.sources.shared import remove
 
 
 @dataclass(frozen=True)
@@ -39,7 +33,7 @@ class DeltaStream:
     time: str = TIME
     on_reset: str = "raw"
     duplicates: str | None = None
-    slice_seconds: int = WEEK
+    slice_seconds: int | None = None
 
     def _path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch={batch_id}"
@@ -57,9 +51,19 @@ class DeltaStream:
         """Write the deltas, the late rows and the new state of one micro-batch."""
         if self.duplicates:
             batch = one_row_per_snapshot(batch, self.counters, self.keys, self.duplicates, self.time)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         known = self._known(batch.sparkSession, batch_id, batch)
         joined = batch.join(known.withColumnsRenamed(self._state_names()), list(self.keys), "left")
+        # Three results are written from the joined batch; what an executor loses of it is computed again.
+        joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write(batch, known, joined, batch_id)
+        finally:
+            joined.unpersist()
+        # A batch that runs again reads the state before it; anything older is of no more use.
+        if batch_id >= 2:
+            remove(batch.sparkSession, self._path("state", batch_id - 2))
+
+    def _write(self, batch: DataFrame, known: DataFrame, joined: DataFrame, batch_id: int) -> None:
         last = F.col(f"_known_{self.time}")
         late = last.isNotNull() & (F.col(self.time) <= last)
         fresh = joined.where(~late)
@@ -86,10 +90,6 @@ class DeltaStream:
             )
         )
         newest.write.mode("overwrite").parquet(self._path("state", batch_id))
-        batch.unpersist()
-        # A batch that runs again reads the state before it; anything older is of no more use.
-        if batch_id >= 2:
-            _remove(batch.sparkSession, self._path("state", batch_id - 2))
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:
         """Difference what has arrived and stop; run it on a schedule."""

@@ -159,3 +159,58 @@ def test_scopes_do_not_mix(spark):
     assert base == {("a", "x"): 2, ("a", "y"): 4, ("b", "x"): 6, ("b", "y"): 8}
     assert {r["rank"] for r in statements.top_reads(statements.statement_base(filled), 1).collect()} == {1}
     assert statements.top_reads(statements.statement_base(filled), 1).count() == 4
+
+
+@pytest.mark.parametrize("scope", [(), ("host",), ("host", "database")])
+def test_every_scope_gives_every_result(spark, frames, tmp_path, scope):
+    paths = report.write_report(frames, str(tmp_path), scope=scope, database="NATION_7", limit=3)
+    assert list(paths) == report.RESULTS
+    shares = spark.read.parquet(paths["remainder_io"])
+    assert shares.count() > 0 and all(c in shares.columns for c in scope)
+
+
+def test_scope_without_a_database_needs_its_name(frames):
+    with pytest.raises(ValueError, match="current database"):
+        report.build_report({"pg_stat_database": frames["pg_stat_database"]}, scope=())
+
+
+def test_rows_of_an_unnamed_host_are_kept(frames):
+    rows = frames["pg_stat_database"].where("host = 'h1'")
+    unnamed = rows.withColumn("host", F.lit(None).cast("string"))
+    names = lambda df: sorted(r["datname"] for r in databases.database_increase(df).collect())
+    assert names(rows) and names(rows) == names(unnamed)
+    assert report.report_status({"pg_stat_database": unnamed}).count() == rows.select("database").distinct().count()
+
+
+def test_list_sizes_are_parameters(spark, frames):
+    idle = spark.range(700).selectExpr(
+        "'h' host", "'d' database", "timestamp '2024-01-01' snapshot_time", "'public' schemaname", "'t' relname",
+        "concat('i', id) indexrelname", "'1' indkey", "cast(null as string) conname", "false indisunique", "0L idx_scan",
+        "0L idx_blks_read", "0L idx_blks_hit",
+    )
+    made = {"index_stats": idle, "pg_stat_statements": frames["pg_stat_statements"]}
+    assert report.build_report(made)["index_usage_2"].count() == 500
+    wide = report.build_report(made, unused_limit=10_000, findings_limit=2)
+    assert wide["index_usage_2"].count() == 700
+    assert wide["findings_top_io_sql"].groupBy("host").count().agg(F.max("count")).first()[0] == 2
+
+
+def test_nulls_and_absent_counters_add_nothing(spark, frames):
+    rows = frames["pg_stat_statements"]
+    absent = rows.drop("blk_read_time")
+    assert {r["read_ms_per_call"] for r in statements.statement_base(absent).collect()} <= {0.0, None}
+    hole = F.when((F.col("host") != "h1") | (F.dayofmonth("snapshot_time") != 9), F.col("calls"))
+    whole, holed = (statements.statement_base(df) for df in (rows, rows.withColumn("calls", hole)))
+    others = lambda df: sorted(map(repr, df.where("host <> 'h1'").collect()))
+    assert others(whole) == others(holed) and holed.where("host = 'h1'").count() == whole.where("host = 'h1'").count()
+
+
+def test_mixed_versions_and_nothing_at_all(frames, tmp_path):
+    with pytest.raises(quality.DataQualityError, match="no statistics"):
+        report.write_report({}, str(tmp_path))
+    mixed = {r["host"]: r["one_engine"] for r in report.report_status(frames, scope=("host",)).collect()}
+    assert mixed["h1"] is False and mixed["h4"] is True
+    only = {name: frames[name] for name in ("pg_stat_database", "version")}
+    alike = only | {"version": only["version"].withColumn("version", F.lit("PostgreSQL 14.1 on x"))}
+    one = {r["one_engine"] for r in report.report_status(alike).collect()}
+    assert one == {True}

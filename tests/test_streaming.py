@@ -54,7 +54,7 @@ def test_wait_windows_on_a_plain_frame(spark):
         [("h", T0, None, None), ("h", T0 + timedelta(minutes=59), None, None), ("h", T0 + timedelta(hours=1), "w", "IO")],
         "host string, snapshot_time timestamp, wait_event string, wait_event_type string",
     )
-    counted = wait_windows(sample, scope=["host"]).orderBy("window_start").collect()
+    counted = wait_windows(sample, delay="10 minutes", scope=["host"]).orderBy("window_start").collect()
     assert [(r["wait_event"], r["total_samples"]) for r in counted] == [("CPU", 2), ("w", 1)]
     assert F.col("x") is not None
 
