@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from snapdelta.llm.common import LOWER, UPPER
 from snapdelta.llm.quality_rules import STOP_WORDS
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -33,5 +34,91 @@ from b
 """
 
 
+
+def _parts(url: str) -> str:
+    """Host and path of a url, as a struct."""
+    pattern = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+    host = f"translate(coalesce(regexp_extract({url}, {pattern}, 1), ''), '{UPPER}', '{LOWER}')"
+    return f"struct_pack(host := {host}, path := coalesce(regexp_extract({url}, {pattern}, 2), ''))"
+
+
+def _rule(host: str, path: str) -> str:
+    """The fitting rule, longest first."""
+    fits = lambda h, p: f"({host} = '{h}' or ends_with({host}, '.{h}')) and starts_with({path}, '{p}')"
+    rules = (("example.net", "/en/"), ("example.com", "/de/"), ("org", "/fr/"), ("net", "/"))
+    return "case " + " ".join(f"when {fits(h, p)} then '{h}{p}'" for h, p in rules) + " end"
+
+
+_VERDICT = "case {rule} when 'example.net/en/' then 'allow' when 'org/fr/' then 'allow' when 'example.com/de/' then 'block' when 'net/' then 'block' end"
+_VALUE = r"""\s*=\s*["'']?([^"''\s<>]+)"""
+OP3 = rf"""
+with recursive t as (
+  select page_id, {_parts("url")} as p,
+    coalesce(
+      nullif(regexp_extract(regexp_extract(html, '(?i)<meta\b[^<>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^<>]*'), '(?i)\burl{_VALUE}', 1), ''),
+      nullif(regexp_extract(regexp_extract(html, '(?i)<link\b[^<>]*\brel\s*=\s*["'']?canonical\b[^<>]*'), '(?i)\bhref{_VALUE}', 1), '')
+    ) as target from pages
+), u as (
+  select *, {_parts("case when contains(target, '://') then target when starts_with(target, '//') then 'http:' || target when starts_with(target, '/') then 'http://' || p.host || target end")} as q from t
+), n as (
+  select page_id, p.host as host, p.path as path, {_rule("p.host", "p.path")} as rule,
+    case when p.host <> '' then p.host || case when p.path = '' then '/' else p.path end end as node,
+    case when q.host <> '' then q.host || case when q.path = '' then '/' else q.path end end as goes
+  from u
+), e as (
+  select node as a, goes as b from n where node is not null and goes is not null
+  union select goes, node from n where node is not null and goes is not null
+), r(a, b) as (select a, a from e union select r.a, e.b from r join e on r.b = e.a),
+g as (
+  select a, bool_or({_VERDICT.format(rule="rule")} = 'allow') as allows, bool_or({_VERDICT.format(rule="rule")} = 'block') as blocks
+  from (select a, {_rule("split_part(b, '/', 1)", "substr(b, strpos(b, '/'))")} as rule from r) group by a
+)
+select page_id, host, path, rule,
+  coalesce({_VERDICT.format(rule="rule")}, case when blocks and not coalesce(allows, false) then 'block' else 'allow' end) as verdict
+from n left join g on node = a
+"""
+
+OP9 = rf"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, {WORDS.format(text=f"translate(text, '{UPPER}', '{LOWER}')")} as w from documents
+), s as (
+  select distinct rid, case when len(w) >= 3 then w[i:i + 2] else w end as sh
+  from (select rid, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from d where len(w) > 0)
+), n as (select rid, count(*) as n from s group by rid),
+o as (select a.rid as a, b.rid as b, count(*) as c from s a join s b on a.sh = b.sh and a.rid <> b.rid group by 1, 2),
+l as (select a, b from o join n x on x.rid = a join n y on y.rid = b where 100 * c >= 90 * (x.n + y.n - c)),
+r(a, b) as (select rid, rid from d union select r.a, l.b from r join l on r.b = l.a),
+m as (select r.a as rid, min(doc_id) as component_id from r join d on d.rid = r.b group by r.a)
+select doc_id, coalesce(n.n, 0) as n_shingles, component_id from d left join n using (rid) join m using (rid)
+"""
+
+ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(upper=UPPER, lower=LOWER)
+OP10 = rf"""
+with d as (select row_number() over () as rid, doc_id, {ITEM_WORDS} as w from documents),
+b as (select item_id, {ITEM_WORDS} as w from benchmark),
+i as (
+  select distinct item_id::varchar as item, size, w[j:j + size - 1] as win from (
+    select item_id, w, least(10, len(w)) as size, unnest(range(1, len(w) - least(10, len(w)) + 2)) as j from b where len(w) > 0)
+), p as (
+  select rid, size, j, w[j:j + size - 1] as win from (
+    select rid, w, size, unnest(range(1, len(w) - size + 2)) as j
+    from d join (select distinct size from i) on len(w) >= size)
+), h as (select rid, j, p.size, item from p join i on p.size = i.size and p.win = i.win),
+c as (select rid, count(distinct k) as n_hit from (select rid, unnest(range(j, j + size)) as k from h) group by rid),
+t as (
+  select rid, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct rid, item from h where item is not null) group by rid
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (rid) left join t using (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1}
+    return {
+        "op1_quality_rules": OP1,
+        "op3_url_filters": OP3,
+        "op9_ngram_jaccard_join": OP9,
+        "op10_decontamination": OP10,
+    }
