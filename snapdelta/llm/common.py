@@ -12,6 +12,8 @@ SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\f\r"
 #: ASCII letters, for lower-casing A-Z alone.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What a table may take in memory to be sent to every executor.
+BROADCAST_BYTES = 32 << 20
 #: Elements that one running sum appends to before the next one starts.
 CHUNK = 256
 
@@ -25,6 +27,11 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return settle(df, shared_dir(df.sparkSession, purpose))
 
 
+def if_small(table: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A kept table marked for broadcast if its counted rows take at most so many bytes, else as it is."""
+    return F.broadcast(table) if table.count() * row_bytes <= most else table
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -5,11 +5,12 @@ under any order of all tokens the first a - o + 1 of one and the first b - o + 1
 candidate only if that holds under every one of several orders. All orders put rare tokens first: a token that a single
 set holds takes up a place of the prefix and matches nothing, which leaves ordinary texts without any candidate.
 
-Frequencies are exact counts of a fixed share of the token space (those with a small hash; every set sends all it holds of
-them, and as many more as its prefix is long). Tokens outside that share come last in every order, by hash.
+A first pass finds the sets that can have a link at all: it counts a fixed share of the token space (those with a small
+hash; every set sends all it holds of them, and as many more as its prefix is long), and a set whose prefix is made of
+tokens that nobody else sent is done. The second pass counts all tokens of the sets that are left, which are few.
 
-Equal sets are one class. Only what can change the answer is verified: first every class against the most central class
-of each of its posting lists; then, exactly, all candidate pairs that these links have left in different components.
+Equal sets are one class. Only what can change the answer is verified: first every class against one central class that
+shares most of its prefix; then, exactly, all candidate pairs that these links have left in different components.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import ascii_lower, kept, words
+from snapdelta.llm.common import ascii_lower, if_small, kept, words
 from snapdelta.llm.graph import components
 
 ORDERS = 3
@@ -71,27 +72,40 @@ def classes_of(signed: DataFrame) -> DataFrame:
     return kept(numbered.withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
 
 
-def prefixes_of(classes: DataFrame, percent: int) -> DataFrame:
-    """``cls, n, rare`` and per order an array (token, place): classes that still have a prefix when unique tokens are gone."""
+def _shared(tokens: DataFrame) -> DataFrame:
+    """Tokens that several classes hold, with the number of classes."""
+    return tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+
+
+def _prefix_length(percent: int) -> Column:
+    return F.col("n") - _needed(F.col("n"), percent) + 1
+
+
+def open_classes(classes: DataFrame, percent: int) -> DataFrame:
+    """``cls, _row, _c1`` of the classes that can have a link: not all of their prefix is theirs alone.
+
+    The order is that of the tokens sent, those held once first. Tokens beyond the counted share are only sent by sets
+    that need them to fill the prefix; all that such a set sent is its prefix.
+    """
     tokens = classes.select("cls", F.explode("_sent").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    found = tokens.join(shared, "token").groupBy("cls").agg(F.collect_list(F.struct("token", F.floor(F.log2("df")).alias("band"))).alias("_t"))
-    sized = classes.select("cls", "n", "_row", F.size("_sent").cast("long").alias("sent")).join(found, "cls")
-    length = F.col("n") - _needed(F.col("n"), percent) + 1
-    whole = F.col("sent") <= length
-    rare = F.col("sent") - F.size("_t")
-    left = sized.withColumn("rare", rare).where(whole | (length > rare)).withColumn("_left", F.when(whole, F.size("_t")).otherwise(length - F.col("rare")).cast("int"))
+    held = tokens.join(_shared(tokens), "token").groupBy("cls").agg(F.count("*").alias("_held"))
+    sent = classes.select("cls", "n", "_row", "_c1", F.size("_sent").alias("sent")).join(held, "cls")
+    return kept(sent.where(F.col("sent") - F.col("_held") < _prefix_length(percent)).select("cls", "_row", "_c1"), "jaccard-open")
+
+
+def prefixes_of(sets: DataFrame, percent: int) -> DataFrame:
+    """``cls, n, rare`` (tokens that no other class holds) and per order an array (token, place): the prefix behind those."""
+    tokens = sets.select("cls", F.explode("_set").alias("token"))
+    found = tokens.join(_shared(tokens), "token").groupBy("cls").agg(F.collect_list(F.struct("token", F.floor(F.log2("df")).alias("band"))).alias("_t"))
+    sized = sets.select("cls", F.size("_set").cast("long").alias("n")).join(found, "cls")
+    sized = sized.withColumn("rare", F.col("n") - F.size("_t")).withColumn("_left", (_prefix_length(percent) - F.col("rare")).cast("int"))
 
     def ordered(number: int) -> Column:
-        # Where tokens outside the counted share are sent, places are not known: the first place is never ruled out.
         by = F.sort_array(F.transform("_t", lambda x: F.struct(x["band"].alias("band"), F.xxhash64(F.lit(number), x["token"]).alias("by"), x["token"].alias("token"))))
-        return F.transform(
-            F.slice(by, 1, F.col("_left")),
-            lambda x, i: F.struct(x["token"].alias("token"), F.when(whole, 1).otherwise(F.col("rare") + i + 1).cast("long").alias("place")),
-        )
+        return F.transform(F.slice(by, 1, F.col("_left")), lambda x, i: F.struct(x["token"].alias("token"), (F.col("rare") + i + 1).alias("place")))
 
     orders = [ordered(number).alias(f"order_{number}") for number in range(ORDERS)]
-    return kept(left.select("cls", "n", "_row", "rare", *orders), "jaccard-prefixes")
+    return kept(sized.where("_left > 0").select("cls", "n", "rare", *orders), "jaccard-prefixes")
 
 
 def _postings(prefixes: DataFrame, number: int, *more: str) -> DataFrame:
@@ -110,17 +124,16 @@ def _can_link(percent: int, a: str = "a", b: str = "b") -> Column:
 
 
 def star_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Each class with the most central class (fewest unique tokens for its size) of each of its posting lists."""
-
-    def pairs(number: int) -> DataFrame:
-        posted = _postings(prefixes, number, "rare")
-        central = posted.groupBy("token").agg(
-            F.min_by(F.struct("cls", "n", "place"), F.struct((F.col("rare") / F.col("n")).alias("r"), "n", "cls")).alias("_m"), F.count("*").alias("_size")
-        ).where("_size > 1").select("token", "_m.*")
-        joined = posted.alias("a").join(central.alias("b"), "token").where("a.cls <> b.cls").where(_can_link(percent))
-        return joined.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b"))
-
-    return reduce(DataFrame.unionByName, (pairs(number) for number in range(ORDERS))).distinct()
+    """Each class with one other: of the most central classes of its posting lists (those with the fewest unique tokens for
+    their size), the one that leads most of them."""
+    posted = _postings(prefixes, 0, "rare")
+    central = posted.groupBy("token").agg(
+        F.min_by(F.struct("cls", "n", "place"), F.struct((F.col("rare") / F.col("n")).alias("r"), "n", "cls")).alias("_m"), F.count("*").alias("_size")
+    ).where("_size > 1").select("token", "_m.*")
+    joined = posted.alias("a").join(central.alias("b"), "token").where("a.cls <> b.cls").where(_can_link(percent))
+    led = joined.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).groupBy("a", "b").agg(F.count("*").alias("lists"))
+    best = led.groupBy("a").agg(F.max_by("b", F.struct("lists", "b")).alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def open_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +143,7 @@ def open_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame
     largest component, so a large group that is already linked is never paired with itself.
     """
     placed = prefixes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    placed = kept(placed, "jaccard-open")
+    placed = kept(placed, "jaccard-placed")
 
     def pairs(number: int) -> DataFrame:
         posted = _postings(placed, number, "root")
@@ -166,12 +179,16 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "
     plain = docs.select(*(c for c in docs.columns if c not in ("n_shingles", "component_id") and not c.startswith("_")))
     signed = signatures(plain, k, percent, text)
     classes = classes_of(signed)
-    prefixes = prefixes_of(classes, percent)
-    rows = prefixes.select("cls", "_row")
+    rows = open_classes(classes, percent)
     ids = [c for c in plain.columns if c.endswith("_id")]
     keyed = plain.withColumn("_row", F.xxhash64(*(F.col(c) for c in ids), F.col(text)))
-    texts = keyed.select("_row", text).join(rows, "_row").dropDuplicates(["cls"])
-    sets = kept(texts.select("cls", words(ascii_lower(F.col(text))).alias("_w")).select("cls", shingle_set(F.col("_w"), k).alias("_set")), "jaccard-verify")
+    # Where the rows are few their texts are picked out while reading; else both sides are shuffled.
+    texts = keyed.select("_row", text).join(if_small(rows, 24), "_row")
+    shingled = texts.select("cls", "_c1", words(ascii_lower(F.col(text))).alias("_w")).select("cls", "_c1", shingle_set(F.col("_w"), k).alias("_set"))
+    shingled = shingled.withColumn("_h", F.xxhash64("_set")).dropDuplicates(["cls", "_h"])
+    # Rows with equal hashes but other sets go; compared after the table is written, or the test would be evaluated per word.
+    sets = kept(shingled, "jaccard-verify").where("_h = _c1").select("cls", "_set")
+    prefixes = prefixes_of(sets, percent)
     first = kept(linked(star_pairs(prefixes, percent), sets, percent), "jaccard-links")
     rest = kept(linked(open_pairs(prefixes, components(first), percent), sets, percent), "jaccard-links")
     roots = components(first.unionByName(rest))
