@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import kept
+from snapdelta.llm.common import BROADCAST_BYTES, kept
+
+
+#: Bytes of a node and its minimum in memory; nodes may be urls.
+ROW_BYTES = 256
 
 
 def _sum(edges: DataFrame) -> tuple:
@@ -26,10 +30,12 @@ def components(edges: DataFrame, source: str = "a", target: str = "b") -> DataFr
     before = _sum(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("root").alias("node"), F.col("node").alias("root")))
+        # Minima are at most two per edge: counted edges say whether they can be sent to every executor.
+        near = F.broadcast if 2 * before[0] * ROW_BYTES <= BROADCAST_BYTES else lambda df: df
         least = both.groupBy("node").agg(F.min("root").alias("least")).select("node", F.least("node", "least").alias("least"))
-        large = both.join(least, "node").where("root > node").select(F.col("root").alias("node"), F.col("least").alias("root")).distinct()
+        large = both.join(near(least), "node").where("root > node").select(F.col("root").alias("node"), F.col("least").alias("root"))
         least = large.groupBy("node").agg(F.min("root").alias("least"))
-        hung = large.join(least, "node").where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"))
+        hung = large.join(near(least), "node").where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"))
         now = kept(hung.unionByName(least.select("node", F.col("least").alias("root"))).distinct(), "graph")
         after = _sum(now)
         if after == before:

@@ -24,8 +24,8 @@ from snapdelta.llm.common import ascii_lower, if_small, kept, words
 from snapdelta.llm.graph import components
 
 ORDERS = 3
-#: Share of the token space that is counted, as a multiple of 1 - threshold.
-COUNTED = 1.5
+#: Share of the token space that the first pass counts: so many times 1 - threshold, and so much more.
+COUNTED, COUNTED_MORE = 1.2, 0.1
 
 
 def shingle_set(of: Column, k: int) -> Column:
@@ -46,7 +46,7 @@ def _overlap(a: Column, b: Column, percent: int) -> Column:
 
 def signatures(docs: DataFrame, k: int, percent: int, text: str) -> DataFrame:
     """Per row: size of the set, two hashes of the whole set, the tokens sent to the index. Kept as a table, without texts."""
-    below = int(-(2**63) + min(1.0, COUNTED * (1 - percent / 100)) * 2**64) - 1
+    below = int(-(2**63) + min(1.0, COUNTED * (1 - percent / 100) + COUNTED_MORE) * 2**64) - 1
     ids = [c for c in docs.columns if c != text]
     row = F.xxhash64(*(F.col(c) for c in ids if c.endswith("_id")), F.col(text))
     worded = docs.select(*ids, row.alias("_row"), words(ascii_lower(F.col(text))).alias("_w"))
@@ -160,13 +160,31 @@ def open_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets reach the threshold; ``sets``: cls and whole shingle set."""
+    """The pairs whose sets reach the threshold; ``sets``: cls and whole shingle set. Only sets of the pairs are moved."""
+    pairs = kept(pairs, "jaccard-pairs")
+    named = kept(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "jaccard-named")
+    sets = sets.join(if_small(named, 8), "cls", "left_semi")
     left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("_set").alias("_x")), "a")
     both = left.join(sets.select(F.col("cls").alias("b"), F.col("_set").alias("_y")), "b")
     same = F.size(F.array_intersect("_x", "_y"))
     return both.where(100 * same >= percent * (F.size("_x") + F.size("_y") - same)).select("a", "b")
 
 
+def _whole_sets(docs: DataFrame, signed: DataFrame, rows: DataFrame, k: int, text: str) -> DataFrame:
+    """``cls, _set`` of the classes in ``rows``, from the text of the row that stands for each."""
+    ids = [c for c in docs.columns if c.endswith("_id")]
+    keyed = docs.select(F.xxhash64(*(F.col(c) for c in ids), F.col(text)).alias("_row"), text)
+    # Where the rows are few their texts are picked out while reading; else both sides are shuffled.
+    few = if_small(rows, 24)
+    shingled = keyed.join(few, "_row").select("cls", "_c1", words(ascii_lower(F.col(text))).alias("_w"))
+    sets = shingled.select("cls", "_c1", shingle_set(F.col("_w"), k).alias("_set")).withColumn("_h", F.xxhash64("_set"))
+    repeated = signed.select("_row").join(few.select("_row"), "_row").groupBy("_row").agg(F.count("*").alias("n"))
+    if not repeated.where("n > 1").isEmpty():
+        sets = sets.dropDuplicates(["cls", "_h"])
+    # A row with an equal hash but another set goes; compared after the table is written, or the test would be evaluated per word.
+    return kept(sets, "jaccard-verify").where("_h = _c1").select("cls", "_set")
+
+
 def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` but the text, with ``n_shingles`` (size of the set), ``component_id`` (smallest id reachable
     by links, itself included), and ``_row``, ``_group``: hash of the row, number of its group.
@@ -179,15 +197,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "
     plain = docs.select(*(c for c in docs.columns if c not in ("n_shingles", "component_id") and not c.startswith("_")))
     signed = signatures(plain, k, percent, text)
     classes = classes_of(signed)
-    rows = open_classes(classes, percent)
-    ids = [c for c in plain.columns if c.endswith("_id")]
-    keyed = plain.withColumn("_row", F.xxhash64(*(F.col(c) for c in ids), F.col(text)))
-    # Where the rows are few their texts are picked out while reading; else both sides are shuffled.
-    texts = keyed.select("_row", text).join(if_small(rows, 24), "_row")
-    shingled = texts.select("cls", "_c1", words(ascii_lower(F.col(text))).alias("_w")).select("cls", "_c1", shingle_set(F.col("_w"), k).alias("_set"))
-    shingled = shingled.withColumn("_h", F.xxhash64("_set")).dropDuplicates(["cls", "_h"])
-    # Rows with equal hashes but other sets go; compared after the table is written, or the test would be evaluated per word.
-    sets = kept(shingled, "jaccard-verify").where("_h = _c1").select("cls", "_set")
+    sets = _whole_sets(plain, signed, open_classes(classes, percent), k, text)
     prefixes = prefixes_of(sets, percent)
     first = kept(linked(star_pairs(prefixes, percent), sets, percent), "jaccard-links")
     rest = kept(linked(open_pairs(prefixes, components(first), percent), sets, percent), "jaccard-links")
