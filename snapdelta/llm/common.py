@@ -32,6 +32,20 @@ def if_small(table: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> D
     return F.broadcast(table) if table.count() * row_bytes <= most else table
 
 
+def row_key(columns: list[str], text: str, replaced: tuple[str, ...] = ()) -> Column:
+    """A hash of a row's ids and text that an operator and its callers share: columns that the operator drops or replaces
+    (``replaced``, and names that begin with ``_``) are no part of it."""
+    return F.xxhash64(*(F.col(c) for c in columns if c.endswith("_id") and c not in replaced and not c.startswith("_")), F.col(text))
+
+
+def free_name(columns: list[str], name: str = "_row") -> str:
+    """The name, longer by underscores until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -14,11 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.llm import wordhash
-from snapdelta.llm.common import kept
+from snapdelta.llm.common import free_name, kept, row_key
 from snapdelta.llm.wordhash import gram_hashes, word_hashes
 
 WINDOW, GRAM = 10, 5
@@ -62,10 +62,6 @@ def _per_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             yield from np.split(hashes, np.cumsum(counts)[:-1])
 
 
-def _row_key(columns: list[str], text: str) -> Column:
-    return F.xxhash64(*(F.col(c) for c in columns if c.endswith("_id")), F.col(text))
-
-
 def _sends(df: DataFrame, text: str, extra: dict[str, str], of) -> DataFrame:
     """``df`` without its text, with the columns that ``of`` makes from the word hashes of each text."""
     others = [c for c in df.columns if c != text]
@@ -133,7 +129,7 @@ def contamination(
     """
     columns = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "contaminated") and not c.startswith("_")]
     plain = docs.select(*columns)
-    keyed = plain.withColumn("_row", _row_key(columns, text))
+    keyed = plain.withColumn("_row", row_key(columns, text))
     items = _item_windows(benchmark, text, item_id, window, gram)
     lengths = tuple(sorted(r["size"] for r in items.where((F.col("size") > 0) & (F.col("size") < window)).select("size").distinct().collect()))
 
@@ -193,4 +189,5 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """``docs`` without the rows that hold a window of the benchmark; all other rows unchanged."""
     bad = kept(contamination(docs, benchmark, text, item_id).where("contaminated").select("_row").distinct(), "contaminated")
-    return docs.withColumn("_row", _row_key(docs.columns, text)).join(bad, "_row", "left_anti").select(*docs.columns)
+    key = free_name(docs.columns)
+    return docs.withColumn(key, row_key(docs.columns, text)).join(bad.withColumnRenamed("_row", key), key, "left_anti").select(*docs.columns)

@@ -20,10 +20,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import ascii_lower, if_small, kept, words
+from snapdelta.llm.common import ascii_lower, free_name, if_small, kept, row_key, words
 from snapdelta.llm.graph import components
 
 ORDERS = 3
+#: Columns of the result; a column of the documents with such a name is replaced.
+RESULTS = ("n_shingles", "component_id")
 #: Share of the token space that the first pass counts: so many times 1 - threshold, and so much more.
 COUNTED, COUNTED_MORE = 1.2, 0.1
 
@@ -48,7 +50,7 @@ def signatures(docs: DataFrame, k: int, percent: int, text: str) -> DataFrame:
     """Per row: size of the set, two hashes of the whole set, the tokens sent to the index. Kept as a table, without texts."""
     below = int(-(2**63) + min(1.0, COUNTED * (1 - percent / 100) + COUNTED_MORE) * 2**64) - 1
     ids = [c for c in docs.columns if c != text]
-    row = F.xxhash64(*(F.col(c) for c in ids if c.endswith("_id")), F.col(text))
+    row = row_key(ids, text, RESULTS)
     worded = docs.select(*ids, row.alias("_row"), words(ascii_lower(F.col(text))).alias("_w"))
     sets = worded.select(*ids, "_row", shingle_set(F.col("_w"), k).alias("_set"))
     n = F.size("_set").cast("long")
@@ -172,8 +174,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _whole_sets(docs: DataFrame, signed: DataFrame, rows: DataFrame, k: int, text: str) -> DataFrame:
     """``cls, _set`` of the classes in ``rows``, from the text of the row that stands for each."""
-    ids = [c for c in docs.columns if c.endswith("_id")]
-    keyed = docs.select(F.xxhash64(*(F.col(c) for c in ids), F.col(text)).alias("_row"), text)
+    keyed = docs.select(row_key(docs.columns, text, RESULTS).alias("_row"), text)
     # Where the rows are few their texts are picked out while reading; else both sides are shuffled.
     few = if_small(rows, 24)
     shingled = keyed.join(few, "_row").select("cls", "_c1", words(ascii_lower(F.col(text))).alias("_w"))
@@ -194,7 +195,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "
     Repeated rows are linked. A null id counts as larger than any other. An empty table stays empty. Columns with the names of the results are
     replaced. Sets are compared by 64-bit hashes of shingles, classes by 128 bits.
     """
-    plain = docs.select(*(c for c in docs.columns if c not in ("n_shingles", "component_id") and not c.startswith("_")))
+    plain = docs.select(*(c for c in docs.columns if c not in RESULTS and not c.startswith("_")))
     signed = signatures(plain, k, percent, text)
     classes = classes_of(signed)
     sets = _whole_sets(plain, signed, open_classes(classes, percent), k, text)
@@ -226,8 +227,9 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "t
     stays = grouped.groupBy("_group").agg(F.min(F.struct(F.col(doc_id).isNull(), doc_id, "_row")).alias("_m")).select(F.col("_m._row").alias("_row"), F.lit(True).alias("_stays"))
     rows = grouped.groupBy("_row").agg(F.count("*").alias("_times")).join(stays, "_row", "left")
     marked = kept(rows.where("_stays is null or _times > 1"), "near-rows")
-    ids = [F.col(c) for c in columns if c.endswith("_id")]
-    keyed = docs.withColumn("_row", F.xxhash64(*ids, F.col(text)))
-    rest = keyed.join(marked, "_row", "left_anti")
-    twice = keyed.join(marked.where("_stays").select("_row"), "_row", "left_semi").dropDuplicates(["_row"])
+    key = free_name(columns)
+    keyed = docs.withColumn(key, row_key(columns, text, RESULTS))
+    marked = marked.withColumnRenamed("_row", key)
+    rest = keyed.join(marked, key, "left_anti")
+    twice = keyed.join(marked.where("_stays").select(key), key, "left_semi").dropDuplicates([key])
     return rest.unionByName(twice).select(*columns)

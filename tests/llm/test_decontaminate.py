@@ -70,3 +70,11 @@ def test_odd_tables(spark, documents):
     assert {r.n_hit for r in contamination(docs, bench.limit(0)).collect()} == {0}
     null_id = bench.withColumn("item_id", F.lit(None).cast("long"))
     assert sorted((r.n_hit, r["items"]) for r in contamination(docs, null_id).collect())[-1] == (12, [])
+
+
+def test_contaminated_rows_go_whatever_other_columns_there_are(spark, documents):
+    bench = spark.createDataFrame([(1, " ".join("abcdefghijkl"))], "item_id long, text string")
+    docs = documents([" ".join("abcdefghijkl"), "x", None], component_id=["p", "q", "r"], _x_id=["s", "t", "u"], _row=["v", "w", "x"])
+    out = drop_contaminated(docs, bench)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.component_id, r["_x_id"], r["_row"]) for r in out.collect()) == [(1, "q", "t", "w"), (2, "r", "u", "x")]

@@ -89,3 +89,14 @@ def test_odd_tables(documents):
     assert jaccard_groups(docs.limit(0)).count() == 0 and one_per_group(documents([]) if False else docs.drop("_row").limit(0)).count() == 0
     nulls = jaccard_groups(docs.withColumn("doc_id", F.when(F.col("doc_id") == 1, 1)), 3, 90).collect()
     assert sorted((r.component_id is None, r.n_shingles) for r in nulls) == [(False, 2), (False, 2), (True, 0)]
+
+
+def test_copies_go_whatever_other_columns_there_are(documents):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join(base), " ".join(base[:-1]), "a text of its own", None]
+    docs = documents(texts, component_id=list("abcde"), _x_id=list("vwxyz"), _row=list("fghij"))
+    out = one_per_group(docs, 5, 80)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.component_id, r["_x_id"], r["_row"]) for r in out.collect()) == [(0, "a", "v", "f"), (3, "d", "y", "i"), (4, "e", "z", "j")]
+    back = docs.drop("component_id").join(jaccard_groups(docs, 5, 80).select("doc_id", "component_id"), "doc_id")
+    assert sorted(r.doc_id for r in one_per_group(back, 5, 80).collect()) == [0, 3, 4]
