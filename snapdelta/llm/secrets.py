@@ -33,7 +33,8 @@ RULES = (
     Rule("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # A whole key: through the END line of the same label, to the end of the text where there is none.
+    Rule("private_key", r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?s:.*?)(?:-----END \1PRIVATE KEY-----|(?![\s\S]))"),
     Rule("hosting_token", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abps]-[A-Za-z0-9-]{10,}"),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
@@ -139,14 +140,9 @@ def _matches(df: DataFrame, rule: Rule, text: str) -> DataFrame:
     return found.withColumn("_m", F.filter("_m", long_enough))
 
 
-def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, and ``secrets``: spans (start, order of the kind, end, kind, match) by start, then
-    kind as the rules list them.
-
-    Null and empty texts have an empty array. Repeated rows get equal results, an empty table stays empty. A column named
-    ``secrets`` or beginning with ``_`` is replaced.
-    """
-    found = with_candidates(docs.select(*(c for c in docs.columns if c != "secrets" and not c.startswith("_"))), rules, text)
+def _with_spans(docs: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
+    """Adds ``_spans``: (start, order of the kind, end, kind, match) of every secret, by start, then order."""
+    found = with_candidates(docs, rules, text)
     for order, rule in enumerate(rules):
         found = _matches(found, rule, text)
         spans = F.transform(
@@ -157,25 +153,50 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
         )
         found = found.withColumn(f"_s{order}", spans).drop("_m")
     each = [f"_s{order}" for order in range(len(rules))]
-    return found.withColumn("secrets", F.sort_array(F.concat(*each))).drop(*each, "_kinds", text)
+    return found.withColumn("_spans", F.sort_array(F.concat(*each))).drop(*each, "_kinds")
 
 
-def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", mask: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret replaced, rule after rule, so that overlapping ones are all covered. Null stays null."""
-    found = with_candidates(docs, rules, text)
-    for rule in rules:
-        wanted = F.array_contains("_kinds", rule.kind)
-        parts = F.when(
-            wanted,
-            F.struct(
-                F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0)).alias("found"), F.split(text, rule.regex, -1).alias("gaps")
+def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` but the text, and ``secrets``: spans (start, order of the kind, end, kind, match) by start, then
+    kind as the rules list them.
+
+    Null and empty texts have an empty array. Repeated rows get equal results, an empty table stays empty. A column named
+    ``secrets`` or beginning with ``_`` is replaced.
+    """
+    found = _with_spans(docs.select(*(c for c in docs.columns if c != "secrets" and not c.startswith("_"))), rules, text)
+    return found.withColumnRenamed("_spans", "secrets").drop(text)
+
+
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with a mask for every stretch that overlapping spans (by start) cover together.
+
+    Four bytes a character, so that a place in the text is one in the bytes; the mark before a piece is the byte order's,
+    which is not part of it.
+    """
+
+    def pieces(of: Column) -> Column:
+        wide, found = of["wide"], of["found"]
+        piece = lambda start, length: F.decode(F.concat(F.unhex(F.lit("0000FEFF")), wide.substr((4 * start + 1).cast("int"), (4 * length).cast("int"))), "UTF-32")
+        return F.aggregate(
+            found,
+            F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("out")),
+            lambda so_far, s: F.struct(
+                F.greatest(so_far["end"], s["end"]).alias("end"),
+                F.when((s["start"] >= so_far["end"]), F.array_append(so_far["out"], piece(so_far["end"], s["start"] - so_far["end"])))
+                .otherwise(so_far["out"]).alias("out"),
             ),
+            lambda so_far: F.array_join(F.array_append(so_far["out"], piece(so_far["end"], F.length(wide) / 4 - so_far["end"])), mask),
         )
-        found = found.withColumn("_p", parts)
-        long_enough = lambda m: F.length(F.regexp_extract(m, rule.regex, rule.part)) >= rule.least
-        masked = F.zip_with("_p.gaps", "_p.found", lambda g, m: F.concat(g, F.when(m.isNull(), "").when(long_enough(m), mask).otherwise(m)))
-        found = found.withColumn(text, F.when(F.size("_p.found") > 0, F.concat_ws("", masked)).otherwise(F.col(text))).drop("_p")
-    return found.select(*docs.columns)
+
+    # Through an array of one, so that the bytes are made once and not per span.
+    return F.when(F.size(spans) > 0, F.transform(F.array(F.struct(F.encode(text, "UTF-32").alias("wide"), spans.alias("found"))), pieces)[0]).otherwise(text)
+
+
+def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", mask: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret replaced. The spans are those of the text as given; what overlapping ones cover together is
+    replaced as one. Null stays null."""
+    found = _with_spans(docs, rules, text)
+    return found.withColumn(text, _masked(F.col(text), F.col("_spans"), mask)).select(*docs.columns)
 
 
 # A rule has to be readable by both regex engines.
