@@ -35,47 +35,66 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def linked_url(url: Column, html: Column) -> Column:
-    """Where a page says it belongs: its refresh target, else its canonical link; null if neither. Relative ones are resolved
-    against the host; a relative path without a leading slash is left out."""
-    value = r"""\s*=\s*["']?([^"'\s<>]+)"""
-    refresh = F.regexp_extract(html, r"(?i)<meta\b[^<>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^<>]*", 0)
-    canonical = F.regexp_extract(html, r"(?i)<link\b[^<>]*\brel\s*=\s*[\"']?canonical\b[^<>]*", 0)
-    lower = F.lower(html)
-    target = F.coalesce(
-        F.when(lower.contains("refresh"), F.nullif(F.regexp_extract(refresh, r"(?i)\burl" + value, 1), F.lit(""))),
-        F.when(lower.contains("canonical"), F.nullif(F.regexp_extract(canonical, r"(?i)\bhref" + value, 1), F.lit(""))),
+def without_dots(path: Column) -> Column:
+    """The path without its segments ``.`` and ``..``, which the latter takes one more with it."""
+    parts = F.split(path, "/")
+    up = lambda so_far: F.slice(so_far, 1, F.greatest(F.size(so_far) - 1, F.lit(0)))
+    left = F.aggregate(
+        F.slice(parts, 2, F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda so_far, x: F.when(x == "..", up(so_far)).when(x == ".", so_far).otherwise(F.array_append(so_far, x)),
+        lambda so_far: F.concat(F.lit("/"), F.array_join(so_far, "/"), F.when(path.rlike(r"/\.\.?$") & (F.size(so_far) > 0), "/").otherwise("")),
     )
-    return (
-        F.when(target.contains("://"), target)
-        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(url), target))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), left).otherwise(path)
+
+
+def node_of(host: Column, path: Column) -> Column:
+    """The node of a page; null without a host."""
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(without_dots(path))))
+
+
+def linked_urls(url: Column, html: Column) -> Column:
+    """Where a page says it belongs: the targets of all its refreshes and canonical links, relative ones resolved against
+    the page's host and directory. Targets of other schemes without ``//`` (mailto and the like) are left out."""
+    value = r"""\s*=\s*["']?([^"'\s<>]+)"""
+
+    def targets(named: str, tag: str, attribute: str) -> Column:
+        tags = F.when(F.lower(html).contains(named), F.regexp_extract_all(html, F.lit(tag), F.lit(0)))
+        return F.coalesce(F.transform(tags, lambda x: F.regexp_extract(x, attribute + value, 1)), F.array().cast("array<string>"))
+
+    def resolved(target: Column) -> Column:
+        own = F.concat(F.lit("http://"), host_of(url))
+        return (
+            F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | target.startswith("://"), target)
+            .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(target.startswith("/"), F.concat(own, target))
+            .when(target.rlike("^[?#]"), F.concat(own, path_of(url)))
+            .otherwise(F.concat(own, F.coalesce(F.nullif(F.regexp_extract(path_of(url), "(?s)^.*/", 0), F.lit("")), F.lit("/")), target))
+        )
+
+    every = F.concat(
+        targets("refresh", r"(?i)<meta\b[^<>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^<>]*", r"(?i)\burl"),
+        targets("canonical", r"(?i)<link\b[^<>]*\brel\s*=\s*[\"']?canonical\b[^<>]*", r"(?i)\bhref"),
     )
+    return F.array_compact(F.transform(F.filter(every, lambda x: x != ""), resolved))
 
 
 def url_filter(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html") -> DataFrame:
     """All columns of ``pages`` but the html, with ``host``, ``path``, ``rule`` (null: none fits) and ``verdict``.
 
-    Pages are nodes by host and path: scheme, query and fragment lead to the same page. Redirects and canonical links are
-    edges. A page's own rule decides; without one, a group that holds an explicitly allowed address is allowed, else a
+    Pages are nodes by host and path: scheme, query and fragment lead to the same page. All redirects and canonical links
+    of a page are edges. A page's own rule decides; without one, a group that holds an explicitly allowed address is allowed, else a
     group that holds a blocked one is blocked, else the page is allowed. A null url, or one without ``://``, has empty
     parts and no links and is allowed. Repeated rows get equal results; an empty table stays empty. Columns with the
     names of the results are replaced.
     """
     ids = [c for c in pages.columns if c not in (html, "host", "path", "rule", "verdict") and not c.startswith("_")]
-    link = linked_url(F.col(url), F.col(html))
-    read = pages.select(*ids, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), link.alias("_link"))
+    links = F.transform(linked_urls(F.col(url), F.col(html)), lambda x: node_of(host_of(x), path_of(x)))
+    read = pages.select(*ids, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), F.array_distinct(F.array_compact(links)).alias("_links"))
     judged = read.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    node = lambda host, path: F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path)))
-    judged = kept(
-        judged.select(
-            *ids, "host", "path", "_rule",
-            node(F.col("host"), F.col("path")).alias("_node"),
-            node(host_of(F.col("_link")), path_of(F.col("_link"))).alias("_to"),
-        ),
-        "url-pages",
-    )
-    groups = components(judged.where("_to is not null").select(F.col("_node").alias("a"), F.col("_to").alias("b")))
+    judged = kept(judged.select(*ids, "host", "path", "_rule", node_of(F.col("host"), F.col("path")).alias("_node"), "_links"), "url-pages")
+    groups = components(judged.where("_node is not null").select(F.col("_node").alias("a"), F.explode("_links").alias("b")))
     slash = F.instr("node", "/")
     ruled = groups.withColumn("_rule", rule_of(F.expr("substring(node, 1, instr(node, '/') - 1)"), F.col("node").substr(slash, F.length("node")), rules))
     decided = ruled.groupBy("root").agg(

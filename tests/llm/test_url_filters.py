@@ -71,3 +71,23 @@ def test_components(spark, edges):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.root) for r in got} == {(x, root(x)) for x in parent}
     assert len(got) == len(parent)
+
+
+def test_every_link_is_an_edge(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [
+        ("http://a.com/1", refresh.format("http://b.com/plain") + canonical("http://evil.net/x")),
+        ("http://b.com/plain", ""),
+        ("http://c.com/d/e/1.html?x=/y", canonical("page.html")),
+        ("http://c.com/d/e/page.html", refresh.format("../up.html") + refresh.format("http://f.com/")),
+        ("http://c.com/d/up.html", canonical("?id=1") + canonical("http://evil.net/z")),
+        ("http://f.com", canonical("mailto:x@evil.net")),
+        ("http://g.com", canonical("a/./b/../c")),
+        ("http://g.com/a/c", canonical("/../q/..")),
+        ("http://g.com/", canonical("http://evil.net/")),
+        ("http://h.com/go", canonical("/to?u=http://evil.net/")),
+        ("http://h.com/i", canonical("#top") + canonical("http://h.com/go")),
+        (None, canonical("page.html") + canonical("http://evil.net/")),
+    ]
+    got = {r.page_id: r.verdict for r in url_filter(pages(spark, rows)).collect()}
+    assert got == dict.fromkeys(range(9), "block") | dict.fromkeys((9, 10, 11), "allow")
