@@ -14,10 +14,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapdelta.llm import wordhash
+from snapdelta.llm.common import kept, word_count
 from snapdelta.llm.wordhash import PIECE, gram_hashes, word_hashes
 
 for _module in (wordhash, sys.modules[__name__]):
@@ -25,7 +26,7 @@ for _module in (wordhash, sys.modules[__name__]):
 
 #: Words of a passage.
 PASSAGE = 64
-#: The bound of the sample: labelled texts of each class, and evenly spaced passages of each of them.
+#: The bound of the sample: labelled texts of each class, and passages that they have on average at most.
 SAMPLE_PER_CLASS, SAMPLE_PASSAGES = 1500, 48
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, DECAY, SEED = 24, 12, 40, 64, 0.01, 1e-4, 7
 KEEP_FROM = 0.3
@@ -169,29 +170,40 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All passages of the texts; the first row of an id and label stands for all that this task sees of it."""
+    seen = set()
     for batch in batches:
-        rows = []
-        for text in batch.column(batch.schema.names.index("_text")):
-            x = encode(text.as_py())
-            if len(x) > SAMPLE_PASSAGES:
-                x = x[np.linspace(0, len(x) - 1, SAMPLE_PASSAGES).astype(int)]
-            rows.append(x.ravel())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float32()))], ["_id", "_label", "x"])
+        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for i, (key, text) in enumerate(zip(keys, batch.column(2))):
+            if key not in seen:
+                seen.add(key)
+                x = pa.array([encode(text.as_py()).ravel()], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), x], ["_id", "_label", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     """A model from at most ``per_class`` labelled texts of each class, chosen by a hash of the id among those not held out.
 
-    None if not both classes are labelled. The sample is the only thing that reaches the driver: at most 2 * ``per_class``
-    texts of ``SAMPLE_PASSAGES`` rows.
+    None if not both classes are labelled. An id has one text, that with the smallest hash, however many rows it has. Every
+    chosen text has all its passages; in the order of the choice, texts are taken until those of a class have ``per_class`` *
+    ``SAMPLE_PASSAGES`` passages. That, and the rest of the last text, is all that reaches the driver.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_label")).where(~held_out(F.col("_id")) & F.col("_id").isNotNull()).distinct()
     chosen = None
     for value in (0, 1):
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("_text")).join(F.broadcast(chosen), "_id")
-    sample = rows.select("_id", F.col("_label").cast("int").alias("_label"), "_text").mapInArrow(_encoded, f"_id {docs.schema[doc_id].dataType.simpleString()}, _label int, x array<float>")
+    chosen = kept(chosen.withColumn("_label", F.col("_label").cast("int")), "train-chosen")
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("_text"), F.col(text).alias("_words"))
+    rows = texts.join(F.broadcast(chosen), "_id").withColumn("_hash", F.xxhash64("_text"))
+    passages = F.greatest(F.ceil(word_count(F.col("_words")) / PASSAGE), F.lit(1)).cast("long")
+    one = rows.groupBy("_id", "_label").agg(F.min("_hash").alias("_hash"), F.min_by(passages, "_hash").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, -1))
+    taken = one.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < per_class * SAMPLE_PASSAGES)
+    taken = kept(taken.select("_id", "_label", "_hash"), "train-taken")
+    hashed = texts.select("_id", "_text", F.xxhash64("_text").alias("_hash")).join(F.broadcast(taken), ["_id", "_hash"])
+    encoded = hashed.select("_id", "_label", "_text").mapInArrow(_encoded, f"_id {docs.schema[doc_id].dataType.simpleString()}, _label int, x array<float>")
+    sample = encoded.dropDuplicates(["_id", "_label"])
     got = sample.toArrow()
     bags = [np.array(x.values.to_numpy(), np.float32).reshape(-1, WIDTH) for x in got.column("x")]
     marks = got.column("_label").to_numpy().astype(float)

@@ -67,3 +67,19 @@ def test_odd_tables(spark):
     twice = [r.score for r in out if r.text == "a b"]
     assert twice[0] == twice[1]
     assert qc.score_texts(docs.limit(0), model).count() == 0
+
+
+def test_one_row_of_an_id_with_all_its_passages(spark, monkeypatch):
+    monkeypatch.setattr(qc, "fit", lambda bags, marks: (bags, marks.tolist()))
+    rows = [r for r in made(40, 5) if zlib.crc32(str(r[0]).encode()) % 5]
+    long = " ".join(f"w{i}" for i in range(qc.PASSAGE * 100 - 1))
+    hot, other = rows[0][0], rows[1][0]
+    docs = [r[:2] for r in rows[2:]] + [(hot, long)] * 30 + [(other, f"text {i}") for i in range(30)]
+    labels = spark.createDataFrame([(r[0], i % 2) for i, r in enumerate(rows)], "doc_id long, quality int")
+    bags, marks = qc.train(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), labels)
+    assert len(bags) == len(marks) == len(rows)
+    assert max(map(len, bags)) == 100 and np.allclose(bags[0], qc.encode(long.encode()))
+    # The bound counts passages too, and ends at whole texts.
+    monkeypatch.setattr(qc, "SAMPLE_PASSAGES", 1)
+    few, _ = qc.train(spark.createDataFrame(docs, "doc_id long, text string"), labels, per_class=8)
+    assert 2 <= len(few) <= 16 and {b.tobytes() for b in few} <= {b.tobytes() for b in bags}
