@@ -1,11 +1,11 @@
 """Operator 6, HTML extraction: ratios of tag paths tell content from the rest of a page.
 
-A page's text falls into blocks, each with the path of tags (and classes) that leads to it. Per path, the lengths of text
-and the punctuation of all its blocks are summed; both are smoothed over neighbouring paths in page order and fused; paths
-that reach a share of the page's mean are content. All paths of an ``article`` or ``main`` element share the best ratio among
-them, so that a heading or a short line is judged with the text it belongs to. Paths through elements that never hold an
-article's text (navigation, forms, scripts, comments of readers and the like) are out from the start, and so is what
-stands outside such an element where a page has one.
+A page's text falls into blocks, each with the path of tags that leads to it; each ``article`` or ``main`` element has paths of
+its own, and so have parts that are marked as something else (navigation, forms, comments of readers and the like). Per
+path, the lengths of text and the punctuation of all its blocks are averaged; both are smoothed over neighbouring paths in
+page order and fused; paths that reach a share of the page's mean are content. Classes and names of elements only weigh a
+ratio, far less in a marked part. All paths of one article share the best ratio among them, so that a heading or a short
+line is judged with the text it belongs to. Only markup and scripts are out from the start.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ SPACE = re.compile(r"[ \t\n\r\f\v]+")
 PUNCTUATION = re.compile(r"[.,;:!?。，！？、]")
 #: Share of the mean fused ratio that a path has to reach; weight of each neighbour in smoothing.
 LEAST_SHARE, NEIGHBOUR = 0.2, 0.1
+#: Weight of a ratio in a part that is marked as something else; elsewhere it is 1.
+OUTSIDE_WEIGHT = 0.001
 
 
 def _outside(label: str) -> bool:
@@ -56,10 +58,11 @@ def _outside(label: str) -> bool:
     return bool(parts) and parts[0] not in ("with", "has", "no", "is") and not OUTSIDE_WORDS.isdisjoint(parts)
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
-    """(path, text, outside the article, inside an article element) of every block of a page, in page order."""
+def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, int]]:
+    """(path, text, marked as something else, number of the innermost article element or 0) of every block, in page order."""
     out: list = []
-    open_tags: list[tuple[str, bool, bool]] = []
+    open_tags: list[tuple[str, bool, int]] = []
+    articles = 0
     text: list[str] = []
     at = 0
 
@@ -69,7 +72,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
             text.clear()
             if joined:
                 path = tuple(t[0] for t in open_tags if t[0] not in INLINE)
-                outside, inside = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
+                outside, inside = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0)
                 out.append((path, joined, outside, inside))
 
     def close(name: str) -> None:
@@ -111,26 +114,24 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, bool]]:
         if name in SAME_ENDS:
             closes_implied(SAME_ENDS[name])
         marked = "=" in found["rest"] and name not in WHOLE and any(_outside(x) for a in ATTRIBUTE.findall(found["rest"]) for x in a.strip("\"'").lower().split())
-        above = open_tags[-1] if open_tags else (None, False, False)
+        above = open_tags[-1] if open_tags else (None, False, 0)
         article = name in ("article", "main") and not above[1]
+        articles += article
         outside = above[1] or (name in OUTSIDE and not (name == "header" and above[2])) or marked
-        open_tags.append((name, outside, (above[2] or article) and not outside))
+        open_tags.append((name, outside, 0 if outside else articles if article else above[2]))
     text.append(page[at:])
     flush()
     return out
 
 
 def main_text(page: str | None) -> str:
-    """The text of a page's content paths, blocks joined by one space; empty for null and for pages without content."""
+    """The text of a page's content paths, blocks joined by one space; empty for null and for pages without text."""
     found = blocks(page or "")
-    if any(b[3] for b in found):
-        found = [b for b in found if b[3]]
-    found = [b for b in found if not b[2]]
     if not found:
         return ""
-    sums: dict[tuple[str, ...], list[int]] = {}
-    for path, text, _, _ in found:
-        of = sums.setdefault(path, [0, 0, 0])
+    sums: dict[tuple, list[int]] = {}
+    for path, text, outside, article in found:
+        of = sums.setdefault((path, outside, article), [0, 0, 0])
         of[0] += len(text)
         of[1] += len(PUNCTUATION.findall(text))
         of[2] += 1
@@ -140,19 +141,16 @@ def main_text(page: str | None) -> str:
     ]
     length = smooth([sums[p][0] / sums[p][2] for p in paths])
     marks = smooth([sums[p][1] / sums[p][2] for p in paths])
-    fused = [a * (1 + b) for a, b in zip(length, marks)]
-    best: dict[tuple[str, ...], float] = {}
-    for path, f in zip(paths, fused):
-        of = _article(path)
-        best[of] = max(best.get(of, 0.0), f)
-    least = LEAST_SHARE * sum(fused) / len(fused)
-    chosen = {p for p, f in zip(paths, fused) if (best[_article(p)] if _article(p) else f) >= least}
-    return " ".join(text for path, text, _, _ in found if path in chosen)
-
-
-def _article(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The path of the article that a path leads through; empty if none."""
-    return next((path[: i + 1] for i, name in enumerate(path) if name in ("article", "main")), ())
+    # Where all of a page is marked (a form around everything, say), no part weighs less than another.
+    every = all(outside for _, outside, _ in paths)
+    weights = [OUTSIDE_WEIGHT if outside and not every else 1.0 for _, outside, _ in paths]
+    fused = [w * a * (1 + b) for w, a, b in zip(weights, length, marks)]
+    best: dict[int, float] = {}
+    for (_, _, article), f in zip(paths, fused):
+        best[article] = max(best.get(article, 0.0), f)
+    least = LEAST_SHARE * sum(fused) / sum(weights)
+    chosen = {p for p, f in zip(paths, fused) if (best[p[2]] if p[2] else f) >= least}
+    return " ".join(text for path, text, outside, article in found if (path, outside, article) in chosen)
 
 
 def extract_text(pages: DataFrame, html_column: str = "html") -> DataFrame:

@@ -46,3 +46,22 @@ def test_odd_tables(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in out.collect())
     assert got[:2] == [(1, "", 0), (2, "", 0)] and got[2] == got[3] == (3, main_text(PAGE), len(main_text(PAGE)))
     assert extract_text(rows.limit(0)).count() == 0
+
+
+LONG = "Long and plain sentence, with stops and words. " * 8
+
+
+def test_ratios_decide_beside_articles():
+    teasers = "".join(f"<article><h3>t{i}</h3></article>" for i in range(4))
+    body = "".join(f"<p>{LONG}</p>" for _ in range(3))
+    want = " ".join([LONG.strip()] * 3)
+    assert main_text(f"<body><nav><p>Home</p></nav><div>{body}</div>{teasers}<footer><p>end</p></footer></body>") == want
+    # Each article has a ratio of its own, within main too.
+    assert main_text(f"<body><main><article>{body}</article>{teasers}</main></body>") == want
+
+
+def test_marked_parts_are_weighed():
+    body = "".join(f"<p>{LONG}</p>" for _ in range(3))
+    want = " ".join([LONG.strip()] * 3)
+    assert main_text(f"<body><form><ul><li>Home</li><li>News</li></ul><div>{body}</div></form></body>") == want
+    assert main_text(f"<body><div>{body}</div><div class=comments><p>{LONG * 4}</p></div></body>") == want
