@@ -114,6 +114,77 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from d left join c using (rid) left join t using (rid)
 """
 
+FINITE = "len(list_filter(embedding::double[], lambda x: x is null or not isfinite(x))) = 0"
+#: Exact links; the query may miss a few of those just above the threshold, of which the given tables have none.
+OP11 = f"""
+with recursive e as (select row_number() over () as rid, vec_id, embedding from embeddings),
+ok as (select rid, vec_id, embedding::double[] as v from e where embedding is not null and {FINITE} and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as materialized (
+  select a.rid as a, b.rid as b from ok a join ok b on a.rid <> b.rid
+  where case when len(a.v) = len(b.v) then list_cosine_similarity(a.v, b.v) else -1 end >= 0.95
+), r as (select rid as a, rid as b from e union select r.a, l.b from r join l on l.a = r.b),
+c as (select a, min(vec_id) as component_id from r join e on e.rid = r.b group by a),
+n as (select a, count(*) as n from l group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, component_id is not distinct from vec_id as kept
+from e join c on c.a = e.rid left join n on n.a = e.rid
+"""
+
+
+def _codes() -> str:
+    """Lloyd's rounds written out: every part with every entry, the least (distance, index)."""
+    far = "list_sum(list_transform(range(1, len(p.part) + 1), lambda j: (p.part[j] - b.entry[j]) * (p.part[j] - b.entry[j])))::bigint"
+    sql = f"""
+with k as (
+  select row_number() over () as rid, vec_id, label, list_transform(embedding::double[], lambda x: floor(256 * x)::bigint) as q
+  from embeddings where embedding is not null and len(embedding) > 0 and {FINITE}
+), o as (select *, row_number() over (order by vec_id nulls last, q) - 1 as e from k),
+s as (select * from o where len(q) = (select len(q) from o where e = 0)),
+p as materialized (select rid, i, q[i * (len(q) // 16) + 1:(i + 1) * (len(q) // 16)] as part from s, range(16) t(i)),
+b0 as (select i, row_number() over (partition by i order by o.e) - 1 as e, p.part as entry from p join o using (rid) qualify e < 64)"""
+    for n in range(3):
+        sql += f""",
+a{n} as materialized (
+  select rid, i, min(d) as d, arg_min(e, (d, e)) as e from (select p.rid, p.i, b.e, {far} as d from p join b{n} b on p.i = b.i) group by rid, i)"""
+        if n < 2:
+            sql += f""",
+b{n + 1} as materialized (
+  select b.i, b.e, coalesce(m.entry, b.entry) as entry from b{n} b left join (
+    select i, e, list(((s - ((s % n + n) % n)) // n)::bigint order by j) as entry
+    from (select i, e, j, sum(part[j])::bigint as s, count(*) as n from a{n} join p using (rid, i), range(1, len(part) + 1) t(j) group by i, e, j) group by i, e
+  ) m using (i, e))"""
+    return sql + """,
+c as (select rid, string_agg(printf('%02x', e), '' order by i) as code, sum(d)::bigint as error from a2 group by rid)
+select s.vec_id, c.code, c.error, (sum(c.error) over (partition by s.label))::bigint as label_error,
+  (select sha256(string_agg(x::varchar, ',' order by i, e, j)) from (select i, e, unnest(entry) as x, unnest(range(1, len(entry) + 1)) as j from b2)) as codebooks_sha256
+from s join c using (rid)
+"""
+
+
+#: The reversed polynomial and the start value of CRC-32.
+CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+OP13 = f"""
+with t as (
+  select c, row_number() over (partition by c order by turn nulls first, r, x) as p, r, x
+  from (select conv_id::bigint as c, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null)
+), h as (select c, {CRC} % 6 as h from (select distinct c from t)),
+w as (
+  select h.c, 1 as own, p, r, x from h join t using (c) where p > h
+  union all select h.c, 0, p, r, x from h join t on t.c = h.c - h.c % 100 where p <= h
+), s as (select h.c, coalesce(l, []) as l from h left join (select c, list((r, x) order by own, p) as l from w group by c) using (c)),
+m as (select c, d, l[1:d] as k, d = len(l) as ends from (select c, l, unnest(range(0, len(l) + 1)) as d from s)),
+n as materialized (
+  select d, k, count(*) as n, min(c) as c, sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '')) as sha from m group by d, k
+), f as (select d - 1 as d, k[1:d - 1] as k, count(*) as n from n where d > 0 group by all),
+g as (
+  select u as d, k[1:u] as k, sum(leaf)::bigint as leaves, sum(saved)::bigint as saved from (
+    select n.k, unnest(range(0, n.d + 1)) as u, (f.n is null)::bigint as leaf, case when n.d > 0 then (n.n - 1) * length(n.k[n.d][2]) else 0 end as saved
+    from n left join f on f.d = n.d and f.k = n.k) group by all
+)
+select n.c as conv_id, n.d as depth, a.c as parent_conv_id, n.n as n_convs, coalesce(f.n, 0) as n_children, g.leaves as n_leaves,
+  g.saved as saved_tokens, n.sha as ends_sha256
+from n join g on g.d = n.d and g.k = n.k left join f on f.d = n.d and f.k = n.k left join n a on a.d = n.d - 1 and a.k = n.k[1:n.d - 1]
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -121,4 +192,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filters": OP3,
         "op9_ngram_jaccard_join": OP9,
         "op10_decontamination": OP10,
+        "op11_lattice_dedup": OP11,
+        "op12_vector_codes": _codes(),
+        "op13_prefix_trie": OP13,
     }

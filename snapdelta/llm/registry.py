@@ -12,13 +12,16 @@ from snapdelta.llm.common import table
 from snapdelta.llm.decontaminate import contamination
 from snapdelta.llm.html_text import extract_text
 from snapdelta.llm.jaccard_join import jaccard_groups
+from snapdelta.llm.lattice_dedup import lattice_groups
 from snapdelta.llm.mixing import mix_sources
 from snapdelta.llm.pii import KINDS, all_span_texts, personal_data
+from snapdelta.llm.prefix_trie import RESULTS as TRIE, prefix_trie
 from snapdelta.llm.quality_classifier import KEEP_FROM, held_out, score_texts, train
 from snapdelta.llm.quality_rules import quality_rules
 from snapdelta.llm.secrets import secret_spans
 from snapdelta.llm.token_counts import length_histogram, read_vocabulary
 from snapdelta.llm.url_filters import url_filter
+from snapdelta.llm.vector_codes import vector_codes
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +106,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = lattice_groups(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return grouped.select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).select(*TRIE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 

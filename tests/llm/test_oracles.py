@@ -1,5 +1,7 @@
 """The registered SQL against the queries, on small tables with what the given ones lack: links, nulls, repeats, short items."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -7,6 +9,8 @@ from snapdelta.llm import registry
 from snapdelta.llm.oracles import oracle_sql
 
 LINK = '<link rel="canonical" href="{}">'
+RANDOM = random.Random(9)
+VECTORS = [[RANDOM.gauss(0, 0.2) for _ in range(32)] for _ in range(90)]
 TABLES = {
     "pages": (
         "page_id bigint, url string, html string",
@@ -29,6 +33,17 @@ TABLES = {
         + [(4, "a b", "en", None, 0)],
     ),
     "benchmark": ("item_id bigint, text string", [(1, "short item"), (2, " ".join(f"k{i}" for i in range(1, 13))), (3, None), (None, "end"), (10, "k2 k3")]),
+    "embeddings": (
+        "vec_id bigint, embedding array<float>, label int",
+        [(i, VECTORS[i], i % 3) for i in range(90)]
+        + [(i + 200, [x + (0.02 if j == i else 0.0) for j, x in enumerate(VECTORS[i])], None) for i in range(20)]
+        + [(None, [0.5] * 32, None), (300, None, 1), (301, [None] * 32, 1), (302, [float("inf")] * 32, 1), (0, [0.0] * 32, 2)],
+    ),
+    "conversations": (
+        "conv_id bigint, turn bigint, role string, text string",
+        [(c, t, "user" if t % 2 else None, None if c == 7 else f"turn {t} {c % 3}") for c in [*range(0, 30), *range(100, 130), 205, 4012] for t in range(c % 9)]
+        + [(100, None, "a", "first"), (5, 2, "b", "tie"), (5, 2, "b", "tie"), (None, 1, "x", "y"), (3000, 1, "é", "𝒳")],
+    ),
 }
 
 
