@@ -20,7 +20,7 @@ WEEK = 7 * 86_400
 NULL_KEY_SPREAD = 1_024
 RESET_POLICIES = ("raw", "zero", "restart")
 
-_SLICE, _SPREAD, _CARRIED = "_slice", "_spread", "_carried"
+_SLICE, _SPREAD, _CARRIED, _ENTITY = "_slice", "_spread", "_carried", "_entity"
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -86,12 +86,15 @@ def previous_row(
     return looked_back.where(~F.col(_CARRIED)).drop(_SPREAD, _CARRIED, _SLICE)
 
 
-def _change(value: str, previous: str, on_reset: str = "raw") -> str:
-    """Change from one value to the next as SQL; 0 where either is null."""
+def _change(value: str, previous: str, on_reset: str = "raw", same_life: str | None = None) -> str:
+    """Change from one value to the next as SQL; 0 where either is null. Where ``same_life`` is false the counter began anew:
+    that adds its value under ``restart``, else nothing."""
     change = f"{value} - {previous}"
+    after_reset = value if on_reset == "restart" else "0"
     if on_reset != "raw":
-        after_reset = "0" if on_reset == "zero" else value
         change = f"case when {value} < {previous} then {after_reset} else {change} end"
+    if same_life is not None:
+        change = f"case when {same_life} then {change} else {after_reset} end"
     return f"coalesce({change}, 0)"
 
 
@@ -105,24 +108,31 @@ def counter_delta(
     duplicates: str | None = None,
     slice_seconds: int | None = None,
     keep_previous: bool = False,
+    lives: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``delta_<counter>``: the value minus the value in the entity's previous snapshot.
 
     The first row of an entity, an interval that touches a null, and a row whose key holds a null get 0. A falling
     counter gives a negative delta under ``raw``, 0 under ``zero`` and its new value under ``restart``. With
     ``duplicates`` unset, (key, time) must be unique.
+
+    ``lives`` names columns that are constant while an entity lives (see ``lifetimes``). Where one changes, the counter began
+    anew: the delta is the value under ``restart``, else 0. With ``duplicates`` all rows of a snapshot must agree on them.
     """
     if on_reset not in RESET_POLICIES:
         raise ValueError(f"unknown reset policy {on_reset!r}")
+    lives = [c for c in lives if c not in keys]
     if duplicates:
-        df = one_row_per_snapshot(df, counters, keys, duplicates, time)
+        df = one_row_per_snapshot(df, counters, [*keys, *lives], duplicates, time)
     types = dict(df.select(*counters).dtypes)
-    looked_back = previous_row(df, counters, keys, time, slice_seconds)
+    looked_back = previous_row(df, [*counters, *lives], keys, time, slice_seconds)
+    same = " and ".join(f"`{c}` <=> `prev_{c}`" for c in lives) or None
     deltas = [
-        F.expr(f"cast({_change(f'`{c}`', f'`prev_{c}`', on_reset)} as {types[c]}) as `delta_{c}`") for c in counters
+        F.expr(f"cast(case when has_prev then {_change(f'`{c}`', f'`prev_{c}`', on_reset, same)} else 0 end as {types[c]}) as `delta_{c}`")
+        for c in counters
     ]
     result = looked_back.select("*", *deltas).drop("has_prev")
-    return result if keep_previous else result.drop(*[f"prev_{c}" for c in counters])
+    return result if keep_previous else result.drop(*[f"prev_{c}" for c in [*counters, *lives]])
 
 
 def elapsed_delta(
@@ -176,8 +186,11 @@ def _increase_by_slices(
     groups = [*keys, _SLICE, _SPREAD]
     sliced = rows.withColumn(_SLICE, slices).withColumn(_SPREAD, spread)
     if duplicates:
-        # The exchange is by entity and slice; it also serves the fold per snapshot, which cannot combine much before it.
-        sliced = one_row_per_snapshot(sliced.repartition(*groups), counters, groups, duplicates, time)
+        # The exchange is by entity and slice; it also serves the fold per snapshot, which cannot combine much before it. It is by
+        # a hash column of its own: a key that is the same in all rows would be folded away, and rows would move once more.
+        sliced = sliced.withColumn(_ENTITY, F.xxhash64(*groups))
+        groups = [_ENTITY, *groups]
+        sliced = one_row_per_snapshot(sliced.repartition(_ENTITY), counters, groups, duplicates, time)
     before, seam = _window(groups, time), _window(keys, _SLICE)
 
     def change(value: str, previous: str) -> str:
@@ -224,6 +237,7 @@ def counter_increase(
     aggregates: Sequence[Column] = (),
     slice_seconds: int = WEEK,
     settle: Callable[[DataFrame], DataFrame] | None = None,
+    lives: Sequence[str] = (),
 ) -> DataFrame:
     """One row per entity with ``increase_<counter>`` (the sum of its deltas) and ``elapsed_seconds``.
 
@@ -237,10 +251,20 @@ def counter_increase(
     returns it read back; the second pass is then left out at run time when no entity needs it. ``gaps='lag'`` takes
     every difference in the first place: rows move once whether there are gaps or not, which is the better way where
     duplicates have to be folded by snapshot anyway, and the only one under other reset policies.
+
+    ``lives`` names columns that are constant while an entity lives; no delta crosses from one life to the next (as in
+    ``counter_delta``). Such increases go by period summaries: rows move once, then one row per entity and week.
     """
     if gaps not in ("resolve", "fail", "lag"):
         raise ValueError(f"unknown gap rule {gaps!r}")
     counters, extra = list(dict.fromkeys(counters)), list(aggregates)
+    if lives:
+        if extra:
+            raise ValueError("give further aggregates of lives to period_summaries, as sums")
+        from snapdelta.operators.summaries import increase_from_summaries, period_summaries
+
+        weeks = period_summaries(df, counters, keys, time=time, period="week", duplicates=duplicates, lives=lives)
+        return increase_from_summaries(weeks, counters, keys, on_reset=on_reset)
     types = dict(df.select(*counters).dtypes)
     if not extra and (on_reset != "raw" or gaps == "lag"):
         rows = df.select(*keys, time, *counters)

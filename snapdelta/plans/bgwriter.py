@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import BLOCK_SIZE, blocks_to_bytes, hit_ratio, human_bytes, per_minute
-from snapdelta.operators.delta import counter_increase
+from snapdelta.operators.summaries import increase
 from snapdelta.plans.findings import LOW_TIMED_SHARE, finding, off_hosts
 from snapdelta.schema import SCOPE, STATS
 
@@ -25,7 +25,7 @@ def bgwriter_summary(
 ) -> DataFrame:
     """Checkpoints and bytes written per scope, summed over the stretches between statistics resets."""
     increase_options.setdefault("gaps", "lag")
-    by_reset = counter_increase(bgwriter, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
+    by_reset = increase(bgwriter, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
     total = by_reset.groupBy(*scope).agg(
         F.max("stats_reset").alias("last_reset"),
         F.sum("increase_checkpoints_timed").alias("checkpoints_timed"),

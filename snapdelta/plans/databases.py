@@ -16,8 +16,8 @@ from snapdelta.functions.scalars import (
     role_text,
     version_label,
 )
-from snapdelta.operators.delta import counter_increase
 from snapdelta.operators.share import with_totals
+from snapdelta.operators.summaries import increase
 from snapdelta.operators.timeline import change_points, first_state
 from snapdelta.plans.findings import LOW_HIT_RATIO, finding, on_hosts
 from snapdelta.schema import SCOPE, STATS, TIME
@@ -71,7 +71,7 @@ def database_increase(
 ) -> DataFrame:
     """I/O per database with its share of all reads of the scope (shared objects count in the total)."""
     increase_options.setdefault("gaps", "lag")
-    grown = counter_increase(databases, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
+    grown = increase(databases, SPEC.counters, [*scope, *SPEC.keys], **increase_options)
     sized = grown.select(
         *scope,
         "datname",

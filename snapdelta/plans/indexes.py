@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import BLOCK_SIZE, blocks_to_bytes, hit_ratio, human_bytes, qualified_name
-from snapdelta.operators.delta import counter_increase
+from snapdelta.operators.summaries import increase
 from snapdelta.operators.topk import DEFAULT_LIMIT, UNUSED_INDEX_LIST, top_k
 from snapdelta.plans.findings import LOW_HIT_RATIO, finding
 from snapdelta.schema import SCOPE, STATS
@@ -29,7 +29,7 @@ def index_base(
 ) -> DataFrame:
     """One row per index that moved any block."""
     increase_options.setdefault("gaps", "lag" if duplicates else "resolve")
-    grown = counter_increase(
+    grown = increase(
         indexes, SPEC.counters, [*scope, *SPEC.keys], duplicates=duplicates, **increase_options
     )
     return grown.select(

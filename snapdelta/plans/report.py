@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +42,7 @@ def build_report(
     unused: str = "any",
     digest_text: bool = False,
     folded: bool = False,
+    summaries: Mapping[str, DataFrame] | None = None,
     keep: Keep = _as_is,
 ) -> dict[str, DataFrame]:
     """Results by name, for the statistics present in ``frames``.
@@ -50,8 +51,10 @@ def build_report(
     a second pass; ``write_report`` passes one that writes them out, so that each is computed once. ``folded`` says
     that the frames hold one row per entity and snapshot, as folded compaction leaves them. ``database`` names the
     current database, which a scope without a database column needs; ``limit``, ``findings_limit`` and ``unused_limit``
-    are the sizes of the top lists, of the statements among the findings and of the list of unused indexes.
+    are the sizes of the top lists, of the statements among the findings and of the list of unused indexes. Increases of
+    the statistics in ``summaries`` are read from there, per entity and day in place of every snapshot.
     """
+    counted = {**frames, **{name: df for name, df in (summaries or {}).items() if name in frames}}
     results: dict[str, DataFrame] = {}
 
     def increase(name: str) -> dict:
@@ -67,7 +70,7 @@ def build_report(
 
     if "pg_stat_database" in frames:
         rows = frames["pg_stat_database"]
-        io = keep(databases.database_increase(rows, scope=scope, **increase("database")), "database_io")
+        io = keep(databases.database_increase(counted["pg_stat_database"], scope=scope, **increase("database")), "database_io")
         current = databases.database_io(io, database, scope)
         results |= {
             "snapshot_details": databases.snapshot_summary(rows, scope),
@@ -91,7 +94,7 @@ def build_report(
 
     if "pg_stat_statements" in frames:
         base = statements.statement_base(
-            frames["pg_stat_statements"], scope=scope, digest_text=digest_text, **unfolded, **increase("statement")
+            counted["pg_stat_statements"], scope=scope, digest_text=digest_text, **unfolded, **increase("statement")
         )
         base = keep(base, "statement_base")
         results |= {
@@ -105,14 +108,14 @@ def build_report(
         }
 
     if "pg_stat_bgwriter" in frames:
-        summary = bgwriter.bgwriter_summary(frames["pg_stat_bgwriter"], scope=scope, **increase("bgwriter"))
+        summary = bgwriter.bgwriter_summary(counted["pg_stat_bgwriter"], scope=scope, **increase("bgwriter"))
         summary = keep(summary, "bgwriter_summary")
         results["bgwriter_stats"] = summary
         results["bgwriter_findings"] = bgwriter.bgwriter_findings(summary, aurora, scope)
 
     if "index_stats" in frames:
         rows = frames["index_stats"]
-        base = keep(indexes.index_base(rows, scope=scope, **unfolded, **increase("index")), "index_base")
+        base = keep(indexes.index_base(counted["index_stats"], scope=scope, **unfolded, **increase("index")), "index_base")
         idle = keep(indexes.unused_indexes(rows, scope, unused), "unused_indexes")
         results |= {
             "index_reads": indexes.top_indexes(base, "read", limit, scope),
@@ -123,7 +126,7 @@ def build_report(
         }
 
     if "table_stats" in frames:
-        activity = tables.table_activity(frames["table_stats"], scope=scope, **increase("table"))
+        activity = tables.table_activity(counted["table_stats"], scope=scope, **increase("table"))
         activity = keep(activity, "table_activity")
         base = tables.table_base(activity, scope)
         results |= {

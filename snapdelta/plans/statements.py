@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import BLOCK_SIZE, blocks_to_bytes, hit_ratio, human_bytes, or_zero, per_unit
-from snapdelta.operators.delta import counter_increase
+from snapdelta.operators.summaries import increase, is_summarised
 from snapdelta.operators.topk import DEFAULT_LIMIT, TOP_FINDINGS, top_k
 from snapdelta.schema import SCOPE, STATS, with_exec_time
 
@@ -35,14 +35,17 @@ def statement_base(
     block_size: int = BLOCK_SIZE,
     **increase_options,
 ) -> DataFrame:
-    """One row per statement that moved any block in the window.
+    """One row per statement that moved any block in the window; ``statements`` are snapshots, or summaries of them.
 
     A counter that no server has gives 0. ``duplicates=None`` skips the fold per snapshot where the data is known to hold one row per statement.
     With ``digest_text`` the shuffles carry a 256-bit digest in place of the statement's text, and the distinct
     texts are read again and joined back to the result. That pays only where shuffling very long texts is what a job
     waits for: over rows sorted by statement, map-side combine and shuffle compression leave little to save.
     """
-    rows = with_exec_time(statements)
+    summarised = is_summarised(statements)
+    if summarised and digest_text:
+        raise ValueError("summaries hold the texts of their statements: leave digest_text out")
+    rows = statements if summarised else with_exec_time(statements)
     wal = SPEC.present(rows, WAL)
     keys = [*scope, *SPEC.keys]
     texts = None
@@ -52,9 +55,10 @@ def statement_base(
         keys = [*scope, "username", "queryid", _DIGEST]
     # Any counter may be null for a while, or on some servers throughout; what touches a null adds nothing.
     increase_options.setdefault("gaps", "lag" if duplicates else "resolve")
-    needed = SPEC.present(rows, NEEDED)
-    rows = rows.select("*", *[F.lit(None).cast("bigint").alias(c) for c in NEEDED if c not in needed])
-    grown = counter_increase(rows, [*NEEDED, *wal], keys, duplicates=duplicates, **increase_options)
+    if not summarised:
+        needed = SPEC.present(rows, NEEDED)
+        rows = rows.select("*", *[F.lit(None).cast("bigint").alias(c) for c in NEEDED if c not in needed])
+    grown = increase(rows, [*NEEDED, *wal], keys, duplicates=duplicates, **increase_options)
     base = grown.select(
         *keys,
         *[blocks_to_bytes(f"increase_{c}", block_size).alias(name) for name, c in BYTES.items()],

@@ -16,14 +16,25 @@ from snapdelta.functions.scalars import (
     qualified_name,
     whole_percent_of,
 )
-from snapdelta.operators.delta import counter_increase
 from snapdelta.operators.share import with_totals
+from snapdelta.operators.summaries import increase
 from snapdelta.operators.topk import DEFAULT_LIMIT, top_k
 from snapdelta.plans.findings import LOW_HIT_RATIO, finding
 from snapdelta.schema import SCOPE, STATS
 
 SPEC = STATS["table_stats"]
 FAMILIES = {"heap": "heap", "index": "idx", "toast": "toast", "toast_index": "tidx"}
+#: Dead rows as additive aggregates: their sum, and that of the share of dead rows in hundredths of a percent, with the rows that have one.
+_SHARE = (
+    "cast(case when n_dead_tup = 0 then 0 when n_dead_tup + n_live_tup <> 0 "
+    "then round(n_dead_tup * 10000.0D / (n_dead_tup + n_live_tup), 0) end as bigint)"
+)
+DEAD_ROWS = {
+    "_dead": "sum(n_dead_tup)",
+    "_dead_rows": "count(n_dead_tup)",
+    "_ratio": f"sum({_SHARE})",
+    "_ratio_rows": f"count({_SHARE})",
+}
 METRICS = [f"{family}_{kind}_bytes" for family in FAMILIES for kind in ("read", "hit")]
 
 
@@ -44,19 +55,13 @@ def table_activity(
     """
     blocks = [(family, FAMILIES[family], kind) for family in families for kind in ("read", "hit")]
     counters = [f"{short}_blks_{kind}" for _, short, kind in blocks]
-    ratio = (
-        "cast(case when n_dead_tup = 0 then 0 when n_dead_tup + n_live_tup <> 0 "
-        "then round(n_dead_tup * 10000.0D / (n_dead_tup + n_live_tup), 0) end as bigint)"
-    )
-    gauges = {"_dead": "sum(n_dead_tup)", "_dead_rows": "count(n_dead_tup)", "_ratio": f"sum({ratio})"}
-    gauges["_ratio_rows"] = f"count({ratio})"
     if not vacuum and increase_options.get("settle") is None:
         increase_options.setdefault("gaps", "lag")
-    grown = counter_increase(
+    grown = increase(
         tables,
         counters + (["vacuum_count", "autovacuum_count"] if vacuum else []),
         [*scope, *SPEC.keys],
-        aggregates=[F.expr(sql).alias(name) for name, sql in gauges.items()] if vacuum else [],
+        aggregates={name: F.expr(sql) for name, sql in DEAD_ROWS.items()} if vacuum else None,
         **increase_options,
     )
     # Whole-number averages from integer sums, so their value does not depend on the order of the rows.

@@ -135,6 +135,15 @@ select host, database, snapshot_time, datname, datid,
 from fx_database union all
 select host, database, snapshot_time, datname, datid, timestamp '1993-01-01' stats_reset
 from fx_database where host = 'h1'""",
+    "fx_statements_window": """
+select * from fx_statements where snapshot_time >= timestamp '2024-01-05 06:00:00' and snapshot_time <= timestamp '2024-01-20 00:00:00'""",
+    # Tables that were dropped and created again under their name, some of them with an id that comes back.
+    "fx_tables_lives": """
+select host, database, snapshot_time, schemaname, relname, relid, case when relid > 100000 then heap_blks_read % 97 else heap_blks_read end heap_blks_read,
+  case when month(snapshot_time) = 5 then null else idx_blks_read end idx_blks_read
+from (select *, cast(substr(relname, 2) as bigint) + case when cast(substr(relname, 2) as bigint) % 7 = 0 and year(snapshot_time) >= 1995 then 100000
+    when cast(substr(relname, 2) as bigint) % 5 = 0 and year(snapshot_time) % 2 = 0 then 200000 else 0 end relid
+  from fx_tables)""",
     # Raw catalog extracts, one row per object and monthly or daily capture.
     "raw_databases": """
 select n_nationkey oid, n_name datname, n_nationkey * 1000 oldest_transaction_age, n_regionkey % 2 = 0 standby
@@ -211,6 +220,8 @@ OVER = {
     "fx_bgwriter_gaps": "fx_bgwriter",
     "fx_indexes_gaps": "fx_indexes",
     "fx_database_resets": "fx_database",
+    "fx_statements_window": "fx_statements",
+    "fx_tables_lives": "fx_tables",
 }
 
 

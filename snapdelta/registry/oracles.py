@@ -110,6 +110,50 @@ from ({_deltas("f", "host, database, query", ["calls", "shared_blks_read"])}) gr
     }
 
 
+def _policy_change(c: str, policy: str, same: str = "true") -> str:
+    """One interval's part of an increase, by the definition of each reset policy; nothing where either value is null."""
+    anew = c if policy == "restart" else "0"
+    fell = f"when {c} < p_{c} then {anew}" if policy != "raw" else ""
+    return f"coalesce(case when rn = 1 then 0 when not ({same}) then {anew} {fell} else {c} - p_{c} end, 0)"
+
+
+def _policy_increase(fixture: str, keys: str, counters: list[str], policy: str, mark: str | None = None, extra: str = "") -> str:
+    lags = ", ".join(f"lag({c}) over k p_{c}" for c in [*counters, *([mark] if mark else [])])
+    same = f"{mark} is not distinct from p_{mark}" if mark else "true"
+    sums = ", ".join(f"cast(sum({_policy_change(c, policy, same)}) as bigint) increase_{c}" for c in counters)
+    return f"""{_with(fixture)}{extra}, d as (
+  select *, {lags}, row_number() over k rn from {"lived" if extra else fixture} window k as (partition by {keys} order by snapshot_time))
+select {keys}, {sums}, cast(epoch(max(snapshot_time)) - epoch(min(snapshot_time)) as double) elapsed_seconds from d group by {keys}"""
+
+
+TABLE = "host, database, schemaname, relname"
+
+
+def _summary_sql() -> dict[str, str]:
+    two, bgwriter = ["heap_blks_read", "idx_blks_read"], ["checkpoints_timed", "buffers_checkpoint"]
+    policies = ("raw", "zero", "restart")
+    lived = f""", r as ({view_sql("fx_bgwriter")}), lived as (
+  select *, (select max(r.stats_reset) from r where r.host <> 'h1' and r.host = s.host and r.database = s.database and r.stats_reset <= s.snapshot_time) since
+  from fx_statements s)"""
+    return {
+        **{f"summaries_increase_{p}": _policy_increase("fx_bgwriter", HD, bgwriter, p) for p in policies},
+        "summaries_increase_gaps": _policy_increase("fx_statements_gaps", STMT, ["calls", "shared_blks_read", "wal_bytes"], "raw"),
+        **{f"table_increase_lives_{p}": _policy_increase("fx_tables_lives", TABLE, two, p, "relid") for p in policies},
+        "statement_increase_since_reset": _policy_increase("fx_statements", STMT, ["calls", "shared_blks_read"], "raw", "since", lived),
+        "table_delta_lives": f"""{_with("fx_tables_lives")}, d as (
+  select *, lag(heap_blks_read) over k p_heap_blks_read, lag(relid) over k p_relid, row_number() over k rn
+  from fx_tables_lives window k as (partition by {TABLE} order by snapshot_time))
+select {TABLE}, snapshot_time, cast({_policy_change("heap_blks_read", "raw", "relid is not distinct from p_relid")} as bigint) delta_heap_blks_read from d""",
+        "table_lifetimes": f"""{_with("fx_tables_lives")}, n as (
+  select *, case when relid is not distinct from lag(relid) over k and row_number() over k > 1 then 0 else 1 end began
+  from fx_tables_lives window k as (partition by {TABLE} order by snapshot_time)),
+l as (select *, cast(sum(began) over (partition by {TABLE} order by snapshot_time) as bigint) life from n)
+select {TABLE}, life, any_value(relid) relid, min(snapshot_time) first_time, max(snapshot_time) last_time, count(*) snapshots
+from l group by {TABLE}, life""",
+        "lake_day_window": f"{_statement_base('fx_statements_window')} select * from t",
+    }
+
+
 def _all_deltas(fixture: str, by: str, counters: str) -> str:
     names = counters.split()
     return f"""{_with(fixture)}
@@ -541,6 +585,7 @@ def _known_sql() -> dict[str, str]:
     return {
         **_delta_sql(),
         **_stat_delta_sql(),
+        **_summary_sql(),
         **_statement_sql(),
         **_table_sql(),
         **_index_sql(),

@@ -11,11 +11,13 @@ from snapdelta.functions.scalars import epoch_seconds, major_version, parse_repo
 from snapdelta.functions.sql_functions import register_sql_functions
 from snapdelta.operators import catalog, quality
 from snapdelta.operators.delta import counter_delta, counter_increase, elapsed_delta, one_row_per_snapshot
+from snapdelta.operators.lifetimes import database_resets, lifetimes, since_reset
+from snapdelta.operators.summaries import increase_from_summaries, merge_summaries, period_summaries
 from snapdelta.plans.deltas import stat_deltas
 from snapdelta.plans import bgwriter, databases, indexes, report, sessions, settings, statements, tables
 from snapdelta.registry.fixtures import table, view
 from snapdelta.schema import SCOPE
-from snapdelta.sources import lake
+from snapdelta.sources import days, lake
 from snapdelta.sources.shared import shared_dir
 from snapdelta.streaming.deltas import DeltaStream
 from snapdelta.streaming.ingest import land_stream, stream_snapshots
@@ -116,6 +118,71 @@ def increase_of_folded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _summarised(fixture: str, counters: list[str], keys: list[str], **options) -> Query:
+    """Increases by way of summaries of weeks, put together to months first."""
+
+    def grown(df: DataFrame) -> DataFrame:
+        weeks = period_summaries(df, counters, keys, period="week")
+        months = merge_summaries(weeks, counters, keys, period="month")
+        return increase_from_summaries(months, counters, keys, **options)
+
+    return _fixture(fixture, grown)
+
+
+_QUERIES |= {
+    f"summaries_increase_{policy}": _summarised("fx_bgwriter", ["checkpoints_timed", "buffers_checkpoint"], [*SCOPE], on_reset=policy)
+    for policy in ("raw", "zero", "restart")
+}
+_QUERIES["summaries_increase_gaps"] = _summarised("fx_statements_gaps", ["calls", "shared_blks_read", "wal_bytes"], STATEMENT_KEYS)
+
+
+@query
+def lake_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements of a window from landed day summaries, and from snapshots at its edges."""
+    rows, root = view(spark, sf_dir, "fx_statements"), shared_dir(spark, "lake")
+    lake.compact_snapshots(rows, f"{root}/snapshots", "pg_stat_statements")
+    days.land_days(lake.read_compacted(spark, f"{root}/snapshots", "pg_stat_statements"), f"{root}/days", "pg_stat_statements", fold=False)
+    start, end = parse_report_window("01/05/2024 06:00:00", "01/20/2024 00:00:00")
+    raw = lambda a, b: lake.read_compacted(spark, f"{root}/snapshots", "pg_stat_statements", a, b)
+    summed = days.window_summaries(spark, f"{root}/days", "pg_stat_statements", start, end, raw, fold=False)
+    base = statements.statement_base(summed)
+    return statements.with_texts(base.withColumn("wal_bytes", F.col("wal_bytes").cast("bigint")))
+
+
+# --- lives ----------------------------------------------------------------------------------------------------------
+
+TABLE_KEYS = [*SCOPE, "schemaname", "relname"]
+
+
+@query
+def table_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifetimes(view(spark, sf_dir, "fx_tables_lives"), ["relid"], TABLE_KEYS)
+
+
+def _within_lives(policy: str) -> Query:
+    def grown(df: DataFrame) -> DataFrame:
+        return counter_increase(df, ["heap_blks_read", "idx_blks_read"], TABLE_KEYS, on_reset=policy, lives=["relid"])
+
+    return _fixture("fx_tables_lives", grown)
+
+
+_QUERIES |= {f"table_increase_lives_{policy}": _within_lives(policy) for policy in ("raw", "zero", "restart")}
+
+
+@query
+def table_delta_lives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deltas = counter_delta(view(spark, sf_dir, "fx_tables_lives"), ["heap_blks_read"], TABLE_KEYS, lives=["relid"])
+    return deltas.select(*TABLE_KEYS, "snapshot_time", "delta_heap_blks_read")
+
+
+@query
+def statement_increase_since_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements whose database's counters are reset each week: each row's life is that of the latest reset at its time."""
+    resets = database_resets(view(spark, sf_dir, "fx_bgwriter").where(F.col("host") != "h1"))
+    rows = since_reset(view(spark, sf_dir, "fx_statements"), resets)
+    return counter_increase(rows, ["calls", "shared_blks_read"], STATEMENT_KEYS, lives=["life_since"])
+
+
 def _all_deltas(fixture: str, stat: str, by: list[str]) -> Query:
     def narrow(df: DataFrame) -> DataFrame:
         deltas = stat_deltas(df, stat)

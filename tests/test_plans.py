@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITING = {"lake_round_trip", "lake_time_window", "lake_csv_round_trip", "lake_compacted", "lake_folded", "written_report"}
-WRITING |= {"lake_statements_round_trip", "lake_extra_columns", "lake_compacted_twice", "written_report_all"}
+WRITING |= {"lake_statements_round_trip", "lake_extra_columns", "lake_compacted_twice", "written_report_all", "lake_day_window"}
 STREAMING = {"stream_ingest", "stream_delta", "stream_wait_windows"}
 # The corpus operators have tests of their own; some need Python, and most keep tables.
 QUERIES = {n: q for n, q in contract.queries().items() if n not in WRITING | STREAMING and not n.startswith(("op", "pipeline"))}
@@ -114,9 +114,25 @@ def _results(flat):
     }
 
 
-@pytest.mark.parametrize("name", ["deltas", "roles", "shares", "vacuum", "tables", "statements", "indexes", "background writer"])
+@pytest.mark.parametrize("name", ["deltas", "roles", "tables", "statements", "indexes", "background writer"])
 def test_one_scan_and_few_shuffles(flat, name):
     text = plan(_results(flat)[name])
     assert text.count("FileScan") == 1
-    assert text.count("Exchange hashpartitioning") <= (3 if name in ("shares", "background writer") else 2)
+    assert text.count("Exchange hashpartitioning") <= (3 if name == "background writer" else 2)
     assert "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["shares", "vacuum"])
+def test_totals_combine_before_they_move(flat, name):
+    """No window gathers a scope: what windows there are take differences within an entity."""
+    windows = [line for line in plan(_results(flat)[name]).splitlines() if "Window [" in line]
+    assert all("lag(" in line and "sum(" not in line for line in windows)
+
+
+@pytest.mark.parametrize("name, fixture, most", [("sql_base", "fx_statements", 2), ("index_base", "fx_indexes", 2), ("table_base", "fx_tables", 2), ("bgwriter_summary", "fx_bgwriter", 3)])
+def test_registered_increases_move_rows_once(shuffled, name, fixture, most):
+    """One exchange of snapshot rows and one of what is left per entity and week, beyond those of the view itself."""
+    from snapdelta.registry.fixtures import view
+
+    exchanges = lambda df: plan(df).count("Exchange hashpartitioning")
+    assert exchanges(QUERIES[name](shuffled, SF_DIR)) - exchanges(view(shuffled, SF_DIR, fixture)) <= most
