@@ -515,6 +515,11 @@ where {window} and host in ('h1', 'h2')""",
         "written_report": _vacuum(HD),
         "stream_ingest": f"{_with('fx_bgwriter')} select * from fx_bgwriter",
         "stream_delta": _delta_sql()["counter_delta_lag"],
+        "stream_folded_ingest": f"{_index_base()} select * from b",
+        "stream_wait_counts": f"""{_with("fx_activity")}
+select date_trunc('hour', snapshot_time) window_start, date_trunc('hour', snapshot_time) + interval 1 hour window_end, host, database,
+  coalesce(wait_event, 'CPU') wait_event, coalesce(wait_event_type, 'CPU') wait_event_type, count(*) total_samples
+from fx_activity group by all""",
         "stream_wait_windows": """
 with c as (
   select concat('h', cast(user_id % 3 as string)) host, date_trunc('hour', ts) window_start,

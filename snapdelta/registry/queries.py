@@ -20,8 +20,8 @@ from snapdelta.schema import SCOPE
 from snapdelta.sources import days, lake
 from snapdelta.sources.shared import shared_dir
 from snapdelta.streaming.deltas import DeltaStream
-from snapdelta.streaming.ingest import land_stream, stream_snapshots
-from snapdelta.streaming.waits import land_wait_windows
+from snapdelta.streaming.ingest import FoldingIngest, land_stream, stream_snapshots
+from snapdelta.streaming.waits import WaitCounts, land_wait_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -569,6 +569,33 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_compacted(spark, f"{root}/out", "pg_stat_bgwriter").select(*rows.columns)
 
 
+@query
+def stream_folded_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index rows that repeat per constraint, streamed in two lots and folded while they land, then differenced by day summaries."""
+    rows, root = view(spark, sf_dir, "fx_indexes"), shared_dir(spark, "stream")
+    repeated = rows.unionByName(rows.where(F.col("conname").isNotNull()).withColumn("conname", F.lit("another")))
+    lots = F.pmod(F.xxhash64("snapshot_time", "conname"), F.lit(2))
+    for lot in range(2):
+        repeated.where(lots == lot).write.mode("append").parquet(f"{root}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    ingest = FoldingIngest(f"{root}/out", "index_stats", f"{root}/arrived", f"{root}/days")
+    ingest.start(arriving, f"{root}/checkpoint").awaitTermination()
+    start, end = parse_report_window("01/01/1990 00:00:00", "01/01/2010 00:00:00")
+    return indexes.index_base(days.read_days(spark, f"{root}/days", "index_stats", start, end))
+
+
+@query
+def stream_wait_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly wait counts of all samples, in whatever order they arrive."""
+    rows, root = view(spark, sf_dir, "fx_activity"), shared_dir(spark, "stream")
+    rows.repartition(3, F.xxhash64("query")).write.parquet(f"{root}/in")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = WaitCounts(f"{root}/out")
+    stream.start(arriving, f"{root}/checkpoint").awaitTermination()
+    stream.fold(spark, 1)
+    return stream.counts(spark)
+
+
 @query
 def stream_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deltas of statement rows that arrive in two halves of the month."""

@@ -7,12 +7,14 @@ sorted by entity, which is the layout to keep for long windows over many hosts.
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -32,6 +34,7 @@ UTC_NAMES = ("UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00"
 # Fixed value: the text column in which the duplicate rows of an entity differ (the constraints on one index).
 VARYING = ("conname",)
 ROWS_PER_CHUNK = 50_000
+FILES_PER_READ = 10_000
 MOST_ALTERNATIVES = 62
 
 _PARTITION_FIELDS = [T.StructField(c, T.StringType()) for c in (*SCOPE, "stat")] + [
@@ -197,7 +200,7 @@ def read_snapshots(
             pattern,
             stat,
         )
-        rows = _parse_csv(_in_scope(files.where(_partition_window(start, end)), hosts, databases), wanted)
+        rows = _read_csv(spark, root, _in_scope(files.where(_partition_window(start, end)), hosts, databases), wanted)
     else:
         if every_column:
             wanted = _every_column(spark, root, pattern, stat, wanted, PARTITIONS)
@@ -207,11 +210,48 @@ def read_snapshots(
     return _not_empty(rows.select(*SCOPE, *wanted.names).where(in_window(start, end)), stat)
 
 
-def _parse_csv(files: DataFrame, schema: T.StructType) -> DataFrame:
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line, from one pass in which every task keeps a line per file; files without a line are left out."""
+    lines = spark.read.text(list(paths)).where(F.col("_metadata.file_block_start") == 0)
+    numbered = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n"))
+    first = numbered.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    return {r["header"].removeprefix("\ufeff").rstrip("\r"): [unquote(f) for f in r["files"]] for r in grouped.collect()}
+
+
+def _read_csv(spark: SparkSession, root: str, files: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of gzipped CSV files, each read by its own header.
 
-    Files of one statistic differ in their columns from server version to version, and gzip cannot be split, so a
-    file is the unit of work: tasks receive file contents and yield text columns, which Spark then casts. The size of
+    Files of one statistic differ in their columns from server version to version. They are grouped by their first line,
+    and Spark's own reader takes each group by the places that its header gives the columns; quotes and line breaks in a
+    text are kept. There are as many groups as headers, and the list of a window's files is all the driver holds.
+    """
+    groups: dict[str, list[str]] = {}
+    paths = sorted(r["path"] for r in files.select("path").toLocalIterator())
+    for start in range(0, len(paths), FILES_PER_READ):
+        for header, named in _headers(spark, paths[start : start + FILES_PER_READ]).items():
+            groups.setdefault(header, []).extend(named)
+    frames = []
+    for header, named in groups.items():
+        columns = next(csv.reader([header]))
+        placed = T.StructType([T.StructField(f"_at_{i}", T.StringType()) for i in range(len(columns))] + _PARTITION_FIELDS)
+        reader = spark.read.schema(placed).options(basePath=root, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+        at = {name: i for i, name in reversed(list(enumerate(columns)))}
+        for start in range(0, len(named), FILES_PER_READ):
+            rows = reader.csv(named[start : start + FILES_PER_READ])
+            # An empty field is null, quoted or not; of columns with the same name the first counts.
+            texts = rows.select(*SCOPE, *[F.nullif(F.col(f"_at_{at[c]}"), F.lit("")).alias(c) if c in at else F.lit(None).cast("string").alias(c) for c in schema.names])
+            frames.append(texts.select(*SCOPE, *[_typed(field).alias(field.name) for field in schema]))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in SCOPE] + list(schema)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _parse_csv(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of a stream of gzipped CSV files, each read by its own header.
+
+    The headers of files that are still to come cannot be grouped beforehand (see ``_read_csv``), so a file is the unit of
+    work: tasks receive file contents and yield text columns, which Spark then casts. The size of
     a task's input is bounded by ``spark.sql.files.maxPartitionBytes``.
     """
     names = schema.names

@@ -1,7 +1,7 @@
 """Counter deltas over a stream of snapshots.
 
-Every micro-batch is compared with the last known row of each of its entities, which is kept as a table beside the
-output. The batch logic is the ordinary delta operator, so all work stays in generated code. A batch that is run again overwrites what its first run wrote.
+Every micro-batch is compared with the last known row of each of its entities, which is kept in tables beside the
+output (``PartedState``). The batch logic is the ordinary delta operator, so all work stays in generated code. A batch that is run again overwrites what its first run wrote.
 """
 
 from __future__ import annotations
@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapdelta.operators.delta import _change, any_null, one_row_per_snapshot, previous_row
 from snapdelta.schema import TIME
-from snapdelta.sources.shared import remove
+from snapdelta.sources.shared import remove, settle
+from snapdelta.streaming.state import PART, PartedState
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,8 @@ class DeltaStream:
     """Where a delta stream keeps its tables, and how it differences.
 
     Rows of one snapshot of an entity must arrive in one batch. A row that is not newer than its entity's last known
-    row goes to ``late``; recomputing from the lake remains the way to take it in.
+    row goes to ``late``; recomputing from the lake remains the way to take it in. The last known rows are a
+    ``PartedState``: a batch reads and writes those of the parts (``parts``, ``most``, ``part_by``) that its entities are in.
     """
 
     root: str
@@ -34,62 +35,52 @@ class DeltaStream:
     on_reset: str = "raw"
     duplicates: str | None = None
     slice_seconds: int | None = None
+    parts: int = 64
+    most: int = 16
+    part_by: Sequence[str] | None = None
 
     def _path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch={batch_id}"
 
-    def _state_names(self) -> dict[str, str]:
-        return {c: f"_known_{c}" for c in (self.time, *self.counters)}
-
-    def _known(self, spark: SparkSession, batch_id: int, like: DataFrame) -> DataFrame:
-        state = like.select(*self.keys, self.time, *self.counters)
-        if batch_id == 0:
-            return state.where(F.lit(False))
-        return spark.read.schema(state.schema).parquet(self._path("state", batch_id - 1))
+    @property
+    def state(self) -> PartedState:
+        return PartedState(f"{self.root}/state", list(self.keys), self.time, self.parts, self.most, self.part_by)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Write the deltas, the late rows and the new state of one micro-batch."""
+        """Write the deltas, the late rows and what is known now of one micro-batch."""
+        spark = batch.sparkSession
         if self.duplicates:
             batch = one_row_per_snapshot(batch, self.counters, self.keys, self.duplicates, self.time)
-        known = self._known(batch.sparkSession, batch_id, batch)
-        joined = batch.join(known.withColumnsRenamed(self._state_names()), list(self.keys), "left")
-        # Three results are written from the joined batch; what an executor loses of it is computed again.
-        joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._write(batch, known, joined, batch_id)
-        finally:
-            joined.unpersist()
-        # A batch that runs again reads the state before it; anything older is of no more use.
-        if batch_id >= 2:
-            remove(batch.sparkSession, self._path("state", batch_id - 2))
-
-    def _write(self, batch: DataFrame, known: DataFrame, joined: DataFrame, batch_id: int) -> None:
+        rows = settle(batch.withColumn(PART, self.state.part()), self._path("work", batch_id))
+        touched = sorted(r[PART] for r in rows.select(PART).distinct().collect())
+        like = rows.select(*self.keys, self.time, *self.counters)
+        known = self.state.known(spark, batch_id, touched, like.schema)
+        names = {c: f"_known_{c}" for c in (self.time, *self.counters)}
+        joined = rows.drop(PART).join(known.withColumnsRenamed(names), list(self.keys), "left")
+        # Three results are written from the joined batch: it is a table, too, of the batch's size.
+        joined = settle(joined, f"{self._path('work', batch_id)}-joined")
+        self._write(batch.columns, joined, batch_id)
+        fresh = joined.where(~self._late()).where(~any_null(self.keys))
+        self.state.put(spark, batch_id, touched, fresh.select(*like.columns))
+        for path in (self._path("work", batch_id), f"{self._path('work', batch_id)}-joined"):
+            remove(spark, path)
+
+    def _late(self) -> Column:
         last = F.col(f"_known_{self.time}")
-        late = last.isNotNull() & (F.col(self.time) <= last)
-        fresh = joined.where(~late)
+        return last.isNotNull() & (F.col(self.time) <= last)
 
-        looked_back = previous_row(fresh, self.counters, self.keys, self.time, self.slice_seconds)
+    def _write(self, columns: Sequence[str], joined: DataFrame, batch_id: int) -> None:
+        looked_back = previous_row(joined.where(~self._late()), self.counters, self.keys, self.time, self.slice_seconds)
         previous = {c: f"(case when has_prev then `prev_{c}` else `_known_{c}` end)" for c in self.counters}
         deltas = looked_back.select(
-            *batch.columns,
+            *columns,
             *[
                 F.expr(f"cast({_change(f'`{c}`', previous[c], self.on_reset)} as {kind})").alias(f"delta_{c}")
-                for c, kind in batch.select(*self.counters).dtypes
+                for c, kind in joined.select(*self.counters).dtypes
             ],
         )
         deltas.write.mode("overwrite").parquet(self._path("deltas", batch_id))
-        joined.where(late).select(*batch.columns).write.mode("overwrite").parquet(self._path("late", batch_id))
-
-        seen = fresh.where(~any_null(self.keys)).select(*self.keys, self.time, *self.counters)
-        newest = (
-            known.unionByName(seen)
-            .groupBy(*self.keys)
-            .agg(
-                F.max(self.time).alias(self.time),
-                *[F.max_by(c, self.time).alias(c) for c in self.counters],
-            )
-        )
-        newest.write.mode("overwrite").parquet(self._path("state", batch_id))
+        joined.where(self._late()).select(*columns).write.mode("overwrite").parquet(self._path("late", batch_id))
 
     def start(self, rows: DataFrame, checkpoint: str) -> StreamingQuery:
         """Difference what has arrived and stop; run it on a schedule."""

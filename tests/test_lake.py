@@ -207,3 +207,24 @@ def test_listing_is_limited_to_the_window():
     assert pattern(datetime(2024, 1, 31), datetime(2024, 2, 1)) == "/{year=2024/month=1/day=31,year=2024/month=2/day=1}"
     assert pattern(datetime(2023, 12, 1), datetime(2024, 3, 1)).count("month=") == 4
     assert pattern(datetime(2000, 1, 1), datetime(2024, 1, 1)) == ""
+
+
+def test_csv_is_read_without_python(spark, csv_lake):
+    """Spark's own reader by header, with all of its groups in one plan."""
+    plan = lake.read_snapshots(spark, csv_lake, "pg_stat_statements", file_format="csv")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "MapInArrow" not in plan and plan.count("FileScan csv") == 2
+
+
+def test_csv_odd_files(spark, tmp_path):
+    """A file without a line, one with a header alone, quoted empty fields, commas, line breaks of both kinds, a mark at the start."""
+    when = datetime(2024, 1, 2, 1, 0, 5)
+    header = "snapshot_time,name,setting,context"
+    texts = ['a,"x, ""y"""', 'b,""', 'c,"two\r\nlines"', "d, padded "]
+    put(tmp_path, "h a+b", "d", "pg_settings", when, header, [f"{when}.5,{t},user" for t in texts])
+    put(tmp_path, "h a+b", "d", "pg_settings", when + timedelta(minutes=1), "﻿setting,snapshot_time,name", [f"on,{when}.5,e"])
+    put(tmp_path, "h a+b", "d", "pg_settings", when + timedelta(minutes=2), header, [])
+    put(tmp_path, "h a+b", "d", "pg_settings", when + timedelta(minutes=3), "", [])
+    rows = lake.read_snapshots(spark, str(tmp_path), "pg_settings", file_format="csv", hosts=["h a+b"])
+    got = sorted(map(tuple, rows.select("host", "name", "setting", "context").collect()), key=repr)
+    want = [("a", 'x, "y"', "user"), ("b", None, "user"), ("c", "two\r\nlines", "user"), ("d", " padded ", "user"), ("e", "on", None)]
+    assert got == sorted((("h a+b", *w) for w in want), key=repr)

@@ -68,8 +68,8 @@ def test_later_run_continues(spark, tmp_path):
         arriving = spark.readStream.schema(SCHEMA).parquet(source)
         stream.start(arriving, checkpoint).awaitTermination()
     assert deltas(spark, stream) == [("a", 0, 0), ("a", 1, 4), ("a", 2, -11), ("a", 3, 6)]
-    kept = sorted(p.name for p in (tmp_path / "out" / "state").iterdir() if p.is_dir())
-    assert kept == ["batch=2", "batch=3"]
+    assert sorted(p.name for p in (tmp_path / "out" / "state" / "live").iterdir() if p.is_dir()) == ["batch=2", "batch=3"]
+    assert list((tmp_path / "out" / "work").iterdir()) == []
 
 
 def test_csv_files_are_ingested(spark, tmp_path):
@@ -85,3 +85,65 @@ def test_csv_files_are_ingested(spark, tmp_path):
     land_stream(arriving, str(tmp_path / "out"), "pg_settings", str(tmp_path / "cp")).awaitTermination()
     back = lake.read_compacted(spark, str(tmp_path / "out"), "pg_settings").select(*df.columns)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_state_written_grows_with_the_batch(spark, tmp_path):
+    """A hundred entities are known; a batch of one entity reads and writes its own part, and a part is folded now and then."""
+    stream = DeltaStream(str(tmp_path / "out"), ["x"], ["k"], parts=16, most=3)
+    names = [f"k{i}" for i in range(100)]
+    batches = [rows(*[(k, 0, i) for i, k in enumerate(names)])] + [rows(("k7", h, h * 10)) for h in range(1, 9)]
+    for i, part in enumerate(batches):
+        stream.process(spark.createDataFrame(part, SCHEMA), i)
+        if i in (2, 5):
+            stream.process(spark.createDataFrame(part, SCHEMA), i)
+    live = stream.state.live(spark, len(batches) - 1)
+    assert 1 < max(map(len, live.values())) <= 4 and sorted(map(len, live.values()))[-2] == 1
+    written = [spark.read.parquet(f"{tmp_path}/out/state/rows/batch={i}").count() for i in sorted(live[max(live, key=lambda p: len(live[p]))])]
+    assert max(written[1:]) == 1 and written[0] < 30
+    whole = counter_delta(spark.createDataFrame(sum(batches, []), SCHEMA), ["x"], ["k"])
+    assert sorted(map(tuple, stream.deltas(spark).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_waits_in_any_order_equal_one_count(spark, tmp_path):
+    """Shuffled arrival, a repeated batch, folds in between: each window ends with what a plain count gives."""
+    import random
+
+    from snapdelta.streaming.waits import WaitCounts
+
+    rng = random.Random(5)
+    sample = [(rng.choice(["h", "i"]), T0 + timedelta(minutes=rng.randrange(600)), rng.choice([None, "w"]), rng.choice([None, "IO"])) for _ in range(300)]
+    schema = "host string, snapshot_time timestamp, wait_event string, wait_event_type string"
+    want = wait_windows(spark.createDataFrame(sample, schema), delay="0 seconds", scope=["host"])
+    stream = WaitCounts(str(tmp_path / "out"), scope=["host"])
+    for i in range(6):
+        for _ in range(2 if i == 3 else 1):
+            stream.process(spark.createDataFrame([*sample[i::6], ("h", None, "w", None)], schema), i)
+        if i in (2, 4, 5):
+            stream.fold(spark, i - 1)
+    assert sorted(map(tuple, stream.counts(spark).collect())) == sorted(map(tuple, want.collect()))
+    assert len(list((tmp_path / "out" / "whole").iterdir())) <= 2
+
+
+def test_folding_ingest_lands_what_compaction_lands(spark, tmp_path):
+    """Rows of three days in four batches in any order, duplicates across batches, one batch twice: the same days, also as summaries."""
+    from snapdelta.operators.summaries import increase_from_summaries
+    from snapdelta.sources import days, lake
+    from snapdelta.streaming.ingest import FoldingIngest
+
+    schema = "host string, database string, snapshot_time timestamp, username string, queryid bigint, query string, calls bigint, total_exec_time double"
+    items = [("h", "d", T0 + timedelta(hours=6 * i), "u", q, "t", 10 * i + q, float(i)) for i in range(12) for q in (1, 2)]
+    items += [("h", "d", T0 + timedelta(hours=6 * i), "u", 1, "t", 1, 1.0) for i in (1, 7)]
+    lake.compact_snapshots(spark.createDataFrame(items, schema), str(tmp_path / "want"), "pg_stat_statements")
+    days.land_days(spark.createDataFrame(items, schema), str(tmp_path / "want-days"), "pg_stat_statements")
+    ingest = FoldingIngest(str(tmp_path / "got"), "pg_stat_statements", str(tmp_path / "arrived"), str(tmp_path / "got-days"))
+    mixed = items[::-1]
+    for i in (0, 1, 1, 2, 3):
+        ingest.process(spark.createDataFrame([*mixed[i::4], ("h", "d", None, "u", 1, "t", 1, 1.0)], schema), i)
+    ingest.process(spark.createDataFrame([], schema), 4)
+    read = lambda name: sorted(map(tuple, lake.read_compacted(spark, str(tmp_path / name), "pg_stat_statements").collect()), key=repr)
+    assert read("got") == read("want") and len(read("got")) == 24
+    keys = ["host", "database", "username", "queryid", "query"]
+    grown = lambda name: sorted(map(tuple, increase_from_summaries(days.read_days(spark, str(tmp_path / name), "pg_stat_statements", T0, T0 + timedelta(days=3)), ["calls"], keys).collect()), key=repr)
+    assert grown("got-days") == grown("want-days")
+    ingest.forget(spark, ["2024-01-01"])
+    assert read("got") == read("want")
