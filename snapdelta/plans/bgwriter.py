@@ -55,6 +55,6 @@ def bgwriter_findings(
     return finding(
         low,
         "bgwriter",
-        "Fewer than 90% of the checkpoints are timed; review max_wal_size and checkpoint_timeout to avoid extra I/O.",
+        "Under 90% of the checkpoints ran on schedule: WAL fills up before its time. Let more of it gather between two of them.",
         scope,
     )

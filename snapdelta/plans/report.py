@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapdelta.operators import quality
 from snapdelta.operators.topk import DEFAULT_LIMIT, TOP_FINDINGS, UNUSED_INDEX_LIST
 from snapdelta.plans import bgwriter, databases, indexes, sessions, settings, statements, tables
 from snapdelta.schema import SCOPE
-from snapdelta.sources.shared import remove, settle, shared_dir
+from snapdelta.sources.shared import exists, move, remove, settle, shared_dir
 
 # The results of a report.
 RESULTS = (
@@ -97,15 +99,20 @@ def build_report(
             counted["pg_stat_statements"], scope=scope, digest_text=digest_text, **unfolded, **increase("statement")
         )
         base = keep(base, "statement_base")
-        results |= {
-            "sql_r_io_stats": statements.top_reads(base, limit, scope),
-            "sql_h_io_stats": statements.top_hits(base, limit, scope),
-            "sql_w_io_stats": statements.top_writes(base, limit, scope),
-            "sql_tr_stats": statements.top_temp_reads(base, limit, scope),
-            "sql_tw_stats": statements.top_temp_writes(base, limit, scope),
-            "sql_stats_wg": statements.top_wal(base, limit, scope),
-            "findings_top_io_sql": statements.top_io_findings(base, findings_limit, scope),
-        }
+        if keep is _as_is:
+            results |= {
+                "sql_r_io_stats": statements.top_reads(base, limit, scope),
+                "sql_h_io_stats": statements.top_hits(base, limit, scope),
+                "sql_w_io_stats": statements.top_writes(base, limit, scope),
+                "sql_tr_stats": statements.top_temp_reads(base, limit, scope),
+                "sql_tw_stats": statements.top_temp_writes(base, limit, scope),
+                "sql_stats_wg": statements.top_wal(base, limit, scope),
+                "findings_top_io_sql": statements.top_io_findings(base, findings_limit, scope),
+            }
+        else:
+            # All lists in one pass, kept; the single ones would each sort the base again.
+            lists = keep(statements.all_lists(base, limit, findings_limit, scope), "statement_lists")
+            results |= {name: statements.list_of(lists, name, base, scope) for name in (*statements.LISTS, statements.FINDINGS)}
 
     if "pg_stat_bgwriter" in frames:
         summary = bgwriter.bgwriter_summary(counted["pg_stat_bgwriter"], scope=scope, **increase("bgwriter"))
@@ -129,11 +136,12 @@ def build_report(
         activity = tables.table_activity(counted["table_stats"], scope=scope, **increase("table"))
         activity = keep(activity, "table_activity")
         base = tables.table_base(activity, scope)
-        results |= {
-            f"table_{family}_{kind}s": tables.top_tables(base, family, kind, limit, scope)
-            for family in tables.FAMILIES
-            for kind in ("read", "hit")
-        }
+        names = [(family, kind) for family in tables.FAMILIES for kind in ("read", "hit")]
+        if keep is _as_is:
+            results |= {f"table_{f}_{k}s": tables.top_tables(base, f, k, limit, scope) for f, k in names}
+        else:
+            lists = keep(tables.all_lists(base, limit, scope), "table_lists")
+            results |= {f"table_{f}_{k}s": tables.list_of(lists, f, k, scope) for f, k in names}
         results["vacuum_stats"] = tables.vacuum_efficiency(activity, scope)
         results["table_stats_findings"] = tables.table_findings(base, scope)
 
@@ -172,6 +180,28 @@ def _beside(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> DataFram
     return left.join(named, same, "left").drop(*[f"_of_{c}" for c in scope])
 
 
+#: The sections of a report, which do not depend on each other: the statistics each reads, and the results it gives.
+SECTIONS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "details": (("pg_stat_database", "version"), tuple(RESULTS[:6])),
+    "waits": (("pg_stat_activity",), ("wait_events", "wait_events_type")),
+    "settings": (("pg_settings",), ("parameters", "pg_setting_change_timeline")),
+    "statements": (("pg_stat_statements",), (*statements.LISTS, statements.FINDINGS)),
+    "bgwriter": (("pg_stat_bgwriter", "version"), ("bgwriter_stats", "bgwriter_findings")),
+    "indexes": (("index_stats",), ("index_reads", "index_hits", "index_usage", "index_usage_2", "index_stats_findings")),
+    "tables": (("table_stats",), tuple(r for r in RESULTS if r.startswith("table_") or r == "vacuum_stats")),
+}
+
+
+def _publish(spark: SparkSession, staged: str, path: str, mode: str) -> None:
+    """Move a finished result to its place; where it is appended to, or the store cannot move it, copy it."""
+    if mode in ("overwrite", "error", "errorifexists"):
+        if mode == "overwrite" and exists(spark, path):
+            remove(spark, path)
+        if move(spark, staged, path):
+            return
+    spark.read.parquet(staged).write.mode(mode).parquet(path)
+
+
 def write_report(
     frames: dict[str, DataFrame],
     out: str,
@@ -180,32 +210,66 @@ def write_report(
     mode: str = "overwrite",
     scope: Sequence[str] = SCOPE,
     database: str | None = None,
+    jobs: int = 8,
     **options,
 ) -> dict[str, str]:
     """Write every result as Parquet under ``out`` and return the paths.
 
     Shared frames are written to the cluster's shared folder first and read back; that folder is removed at the end.
+    Sections run beside each other, up to ``jobs`` jobs at once, each section in a scheduler pool of its own name. Their
+    results are staged next to ``out`` and moved to their places when all are there: if a section fails, nothing is published.
     With ``strict`` a scope with too few snapshots, a statistics reset or mixed versions fails the report; otherwise
     ``report_status`` tells them apart.
     """
     if not frames:
         raise quality.DataQualityError("no statistics to report on")
     spark = next(iter(frames.values())).sparkSession
-    scratch = shared_dir(spark, "report")
+    scratch, staging = shared_dir(spark, "report"), f"{out.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+
+    def pooled(section: str, job: Callable):
+        def run(*args):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", section)
+            return job(*args)
+
+        return run
+
+    def write(name: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{staging}/{name}")
+
+    def status() -> list[Future]:
+        checked = settle(report_status(frames, scope, database), f"{scratch}/status")
+        if strict:
+            quality.require_rows(checked)
+            passed = F.col("enough_snapshots") & F.col("not_reset") & F.col("one_engine")
+            quality.require_ok(checked.withColumn("ok", passed), "report not possible")
+        return [writers.submit(pooled("details", write), "report_status", checked)]
+
+    def section(name: str) -> list[Future]:
+        read, wanted = SECTIONS[name]
+        own = {stat: frames[stat] for stat in read if stat in frames}
+        keep = lambda df, what: settle(df, f"{scratch}/{name}-{what}")
+        results = build_report(own, keep=keep, scope=scope, database=database, **options)
+        return [writers.submit(pooled(name, write), result, results[result]) for result in wanted if result in results]
+
+    alone = {"details": ("pg_stat_database", "version"), "bgwriter": ("pg_stat_bgwriter",)}
+    named = [name for name, (read, _) in SECTIONS.items() if any(stat in frames for stat in alone.get(name, read))]
     try:
-        if "pg_stat_database" in frames:
-            status = settle(report_status(frames, scope, database), f"{scratch}/status")
-            if strict:
-                quality.require_rows(status)
-                passed = F.col("enough_snapshots") & F.col("not_reset") & F.col("one_engine")
-                quality.require_ok(status.withColumn("ok", passed), "report not possible")
-            status.write.mode(mode).parquet(f"{out}/report_status")
-        results = build_report(
-            frames, keep=lambda df, name: settle(df, f"{scratch}/{name}"), scope=scope, database=database, **options
-        )
-        paths = {name: f"{out}/{name}" for name in results}
-        for name, df in results.items():
-            df.write.mode(mode).parquet(paths[name])
+        # Sections are planned in threads of their own; what they write is queued to others, so that none waits for itself.
+        with ThreadPoolExecutor(jobs) as writers, ThreadPoolExecutor(len(named) + 1) as planners:
+            if strict and "pg_stat_database" in frames:
+                checks = status()
+            else:
+                checks = []
+            planned = [planners.submit(pooled(name, section), name) for name in named]
+            if not strict and "pg_stat_database" in frames:
+                planned.append(planners.submit(pooled("details", status)))
+            for done in [*(f for plan in planned for f in plan.result()), *checks]:
+                done.result()
+        names = [name for name in ("report_status", *RESULTS) if exists(spark, f"{staging}/{name}")]
+        paths = {name: f"{out.rstrip('/')}/{name}" for name in names}
+        with ThreadPoolExecutor(jobs) as writers:
+            list(writers.map(lambda name: _publish(spark, f"{staging}/{name}", paths[name], mode), names))
     finally:
-        remove(spark, scratch)
-    return paths
+        for folder in (scratch, staging):
+            remove(spark, folder)
+    return {name: path for name, path in paths.items() if name != "report_status"}

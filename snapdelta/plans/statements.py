@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import BLOCK_SIZE, blocks_to_bytes, hit_ratio, human_bytes, or_zero, per_unit
 from snapdelta.operators.summaries import increase, is_summarised
-from snapdelta.operators.topk import DEFAULT_LIMIT, TOP_FINDINGS, top_k
+from snapdelta.operators.topk import DEFAULT_LIMIT, TOP_FINDINGS, one_list, top_k, top_lists
 from snapdelta.schema import SCOPE, STATS, with_exec_time
 
 SPEC = STATS["pg_stat_statements"]
@@ -119,3 +119,31 @@ def top_wal(base: DataFrame, k: int = DEFAULT_LIMIT, scope: Sequence[str] = SCOP
 def top_io_findings(base: DataFrame, k: int = TOP_FINDINGS, scope: Sequence[str] = SCOPE) -> DataFrame:
     """The few statements that read most, whether or not they read anything."""
     return _top(base, "shared_read_bytes", k, scope, positive=False)
+
+
+#: The report's lists: name to metric.
+LISTS = {
+    "sql_r_io_stats": "shared_read_bytes",
+    "sql_h_io_stats": "shared_hit_bytes",
+    "sql_w_io_stats": "shared_written_bytes",
+    "sql_tr_stats": "temp_read_bytes",
+    "sql_tw_stats": "temp_written_bytes",
+    "sql_stats_wg": "wal_bytes",
+}
+FINDINGS = "findings_top_io_sql"
+
+
+def all_lists(base: DataFrame, k: int = DEFAULT_LIMIT, findings: int = TOP_FINDINGS, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """All lists of the report at once, rows named by ``list``; ``list_of`` takes one out."""
+    if "wal_bytes" not in base.columns:
+        base = base.withColumn("wal_bytes", F.lit(None).cast("bigint"))
+    lists = {name: (metric, k, True) for name, metric in LISTS.items()} | {FINDINGS: ("shared_read_bytes", findings, False)}
+    return top_lists(base, lists, ties=[c for c in SPEC.keys if c not in scope], scope=scope)
+
+
+def list_of(lists: DataFrame, name: str, base: DataFrame, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """One of ``all_lists`` with display texts, as its own function gives it."""
+    cut = one_list(lists, name, scope)
+    if "wal_bytes" not in base.columns and name != "sql_stats_wg":
+        cut = cut.drop("wal_bytes")
+    return with_texts(cut)

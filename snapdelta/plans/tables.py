@@ -18,7 +18,7 @@ from snapdelta.functions.scalars import (
 )
 from snapdelta.operators.share import with_totals
 from snapdelta.operators.summaries import increase
-from snapdelta.operators.topk import DEFAULT_LIMIT, top_k
+from snapdelta.operators.topk import DEFAULT_LIMIT, one_list, top_k, top_lists
 from snapdelta.plans.findings import LOW_HIT_RATIO, finding
 from snapdelta.schema import SCOPE, STATS
 
@@ -111,6 +111,18 @@ def top_tables(
     return cut.withColumn(f"{family}_{kind}_text", human_bytes(metric))
 
 
+def all_lists(base: DataFrame, k: int = DEFAULT_LIMIT, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """The eight lists at once, rows named by ``list`` as ``<family>_<kind>``; ``list_of`` takes one out."""
+    return top_lists(base, {m.removesuffix("_bytes"): (m, k, True) for m in METRICS}, ties=["table_name"], scope=scope)
+
+
+def list_of(lists: DataFrame, family: str, kind: str, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """One of ``all_lists``, as ``top_tables`` gives it."""
+    metric, ranks = f"{family}_{kind}_bytes", ["rank"] if scope else []
+    cut = one_list(lists, f"{family}_{kind}", scope).select(*scope, "table_name", metric, f"{family}_hit_ratio", *ranks)
+    return cut.withColumn(f"{family}_{kind}_text", human_bytes(metric))
+
+
 def vacuum_efficiency(activity: DataFrame, scope: Sequence[str] = SCOPE) -> DataFrame:
     """Vacuums per table and their share of all vacuums of the scope (toast tables count in the totals only)."""
     counted = activity.select(

@@ -431,7 +431,7 @@ where datid <> 0 and datname = database group by {HD}""",
         "report_fleet_scope": f"{_database_cte('')} select * from r",
         "bgwriter_findings": f"""{_bgwriter_cte()}, {_with("fx_version").removeprefix("with ")}
 select {HD}, 'bgwriter' category,
-  'Fewer than 90% of the checkpoints are timed; review max_wal_size and checkpoint_timeout to avoid extra I/O.' recommendation
+  'Under 90% of the checkpoints ran on schedule: WAL fills up before its time. Let more of it gather between two of them.' recommendation
 from b where timed_percent < 90 and host not in (select host from fx_version where aurora_version is not null)""",
         "guard_snapshot_count": f"""{_with("fx_database")}
 select {HD}, count(distinct snapshot_time) snapshots, count(distinct snapshot_time) >= 2 ok from fx_database group by {HD}""",
@@ -562,23 +562,35 @@ _REPORT_ROWS = {
 
 
 def _report_sql(known: dict[str, str]) -> str:
-    """Rows per scope of every result, each from the SQL of its own query."""
+    """Rows per scope of every result and a sum over their values, each from the SQL of its own query."""
     role = f"""{_with("fx_database")}, c as (
   select {HD}, snapshot_time, bool_or(standby) standby from fx_database where datid <> 0 group by {HD}, snapshot_time)
-select * from {_changes("c", HD, "standby")}"""
+select {HD}, snapshot_time change_time, case when standby then 'True' when not standby then 'False' end standby
+from {_changes("c", HD, "standby")}"""
     low = f"""{_database_cte(HD)}, {_with("fx_version").removeprefix("with ")}
-select * from r where datname = database and hit_ratio < 99
-and (host, database) in (select (host, database) from fx_version where aurora_version is not null)"""
+select {HD}, 'database' category,
+  'The cache-hit ratio is below 99%; review the buffer size and the statements that read most.' recommendation
+from r where datname = database and hit_ratio < 99 and (host, database) in (select (host, database) from fx_version where aurora_version is not null)"""
     off = f"""{_bgwriter_cte()}, {_with("fx_version").removeprefix("with ")}
-select * from b where timed_percent < 90
+select {HD}, 'bgwriter' category, 'Under 90% of the checkpoints ran on schedule: WAL fills up before its time. Let more of it gather between two of them.' recommendation from b where timed_percent < 90
 and (host, database) not in (select (host, database) from fx_version where aurora_version is not null)"""
     texts = {name: known[query] for name, query in _REPORT_ROWS.items()} | {
         "database_role_timeline": role, "snapshot_details_findings": low, "bgwriter_findings": off
     }
-    return " union all ".join(
-        f"select host, database, count(*) as \"rows\", '{name}' as result from ({sql}) group by host, database"
-        for name, sql in texts.items()
+    # The digest of a row: its values as named texts in order of the names, as ``row_digest`` makes it.
+    value = (
+        "coalesce(case when typeof(COLUMNS('(.*)')) in ('DOUBLE', 'FLOAT') then cast(cast(round(try_cast(cast(COLUMNS('(.*)') as varchar) as double) * 100) as bigint) as varchar) "
+        "when typeof(COLUMNS('(.*)')) like 'TIMESTAMP%' then cast(epoch_us(try_cast(cast(COLUMNS('(.*)') as varchar) as timestamp)) as varchar) "
+        "else cast(COLUMNS('(.*)') as varchar) end, '~') as \"\\1\""
     )
+    parts = []
+    for name, sql in texts.items():
+        parts.append(f"""select any_value(host) as host, any_value(database) as database, count(*) as "rows", cast(sum(digest) as bigint) as digest, '{name}' as result
+from (select rid, max(v) filter (n = 'host') as host, max(v) filter (n = 'database') as database,
+    cast('0x' || substr(md5(string_agg(n || '=' || v, '|' order by n)), 1, 10) as bigint) as digest
+  from (unpivot (select {value} from (select row_number() over () as rid, * from ({sql}))) on columns(* exclude (rid)) into name n value v)
+  group by rid) group by host, database""")
+    return " union all ".join(f"({p})" for p in parts)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapdelta.functions.scalars import epoch_seconds, major_version, parse_report_window, report_time
@@ -535,18 +535,35 @@ REPORT_FIXTURES = {
 }
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A number from all values of a row, named and in order of their names: times as microseconds, fractions by hundredths."""
+
+    def text(name: str, kind: str) -> Column:
+        value = F.col(name)
+        if kind in ("double", "float"):
+            value = F.round(value * 100).cast("bigint")
+        elif kind.startswith("timestamp"):
+            value = F.unix_micros(value.cast("timestamp"))
+        return F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit("~")))
+
+    whole = F.concat_ws("|", *[text(name, kind) for name, kind in sorted(df.dtypes)])
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 10), 16, 10).cast("bigint")
+
+
 @query
 def written_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every result of a report that was written out, per host and database."""
+    """Every result of a report that was written out: rows per host and database, and a sum over all their values."""
     frames = {stat: view(spark, sf_dir, fixture) for stat, fixture in REPORT_FIXTURES.items()}
     rows = frames["pg_stat_database"]
     frames["pg_stat_database"] = rows.withColumn("stats_reset", F.lit(None).cast("timestamp"))
     paths = report.write_report(frames, shared_dir(spark, "report-out"), limit=LIMIT)
-    counts = [
-        spark.read.parquet(path).groupBy(*SCOPE).agg(F.count(F.lit(1)).alias("rows")).withColumn("result", F.lit(name))
-        for name, path in paths.items()
-    ]
-    return lake.union_snapshots(counts)
+
+    def summed(name: str, path: str) -> DataFrame:
+        result = spark.read.parquet(path)
+        digested = result.withColumn("_digest", row_digest(result)).groupBy(*SCOPE)
+        return digested.agg(F.count(F.lit(1)).alias("rows"), F.sum("_digest").alias("digest")).withColumn("result", F.lit(name))
+
+    return lake.union_snapshots([summed(name, path) for name, path in paths.items()])
 
 
 @query

@@ -34,3 +34,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, wherever it is stored."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a folder another name in the same store; false where the store cannot, or the target is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return not files.exists(path(target)) and files.rename(path(source), path(target))

@@ -214,3 +214,52 @@ def test_mixed_versions_and_nothing_at_all(frames, tmp_path):
     alike = only | {"version": only["version"].withColumn("version", F.lit("PostgreSQL 14.1 on x"))}
     one = {r["one_engine"] for r in report.report_status(alike).collect()}
     assert one == {True}
+
+
+def test_many_lists_in_one_pass_equal_the_single_ones(spark, frames, tmp_path):
+    """Six and eight lists from one window each, under both scopes: rows, ranks and texts as the single functions give them."""
+    base = statements.statement_base(frames["pg_stat_statements"])
+    base.write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+    single = dict(zip(statements.LISTS, (statements.top_reads, statements.top_hits, statements.top_writes, statements.top_temp_reads, statements.top_temp_writes, statements.top_wal)))
+    single[statements.FINDINGS] = lambda b, k, s: statements.top_io_findings(b, 2, s)
+    for scope in (("host", "database"), ()):
+        lists = statements.all_lists(base, 4, 2, scope)
+        for name, alone in single.items():
+            got = statements.list_of(lists, name, base, scope)
+            assert rows(got) == rows(alone(base, 4, scope)) and got.count() > 0
+    text = lists._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 2
+    older = base.drop("wal_records", "wal_fpi", "wal_bytes")
+    lists = statements.all_lists(older, 4)
+    assert statements.list_of(lists, "sql_stats_wg", older).count() == 0
+    assert rows(statements.list_of(lists, "sql_r_io_stats", older)) == rows(statements.top_reads(older, 4))
+    sizes = tables.table_base(tables.table_activity(frames["table_stats"], vacuum=False))
+    many = tables.all_lists(sizes, 3)
+    for family, kind in (("heap", "read"), ("toast", "hit"), ("toast_index", "read")):
+        assert rows(tables.list_of(many, family, kind)) == rows(tables.top_tables(sizes, family, kind, 3))
+
+
+def test_a_failed_section_publishes_nothing(frames, tmp_path):
+    """One section fails while it is written: the results of a report before it stay, nothing new is there."""
+    good = {"pg_settings": frames["pg_settings"], "pg_stat_activity": frames["pg_stat_activity"]}
+    paths = report.write_report(good, str(tmp_path / "out"))
+    before = sorted(p.name for p in (tmp_path / "out").iterdir())
+    files = {name: sorted(f.name for f in (tmp_path / "out" / name).iterdir()) for name in paths}
+    broken = good | {"table_stats": frames["table_stats"].withColumn("heap_blks_read", F.expr("cast(raise_error('broken') as bigint)"))}
+    with pytest.raises(Exception, match="broken"):
+        report.write_report(broken, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == before
+    assert {name: sorted(f.name for f in (tmp_path / "out" / name).iterdir()) for name in paths} == files
+
+
+def test_report_is_appended_to_and_refused(spark, frames, tmp_path):
+    one = {"pg_stat_activity": frames["pg_stat_activity"]}
+    path = report.write_report(one, str(tmp_path))["wait_events"]
+    once = spark.read.parquet(path).count()
+    report.write_report(one, str(tmp_path), mode="append")
+    assert spark.read.parquet(path).count() == 2 * once
+    with pytest.raises(Exception, match="(?i)exists"):
+        report.write_report(one, str(tmp_path), mode="error")
+    assert spark.read.parquet(path).count() == 2 * once
