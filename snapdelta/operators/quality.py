@@ -31,6 +31,28 @@ def snapshot_count(df: DataFrame, *, scope: Sequence[str] = SCOPE, time: str = T
     return counted.withColumn("ok", F.col("snapshots") >= MIN_SNAPSHOTS)
 
 
+def snapshot_minutes(df: DataFrame, *, scope: Sequence[str] = SCOPE, time: str = TIME) -> DataFrame:
+    """The minutes in which each scope has snapshots, as bitmaps: ``bucket`` and ``minutes``, 32,768 minutes a row.
+
+    A task sends one bitmap per scope and bucket, however many rows it has read. Bitmaps of several lots of rows are put together
+    by ``merge_minutes``, and ``count_minutes`` counts them.
+    """
+    minute = F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / 60).cast("long")
+    placed = df.where(F.col(time).isNotNull()).select(*scope, F.bitmap_bucket_number(minute).alias("bucket"), F.bitmap_bit_position(minute).alias("_bit"))
+    return placed.groupBy(*scope, "bucket").agg(F.bitmap_construct_agg("_bit").alias("minutes"))
+
+
+def merge_minutes(bitmaps: DataFrame, *, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """One bitmap per scope and bucket of those of several lots of rows, which may share minutes."""
+    return bitmaps.groupBy(*scope, "bucket").agg(F.bitmap_or_agg("minutes").alias("minutes"))
+
+
+def count_minutes(bitmaps: DataFrame, *, scope: Sequence[str] = SCOPE) -> DataFrame:
+    """Distinct snapshots per scope, from merged bitmaps, and whether they are enough: captures are at least a minute apart."""
+    counted = bitmaps.groupBy(*scope).agg(F.sum(F.bitmap_count("minutes")).alias("snapshots"))
+    return counted.withColumn("ok", F.col("snapshots") >= MIN_SNAPSHOTS)
+
+
 def stats_reset(df: DataFrame, *, scope: Sequence[str] = SCOPE, reset: str = "stats_reset") -> DataFrame:
     """Distinct reset times per scope (a null is none) and whether the counters ran through."""
     counted = df.groupBy(*scope).agg(F.countDistinct(reset).alias("resets"))

@@ -515,6 +515,17 @@ where {window} and host in ('h1', 'h2')""",
         "written_report": _vacuum(HD),
         "stream_ingest": f"{_with('fx_bgwriter')} select * from fx_bgwriter",
         "stream_delta": _delta_sql()["counter_delta_lag"],
+        "lake_clustered_base": f"{_statement_base()} select * from t",
+        "lake_clustered_deltas": f"""{_with("fx_statements")}
+select {STMT}, snapshot_time, d_calls delta_calls, d_shared_blks_read delta_shared_blks_read from ({_deltas("fx_statements", STMT, ["calls", "shared_blks_read"])})""",
+        "lake_views": f"""{_with("fx_activity", "fx_bgwriter")}
+select w.host, w.samples, b.checkpoints from (select host, count(*) samples from fx_activity where wait_event is not null group by host) w
+join (select host, max(checkpoints_timed) checkpoints from fx_bgwriter group by host) b on b.host = w.host""",
+        "scalar_truncated": f"""{_with("fx_statements")}
+select {STMT}, snapshot_time, cast(trunc((calls * 10 - shared_blks_read) / 7.0::double) as bigint) whole from fx_statements""",
+        "guard_snapshot_minutes": f"""{_with("fx_database")}
+select host, database, count(distinct snapshot_time) snapshots, count(distinct snapshot_time) >= 2 ok
+from fx_database where datid % 2 = 0 or datid % 3 <> 0 group by host, database""",
         "stream_folded_ingest": f"{_index_base()} select * from b",
         "stream_wait_counts": f"""{_with("fx_activity")}
 select date_trunc('hour', snapshot_time) window_start, date_trunc('hour', snapshot_time) + interval 1 hour window_end, host, database,

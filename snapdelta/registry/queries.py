@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdelta.functions.scalars import epoch_seconds, major_version, parse_report_window, report_time
+from snapdelta.functions.scalars import epoch_seconds, major_version, parse_report_window, report_time, truncated
 from snapdelta.functions.sql_functions import register_sql_functions
 from snapdelta.operators import catalog, quality
 from snapdelta.operators.delta import counter_delta, counter_increase, elapsed_delta, one_row_per_snapshot
@@ -17,7 +17,7 @@ from snapdelta.plans.deltas import stat_deltas
 from snapdelta.plans import bgwriter, databases, indexes, report, sessions, settings, statements, tables
 from snapdelta.registry.fixtures import table, view
 from snapdelta.schema import SCOPE
-from snapdelta.sources import days, lake
+from snapdelta.sources import clustered, days, lake
 from snapdelta.sources.shared import shared_dir
 from snapdelta.streaming.deltas import DeltaStream
 from snapdelta.streaming.ingest import FoldingIngest, land_stream, stream_snapshots
@@ -273,6 +273,13 @@ _QUERIES |= {
     ),
 }
 
+
+def _two_lots(df: DataFrame) -> DataFrame:
+    """Minutes of two lots of rows that share some of their snapshots."""
+    early = df.where(F.col("datid") % 2 == 0)
+    return quality.snapshot_minutes(early).unionByName(quality.snapshot_minutes(df.where(F.col("datid") % 3 != 0)))
+
+
 # --- databases, versions, waits, settings, background writer --------------------------------------------------------
 
 _QUERIES |= {
@@ -302,6 +309,7 @@ _QUERIES |= {
     "bgwriter_summary_gaps": _fixture("fx_bgwriter_gaps", bgwriter.bgwriter_summary),
     "guard_database_reset": _fixture("fx_database_resets", quality.database_stats_reset),
     "guard_snapshot_count": _fixture("fx_database", quality.snapshot_count),
+    "guard_snapshot_minutes": _fixture("fx_database", lambda df: quality.count_minutes(quality.merge_minutes(_two_lots(df)))),
     "guard_stats_reset": _fixture("fx_bgwriter", quality.stats_reset),
     "guard_one_engine": _fixture("fx_version", quality.one_engine),
 }
@@ -334,6 +342,13 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def scalar_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole parts of positive and negative fractions of every statement row."""
+    rows = view(spark, sf_dir, "fx_statements").withColumn("part", F.expr("(calls * 10 - shared_blks_read) / 7.0D"))
+    return rows.select(*STATEMENT_KEYS, "snapshot_time", truncated("part").alias("whole"))
+
+
 @query
 def report_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statement rows between two report times given as text."""
@@ -516,6 +531,40 @@ def lake_compacted_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statements.with_texts(base.select(*[c for c in base.columns if c != "wal_bytes"], *wal))
 
 
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "clustered")
+    name = "statements_" + root.rsplit("-", 1)[-1]
+    clustered.cluster_snapshots(view(spark, sf_dir, "fx_statements"), name, root, "pg_stat_statements", buckets=8)
+    return clustered.read_clustered(spark, name, "pg_stat_statements")
+
+
+@query
+def lake_clustered_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statement report over a bucketed table: nothing moves before the top lists."""
+    base = statements.statement_base(_clustered(spark, sf_dir), duplicates=None, gaps="lag")
+    return statements.with_texts(base.withColumn("wal_bytes", F.col("wal_bytes").cast("bigint")))
+
+
+@query
+def lake_clustered_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deltas = counter_delta(_clustered(spark, sf_dir), ["calls", "shared_blks_read"], STATEMENT_KEYS)
+    return deltas.select(*STATEMENT_KEYS, "snapshot_time", "delta_calls", "delta_shared_blks_read")
+
+
+@query
+def lake_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two statistics of a lake, loaded together and queried by name: waits per host beside its checkpoints."""
+    root = shared_dir(spark, "lake")
+    lake.compact_snapshots(view(spark, sf_dir, "fx_activity"), root, "pg_stat_activity")
+    lake.compact_snapshots(view(spark, sf_dir, "fx_bgwriter"), f"{root}-days", "pg_stat_bgwriter")
+    frames = lake.load_stats(spark, root, stats=["pg_stat_activity"], compacted=True) | lake.load_stats(spark, f"{root}-days", stats=["pg_stat_bgwriter"], compacted=True)
+    waits, writer = lake.register_views(frames, prefix=f"v_{root.rsplit('-', 1)[-1]}_")
+    return spark.sql(
+        f"select w.host, w.samples, b.checkpoints from (select host, count(*) samples from {waits} where wait_event is not null group by host) w "
+        f"join (select host, max(checkpoints_timed) checkpoints from {writer} group by host) b on b.host = w.host"
+    )
+
+
 @query
 def report_fleet_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Database shares of a report over the whole fleet, current database named."""

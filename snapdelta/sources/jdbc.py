@@ -55,6 +55,14 @@ EXTRACTS: dict[str, dict[str, str]] = {
 AURORA_VERSION = "select version() as version, aurora_version() as aurora_version"
 
 
+class CaptureError(RuntimeError):
+    """Endpoints that could not be read; ``failed`` says why each."""
+
+    def __init__(self, failed: dict[str, Exception]):
+        self.failed = failed
+        super().__init__("not captured: " + "; ".join(f"{what} ({str(why).splitlines()[0]})" for what, why in failed.items()))
+
+
 @dataclass(frozen=True)
 class Endpoint:
     host: str
@@ -129,14 +137,30 @@ def capture(
 ) -> None:
     """Append one snapshot of the named statistics (all when unset) of every endpoint to the lake.
 
-    The endpoints of a statistic are read as one union, so Spark queries the servers side by side.
+    The endpoints of a statistic are read as one union, so Spark queries the servers side by side. Where an endpoint fails, those
+    read with it are read again one by one: each that answers is written, and what failed is raised at the end, after all
+    statistics of all endpoints have had their turn.
     """
+    failed: dict[str, Exception] = {}
+
+    def extracted(stat: str, endpoint: Endpoint) -> DataFrame:
+        texts = {"extract": AURORA_VERSION} if aurora and stat == "version" else EXTRACTS[stat]
+        extracts = {name: read_extract(spark, endpoint, sql, user, password) for name, sql in texts.items()}
+        return stamp(build_stat(stat, extracts, endpoint.database), endpoint.host, endpoint.database, at)
+
     for stat in stats or EXTRACTS:
         for first in range(0, len(servers), ENDPOINTS_PER_JOB):
-            rows = []
-            for endpoint in servers[first : first + ENDPOINTS_PER_JOB]:
-                texts = {"extract": AURORA_VERSION} if aurora and stat == "version" else EXTRACTS[stat]
-                extracts = {name: read_extract(spark, endpoint, sql, user, password) for name, sql in texts.items()}
-                built = build_stat(stat, extracts, endpoint.database)
-                rows.append(stamp(built, endpoint.host, endpoint.database, at))
-            write_snapshots(union_snapshots(rows), root, stat, file_format=file_format)
+            some = servers[first : first + ENDPOINTS_PER_JOB]
+            try:
+                # A job that fails has written nothing.
+                write_snapshots(union_snapshots([extracted(stat, e) for e in some]), root, stat, file_format=file_format)
+            except Exception as error:  # noqa: BLE001 - whatever a driver raises
+                for endpoint in some:
+                    try:
+                        if len(some) == 1:
+                            raise error
+                        write_snapshots(extracted(stat, endpoint), root, stat, file_format=file_format)
+                    except Exception as cause:  # noqa: BLE001
+                        failed[f"{stat} of {endpoint.host}:{endpoint.port}/{endpoint.database}"] = cause
+    if failed:
+        raise CaptureError(failed)

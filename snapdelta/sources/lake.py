@@ -12,6 +12,7 @@ import gzip
 import io
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 from urllib.parse import unquote
@@ -375,13 +376,19 @@ def load_stats(
     """Frames of the named statistics, each of which must have rows in the window; when unset, of those of the nine that
     have, and an error if none has."""
     read = read_compacted if compacted else read_snapshots
-    frames = {}
-    for stat in stats or STATS:
+
+    def loaded(stat: str) -> DataFrame | None:
         try:
-            frames[stat] = read(spark, root, stat, start, end, **options)
+            return read(spark, root, stat, start, end, **options)
         except DataQualityError:
             if stats:
                 raise
+            return None
+
+    # Each looks whether its window holds anything; the looks run side by side.
+    with ThreadPoolExecutor(len(STATS)) as readers:
+        found = dict(zip(stats or STATS, readers.map(loaded, stats or STATS)))
+    frames = {stat: df for stat, df in found.items() if df is not None}
     if not frames:
         raise DataQualityError(f"no snapshots under {root} in the window")
     return frames

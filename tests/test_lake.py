@@ -228,3 +228,24 @@ def test_csv_odd_files(spark, tmp_path):
     got = sorted(map(tuple, rows.select("host", "name", "setting", "context").collect()), key=repr)
     want = [("a", 'x, "y"', "user"), ("b", None, "user"), ("c", "two\r\nlines", "user"), ("d", " padded ", "user"), ("e", "on", None)]
     assert got == sorted((("h a+b", *w) for w in want), key=repr)
+
+
+def test_a_failing_endpoint_costs_only_itself(spark, tmp_path, monkeypatch):
+    """One server refuses the connection, one breaks off while it is read: the others' snapshots are there, the failures are named."""
+    from snapdelta.sources import jdbc
+
+    def answer(session, endpoint, sql, user, password):
+        if endpoint.host == "down":
+            raise ConnectionError("refused")
+        version = F.expr("cast(raise_error('broken off') as string)") if endpoint.host == "breaks" else F.lit("PostgreSQL 14.2")
+        return session.range(1).select(version.alias("version"))
+
+    monkeypatch.setattr(jdbc, "read_extract", answer)
+    servers = jdbc.endpoints(["a:1", "down:1", "breaks:1", "b:1"], ["x", "y"])
+    with pytest.raises(jdbc.CaptureError) as raised:
+        jdbc.capture(spark, servers, str(tmp_path), "u", "p", ["version"])
+    assert sorted(raised.value.failed) == [f"version of {h}:1/{d}" for h in ("breaks", "down") for d in "xy"]
+    rows = lake.read_snapshots(spark, str(tmp_path), "version").collect()
+    assert sorted((r["host"], r["database"]) for r in rows) == [(h, d) for h in "ab" for d in "xy"]
+    with pytest.raises(jdbc.CaptureError):
+        jdbc.capture(spark, servers[2:3], str(tmp_path / "none"), "u", "p", ["version"])

@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITING = {"lake_round_trip", "lake_time_window", "lake_csv_round_trip", "lake_compacted", "lake_folded", "written_report"}
-WRITING |= {"lake_statements_round_trip", "lake_extra_columns", "lake_compacted_twice", "written_report_all", "lake_day_window"}
+WRITING |= {"lake_statements_round_trip", "lake_extra_columns", "lake_compacted_twice", "written_report_all", "lake_day_window", "lake_views", "lake_clustered_base", "lake_clustered_deltas"}
 STREAMING = {"stream_folded_ingest", "stream_wait_counts", "stream_ingest", "stream_delta", "stream_wait_windows"}
 # The corpus operators have tests of their own; some need Python, and most keep tables.
 QUERIES = {n: q for n, q in contract.queries().items() if n not in WRITING | STREAMING and not n.startswith(("op", "pipeline"))}
@@ -136,3 +136,16 @@ def test_registered_increases_move_rows_once(shuffled, name, fixture, most):
 
     exchanges = lambda df: plan(df).count("Exchange hashpartitioning")
     assert exchanges(QUERIES[name](shuffled, SF_DIR)) - exchanges(view(shuffled, SF_DIR, fixture)) <= most
+
+
+def test_a_clustered_table_needs_no_exchange(shuffled, tmp_path):
+    """Deltas and increases with gaps over a bucketed table, with a key beyond those it is bucketed by."""
+    from snapdelta.plans.deltas import stat_deltas
+    from snapdelta.plans.statements import statement_base
+    from snapdelta.registry.fixtures import view
+    from snapdelta.sources.clustered import cluster_snapshots, read_clustered
+
+    cluster_snapshots(view(shuffled, SF_DIR, "fx_statements"), "clustered_plan", str(tmp_path / "t"), "pg_stat_statements", buckets=4)
+    rows = read_clustered(shuffled, "clustered_plan", "pg_stat_statements")
+    assert "Exchange" not in plan(statement_base(rows, duplicates=None, gaps="lag"))
+    assert "Exchange" not in plan(stat_deltas(rows, "pg_stat_statements"))
