@@ -61,7 +61,7 @@ def word_count(text: Column) -> Column:
 
 
 def running_total(values: Column) -> Column:
-    """Sums of the elements before each one, and of all at the end (one element more than the input).
+    """Sums of the elements before each one, and of all at the end (one element more than the input). Give a column of longs.
 
     Appending copies an array, so sums run over chunks first and over the chunks' totals then.
     """
@@ -71,10 +71,9 @@ def running_total(values: Column) -> Column:
             of, F.array(F.lit(0).cast("long")), lambda so_far, x: F.array_append(so_far, F.element_at(so_far, -1) + x)
         )
 
-    longs = F.transform(values, lambda x: x.cast("long"))
     chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(longs) - 1) / CHUNK).cast("int")),
-        lambda c: sums(F.slice(longs, c * CHUNK + 1, CHUNK)),
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")),
+        lambda c: sums(F.slice(values, c * CHUNK + 1, CHUNK)),
     )
     totals = sums(F.transform(chunks, lambda c: F.element_at(c, -1)))
     shifted = F.flatten(
@@ -108,11 +107,12 @@ def with_matches(df: DataFrame, kinds: dict[str, tuple[Column, str]], text: str,
         )
         df = df.withColumn(kind, parts)
         found, gaps = F.col(f"{kind}.found"), F.col(f"{kind}.gaps")
-        lengths = F.flatten(F.zip_with(gaps, found, lambda g, m: F.array(F.length(g), F.coalesce(F.length(m), F.lit(0)))))
-        df = df.withColumn(
-            kind,
-            F.when(F.size(found) > 0, F.struct(found.alias("found"), gaps.alias("gaps"), running_total(lengths).alias("at"))),
-        )
+        lengths = F.flatten(F.zip_with(gaps, found, lambda g, m: F.array(F.length(g).cast("long"), F.coalesce(F.length(m), F.lit(0)).cast("long"))))
+        # Lengths are a column of their own: as part of the expression below they would be taken anew for every chunk.
+        df = df.withColumn(kind, F.when(F.size(found) > 0, F.struct(found.alias("found"), gaps.alias("gaps"), lengths.alias("lengths"))))
+        found, gaps = F.col(f"{kind}.found"), F.col(f"{kind}.gaps")
+        at = F.struct(found.alias("found"), gaps.alias("gaps"), running_total(F.col(f"{kind}.lengths")).alias("at"))
+        df = df.withColumn(kind, F.when(F.col(kind).isNotNull(), at))
         found, gaps, at = F.col(f"{kind}.found"), F.col(f"{kind}.gaps"), F.col(f"{kind}.at")
         none = F.lit("")
         spans = F.transform(

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import kept, with_matches
+from snapdelta.llm.common import CHUNK, kept, with_matches
 
 
 class Rule(NamedTuple):
@@ -175,21 +175,32 @@ def _masked(text: Column, spans: Column, mask: str) -> Column:
     """
 
     def pieces(of: Column) -> Column:
-        wide, found = of["wide"], of["found"]
+        wide, found, reach = of["wide"], of["found"], of["reach"]
         piece = lambda start, length: F.decode(F.concat(F.unhex(F.lit("0000FEFF")), wide.substr((4 * start + 1).cast("int"), (4 * length).cast("int"))), "UTF-32")
-        return F.aggregate(
-            found,
-            F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<string>").alias("out")),
-            lambda so_far, s: F.struct(
-                F.greatest(so_far["end"], s["end"]).alias("end"),
-                F.when((s["start"] >= so_far["end"]), F.array_append(so_far["out"], piece(so_far["end"], s["start"] - so_far["end"])))
-                .otherwise(so_far["out"]).alias("out"),
-            ),
-            lambda so_far: F.array_join(F.array_append(so_far["out"], piece(so_far["end"], F.length(wide) / 4 - so_far["end"])), mask),
-        )
-
+        none = F.lit(0).cast("long")
+
+        def of_chunk(c: Column) -> Column:
+            return F.aggregate(
+                F.slice(found, c * CHUNK + 1, CHUNK),
+                F.struct(F.coalesce(F.array_max(F.slice(reach, F.lit(1), c)), none).alias("end"), F.array().cast("array<string>").alias("out")),
+                lambda so_far, s: F.struct(
+                    F.greatest(so_far["end"], s["end"]).alias("end"),
+                    F.when((s["start"] >= so_far["end"]), F.array_append(so_far["out"], piece(so_far["end"], s["start"] - so_far["end"])))
+                    .otherwise(so_far["out"]).alias("out"),
+                ),
+                lambda so_far: so_far["out"],
+            )
+
+        last = F.array_max(reach)
+        between = F.flatten(F.transform(F.sequence(F.lit(0), F.size(reach) - 1), of_chunk))
+        return F.array_join(F.concat(between, F.array(piece(last, F.length(wide) / 4 - last))), mask)
+
+    # How far the spans of each chunk reach; appending copies an array, so pieces are gathered by chunks.
+    chunks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int"))
+    reach = F.transform(chunks, lambda c: F.array_max(F.transform(F.slice(spans, c * CHUNK + 1, CHUNK), lambda s: s["end"])))
     # Through an array of one, so that the bytes are made once and not per span.
-    return F.when(F.size(spans) > 0, F.transform(F.array(F.struct(F.encode(text, "UTF-32").alias("wide"), spans.alias("found"))), pieces)[0]).otherwise(text)
+    whole = F.struct(F.encode(text, "UTF-32").alias("wide"), spans.alias("found"), reach.alias("reach"))
+    return F.when(F.size(spans) > 0, F.transform(F.array(whole), pieces)[0]).otherwise(text)
 
 
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", mask: str = "[secret]") -> DataFrame:
