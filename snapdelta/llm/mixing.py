@@ -122,8 +122,9 @@ def _picked_before(x: Column, block: int) -> Column:
 def mix_sources(
     docs: DataFrame, text: str = "text", source: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST_PASSES,
     block: int = BLOCK, shard_words: int = SHARD_WORDS, shard_rows: int = SHARD_ROWS, seed: int = SEED,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """All columns of ``docs`` but the text, with ``size``, ``source_size``, ``target`` and ``taken`` words.
+    """All columns of ``docs`` but the text (``keep_text``: and the text), with ``size``, ``source_size``, ``target`` and ``taken`` words.
 
     Null and empty texts have size 0 and nothing is taken of them; a null source is a source of its own, ranked last.
     Repeated rows are documents like others. An empty table stays empty. Runs agree, however rows are spread: the order
@@ -132,7 +133,8 @@ def mix_sources(
     names = ("size", "source_size", "target", "taken")
     ids = [c for c in docs.columns if c not in (text, *names) and not c.startswith("_")]
     keys = [F.col(c) for c in ids if c.endswith("_id")]
-    sized = docs.select(*ids, word_count(F.col(text)).alias("size"))
+    told = [text] if keep_text else []
+    sized = docs.select(*ids, *told, word_count(F.col(text)).alias("size"))
     sized = kept(sized.withColumn("_h", F.xxhash64(F.lit(seed), *keys, F.col(source), F.col("size"))), "mix-sizes")
     targets = source_targets(sized, source, weights, share, most)
     shards = F.greatest(F.ceil(F.col("source_size") / shard_words), F.ceil(F.col("rows") / shard_rows), F.lit(1)).cast("long")
@@ -159,4 +161,4 @@ def mix_sources(
     same = F.col(source).eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_of_shard"))
     joined = lined.join(quotas, same)
     taken = F.col("_passes") * F.col("size") + _picked_before(F.col("_end"), block) - _picked_before(F.col("_end") - F.col("size"), block)
-    return joined.select(*ids, "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return joined.select(*ids, *told, "size", "source_size", "target", taken.cast("long").alias("taken"))

@@ -52,4 +52,37 @@ def test_stages_match_brute_force(spark):
 
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
-    assert out.columns == ["doc_id", "source", "size", "source_size", "target", "taken"] and out.count() > 0
+    assert out.columns == ["doc_id", "lang", "source", "n_chars", "text", "size", "source_size", "target", "taken"]
+    assert out.where("text is not null and taken > 0").count() > 0
+
+
+def odd_docs(spark):
+    """Nulls, empty texts, repeats, ties; no ``n_chars``, and columns named like the operators' own."""
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, None, None, 0.1, "x"), (2, "", "a", 0.2, "x"), (3, long, "a", 0.3, "x"), (4, long, "b", 0.4, "x"), (5, "password=abc123 token", "b", None, None)]
+    rows += [(5, "password=abc123 token", "b", None, None), (None, "one more text", "b", 0.5, "x")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, score double, component_id string")
+
+
+def test_stages_over_odd_tables(spark, tmp_path):
+    """Each stage alone: columns stay, nothing clean goes, defined results for nulls and repeats; empty tables stay empty."""
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = odd_docs(spark)
+    stages = dict(corpus_pipeline.STAGES)
+    out = {name: stage(spark, docs, str(tmp_path)) for name, stage in stages.items()}
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    given = rows(docs)
+    for name in list(stages)[:-1]:
+        assert out[name].columns == docs.columns
+        assert stages[name](spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert rows(out["quality classifier"]) == given
+    # Of the two equal texts the smaller id stays, of the repeated row one.
+    assert sorted(r[0] or 0 for r in rows(out["near copies"])) == [0, 1, 2, 3, 5]
+    assert rows(out["decontamination"]) == given
+    masked = {(r["doc_id"], r["text"]) for r in out["secret scans"].collect()}
+    assert (5, "[secret] token") in masked and (1, None) in masked and out["secret scans"].count() == len(given)
+    mixed = out["source mixing"]
+    assert mixed.count() == len(given) and {r["size"] for r in mixed.where("text is null or text = ''").collect()} == {0}
+    assert set(mixed.columns) == {*docs.columns, "size", "source_size", "target", "taken"}
+    assert stages["source mixing"](spark, docs.limit(0), str(tmp_path)).count() == 0
