@@ -96,14 +96,16 @@ def _vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     flat, starts = column.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(sizes)[:-1]]
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
-        yield at, flat[starts[at][:, None] + np.arange(size)]
+        yield at, flat[starts[at][:, None] + np.arange(size)].astype(np.float64)
 
 
 def classes_of(df: DataFrame, vector: str, vec_id: str) -> tuple[DataFrame, DataFrame]:
     """Rows without their vector, with a hash of it (null if it can't link), and distinct vectors: ``cls, v, n, least`` (smallest id)."""
-    v = F.col(vector).cast("array<double>")
+    kind = df.schema[vector].dataType.elementType.simpleString()
+    v = F.col(vector) if kind in ("float", "double") else F.col(vector).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    clean = F.when(fine, F.transform(v, lambda x: x + F.lit(0.0)))
+    # Zero has one sign only.
+    clean = F.when(fine, F.transform(v, lambda x: F.when(x == 0, F.abs(x)).otherwise(x)))
     hashed = df.withColumn("_v", clean).withColumn("_h1", F.when(F.col("_v").isNotNull(), F.xxhash64("_v")))
     hashed = hashed.withColumn("_h2", F.when(F.col("_v").isNotNull(), F.xxhash64(F.lit("other"), F.reverse("_v"))))
     grouped = hashed.where("_v is not null").groupBy("_h1", "_h2").agg(F.first("_v").alias("v"), F.count("*").alias("n"), F.min(vec_id).alias("least"))
@@ -168,9 +170,9 @@ def units_of(classes: DataFrame, placed: DataFrame, cosine: float) -> tuple[Data
     A class follows the fullest of the cells that it lies in or probes. A unit's number is that of a class in it.
     """
     own = placed.select("cls", F.explode("own").alias("cell"))
-    full = own.groupBy("cell").agg(F.count("*").alias("held")).where("held > 1")
+    full = kept(own.groupBy("cell").agg(F.count("*").alias("held")).where("held > 1"), "lattice-full")
     seen = placed.select("cls", F.explode(F.concat("own", "near")).alias("cell"))
-    leaders = seen.join(full, "cell").groupBy("cls").agg(F.max(F.struct("held", "cell")).alias("_m")).select("cls", F.col("_m.cell").alias("cell"))
+    leaders = seen.join(if_small(full, 32), "cell").groupBy("cls").agg(F.max(F.struct("held", "cell")).alias("_m")).select("cls", F.col("_m.cell").alias("cell"))
     followers = kept(leaders.join(classes.select("cls", "v", "n", "_h1"), "cls"), "lattice-followers")
     vote = F.pmod(F.xxhash64("_h1"), F.lit(VOTES))
     votes = followers.groupBy("cell", F.size("v").alias("dim"), vote.alias("vote")).agg(F.min_by("v", "_h1").alias("v"), F.min("cls").alias("cls"), F.count("*").alias("m"))
@@ -183,7 +185,7 @@ def units_of(classes: DataFrame, placed: DataFrame, cosine: float) -> tuple[Data
     groups = inside.groupBy("unit").agg(F.max("angle").alias("radius"), F.sum("n").alias("size"), F.count("*").alias("classes"))
     rest = classes.select("cls", "n", "v").join(inside.select("cls"), "cls", "left_anti")
     # Single classes are numbered apart from the units: a unit's class may have turned out to lie outside of it.
-    lone = rest.select((-1 - F.col("cls")).alias("unit"), F.col("v").alias("centre"), F.lit(0.0).alias("radius"), F.col("n").alias("size"), F.lit(1).cast("long").alias("classes"))
+    lone = rest.select((-1 - F.col("cls")).alias("unit"), F.col("v").cast("array<double>").alias("centre"), F.lit(0.0).alias("radius"), F.col("n").alias("size"), F.lit(1).cast("long").alias("classes"))
     units = kept(groups.join(centres.select("unit", "centre"), "unit").select(*lone.columns).unionByName(lone), "lattice-units")
     members = inside.select("cls", "unit", "n").unionByName(rest.select("cls", (-1 - F.col("cls")).alias("unit"), "n"))
     return kept(members, "lattice-members"), units
