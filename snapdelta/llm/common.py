@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdelta.sources.shared import settle, shared_dir
+from snapdelta.sources.shared import remove, settle, shared_dir
 
 #: The characters that separate words, as a regex class and as plain characters.
 SPACE = r"[\x20\x09-\x0D]"
@@ -22,9 +26,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, lineage cut, still there when executors are lost."""
-    return settle(df, shared_dir(df.sparkSession, purpose))
+#: Folders of kept tables by the scopes they were made in, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``kept`` makes inside are removed at the end, also after an error, but for those that are results: they
+    belong to the scope around it, if there is one. What is returned must not read a removed table."""
+    folders: list[str] = []
+    entered = _SCOPES.set((*_SCOPES.get(), folders))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(entered)
+        for folder in folders:
+            remove(spark, folder)
+
+
+def kept(df: DataFrame, purpose: str, result: bool = False) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, lineage cut, still there when executors are lost. Removed with the
+    ``scratch`` it was made in; ``result``: with the one around that. Outside of any, it stays."""
+    folder = shared_dir(df.sparkSession, purpose)
+    scopes = _SCOPES.get()[: -1 if result else None]
+    if scopes:
+        scopes[-1].append(folder)
+    return settle(df, folder)
 
 
 def if_small(table: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from snapdelta.llm.common import BROADCAST_BYTES, kept
 
 
-#: Bytes of a node and its minimum in memory; nodes may be urls.
-ROW_BYTES = 256
+#: Bytes of a row in memory beside what its node and root take.
+ROW_BYTES = 96
 
 
 def _sum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "root"))).first())
+    size = F.octet_length(F.concat(F.col("node").cast("string"), F.col("root").cast("string")))
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "root")), F.sum(size)).first())
 
 
 def components(edges: DataFrame, source: str = "a", target: str = "b") -> DataFrame:
@@ -30,8 +31,9 @@ def components(edges: DataFrame, source: str = "a", target: str = "b") -> DataFr
     before = _sum(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("root").alias("node"), F.col("node").alias("root")))
-        # Minima are at most two per edge: counted edges say whether they can be sent to every executor.
-        near = F.broadcast if 2 * before[0] * ROW_BYTES <= BROADCAST_BYTES else lambda df: df
+        # Minima are at most two per edge, each made of ends of its node's edges: number and length of the edges bound what
+        # would be sent to every executor.
+        near = F.broadcast if 2 * (before[0] * ROW_BYTES + before[2]) <= BROADCAST_BYTES else lambda df: df
         least = both.groupBy("node").agg(F.min("root").alias("least")).select("node", F.least("node", "least").alias("least"))
         large = both.join(near(least), "node").where("root > node").select(F.col("root").alias("node"), F.col("least").alias("root"))
         least = large.groupBy("node").agg(F.min("root").alias("least"))

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import ascii_lower, free_name, if_small, kept, row_key, words
+from snapdelta.llm.common import ascii_lower, free_name, if_small, kept, row_key, scratch, words
 from snapdelta.llm.graph import components
 
 ORDERS = 3
@@ -62,6 +62,7 @@ def signatures(docs: DataFrame, k: int, percent: int, text: str) -> DataFrame:
             F.slice("_set", 1, F.when(n > 0, sent).otherwise(0).cast("int")).alias("_sent"),
         ),
         "jaccard-sets",
+        result=True,
     )
 
 
@@ -135,7 +136,21 @@ def star_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
     joined = posted.alias("a").join(central.alias("b"), "token").where("a.cls <> b.cls").where(_can_link(percent))
     led = joined.select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).groupBy("a", "b").agg(F.count("*").alias("lists"))
     best = led.groupBy("a").agg(F.max_by("b", F.struct("lists", "b")).alias("b"))
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return under_all_orders(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), prefixes, percent)
+
+
+def under_all_orders(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs found under the first order that share a prefix token under every other one, too."""
+    orders = [f"order_{number}" for number in range(1, ORDERS)]
+    left = prefixes.select(F.col("cls").alias("a"), F.col("n").alias("na"), *(F.col(o).alias(f"a_{o}") for o in orders))
+    right = prefixes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), *(F.col(o).alias(f"b_{o}") for o in orders))
+    need = _overlap(F.col("na"), F.col("nb"), percent)
+
+    def prefix(order: str, n: str) -> Column:
+        return F.transform(F.filter(order, lambda x: x["place"] <= F.col(n) - need + 1), lambda x: x["token"])
+
+    shared = (F.arrays_overlap(prefix(f"a_{o}", "na"), prefix(f"b_{o}", "nb")) for o in orders)
+    return pairs.join(left, "a").join(right, "b").where(reduce(Column.__and__, shared)).select("a", "b")
 
 
 def open_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -196,21 +211,22 @@ def jaccard_groups(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "
     replaced. Sets are compared by 64-bit hashes of shingles, classes by 128 bits.
     """
     plain = docs.select(*(c for c in docs.columns if c not in RESULTS and not c.startswith("_")))
-    signed = signatures(plain, k, percent, text)
-    classes = classes_of(signed)
-    sets = _whole_sets(plain, signed, open_classes(classes, percent), k, text)
-    prefixes = prefixes_of(sets, percent)
-    first = kept(linked(star_pairs(prefixes, percent), sets, percent), "jaccard-links")
-    rest = kept(linked(open_pairs(prefixes, components(first), percent), sets, percent), "jaccard-links")
-    roots = components(first.unionByName(rest))
-    named = classes.select("_c1", "_c2", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    named = named.select("_c1", "_c2", F.coalesce("root", "cls").alias("_group"))
-    smallest = (
-        signed.where("n_shingles > 0").groupBy("_c1", "_c2").agg(F.min(doc_id).alias("_least"))
-        .join(named, ["_c1", "_c2"])
-    )
-    by_group = smallest.groupBy("_group").agg(F.min("_least").alias("component_id"))
-    lookup = kept(named.join(by_group, "_group"), "jaccard-groups")
+    with scratch(docs.sparkSession):
+        signed = signatures(plain, k, percent, text)
+        classes = classes_of(signed)
+        sets = _whole_sets(plain, signed, open_classes(classes, percent), k, text)
+        prefixes = prefixes_of(sets, percent)
+        first = kept(linked(star_pairs(prefixes, percent), sets, percent), "jaccard-links")
+        rest = kept(linked(open_pairs(prefixes, components(first), percent), sets, percent), "jaccard-links")
+        roots = components(first.unionByName(rest))
+        named = classes.select("_c1", "_c2", "cls").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+        named = named.select("_c1", "_c2", F.coalesce("root", "cls").alias("_group"))
+        smallest = (
+            signed.where("n_shingles > 0").groupBy("_c1", "_c2").agg(F.min(doc_id).alias("_least"))
+            .join(named, ["_c1", "_c2"])
+        )
+        by_group = smallest.groupBy("_group").agg(F.min("_least").alias("component_id"))
+        lookup = kept(named.join(by_group, "_group"), "jaccard-groups", result=True)
     out = signed.drop("_sent").join(lookup, ["_c1", "_c2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(doc_id))
     group = F.when(F.col("n_shingles") > 0, F.col("_group"))
@@ -223,10 +239,11 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "t
     Texts move only for the rows that go and for rows that occur twice with id and text.
     """
     columns = docs.columns
-    grouped = kept(jaccard_groups(docs, k, percent, text, doc_id).where("n_shingles > 0").select(doc_id, "_row", "_group"), "near-groups")
-    stays = grouped.groupBy("_group").agg(F.min(F.struct(F.col(doc_id).isNull(), doc_id, "_row")).alias("_m")).select(F.col("_m._row").alias("_row"), F.lit(True).alias("_stays"))
-    rows = grouped.groupBy("_row").agg(F.count("*").alias("_times")).join(stays, "_row", "left")
-    marked = kept(rows.where("_stays is null or _times > 1"), "near-rows")
+    with scratch(docs.sparkSession):
+        grouped = kept(jaccard_groups(docs, k, percent, text, doc_id).where("n_shingles > 0").select(doc_id, "_row", "_group"), "near-groups")
+        stays = grouped.groupBy("_group").agg(F.min(F.struct(F.col(doc_id).isNull(), doc_id, "_row")).alias("_m")).select(F.col("_m._row").alias("_row"), F.lit(True).alias("_stays"))
+        rows = grouped.groupBy("_row").agg(F.count("*").alias("_times")).join(stays, "_row", "left")
+        marked = kept(rows.where("_stays is null or _times > 1"), "near-rows", result=True)
     key = free_name(columns)
     keyed = docs.withColumn(key, row_key(columns, text, RESULTS))
     marked = marked.withColumnRenamed("_row", key)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from snapdelta.llm.common import LOWER, UPPER
 from snapdelta.llm.quality_rules import STOP_WORDS
+from snapdelta.llm.url_filters import BASE, CANONICAL, HREF, REFRESH, UNSEEN, VALUE
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -50,25 +51,52 @@ def _rule(host: str, path: str) -> str:
 
 
 _VERDICT = "case {rule} when 'example.net/en/' then 'allow' when 'org/fr/' then 'allow' when 'example.com/de/' then 'block' when 'net/' then 'block' end"
-_VALUE = r"""\s*=\s*["'']?([^"''\s<>]+)"""
+
+
+def _resolved(target: str, near: str) -> str:
+    """A link's target beside the struct of host and path that it stands in; null for other schemes without ``//``."""
+    own = f"'http://' || {near}.host"
+    folder = f"coalesce(nullif(regexp_extract({near}.path, '(?s)^.*/'), ''), '/')"
+    return f"""case when {target} = '' then null when regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*://') or starts_with({target}, '://') then {target}
+      when regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*:') then null when starts_with({target}, '//') then 'http:' || {target}
+      when starts_with({target}, '/') then {own} || {target} when regexp_matches({target}, '^[?#]') then {own} || {near}.path || {target}
+      else {own} || {folder} || {target} end"""
+
+
+def _node(parts: str) -> str:
+    """Host and path of a page, without the path's segments ``.`` and ``..``."""
+    step = "case when x[1] = '..' then so_far[1:greatest(len(so_far) - 1, 0)] when x[1] = '.' then so_far else list_concat(so_far, x) end"
+    left = f"list_reduce(list_prepend([]::varchar[], list_transform(string_split({parts}.path, '/')[2:], lambda x: [x])), lambda so_far, x: {step})"
+    end = f"case when regexp_matches({parts}.path, '/\\.\\.?$') and len({left}) > 0 then '/' else '' end"
+    path = f"case when {parts}.path = '' then '/' when regexp_matches({parts}.path, '/\\.\\.?(/|$)') then '/' || array_to_string({left}, '/') || {end} else {parts}.path end"
+    return f"case when {parts}.host <> '' then {parts}.host || {path} end"
+
+
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _targets(tag: str, attribute: str) -> str:
+    return f"list_transform(regexp_extract_all(m, {_text(tag)}), lambda x: regexp_extract(x, {_text('(?i)' + attribute + VALUE)}, 1))"
+
+
+#: Every refresh and canonical link of a page is an edge, as in the query; the patterns are the same, the closure is its own.
 OP3 = rf"""
 with recursive t as (
-  select page_id, {_parts("url")} as p,
-    coalesce(
-      nullif(regexp_extract(regexp_extract(html, '(?i)<meta\b[^<>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^<>]*'), '(?i)\burl{_VALUE}', 1), ''),
-      nullif(regexp_extract(regexp_extract(html, '(?i)<link\b[^<>]*\brel\s*=\s*["'']?canonical\b[^<>]*'), '(?i)\bhref{_VALUE}', 1), '')
-    ) as target from pages
-), u as (
-  select *, {_parts("case when contains(target, '://') then target when starts_with(target, '//') then 'http:' || target when starts_with(target, '/') then 'http://' || p.host || target end")} as q from t
-), n as (
-  select page_id, p.host as host, p.path as path, {_rule("p.host", "p.path")} as rule,
-    case when p.host <> '' then p.host || case when p.path = '' then '/' else p.path end end as node,
-    case when q.host <> '' then q.host || case when q.path = '' then '/' else q.path end end as goes
-  from u
-), e as (
-  select node as a, goes as b from n where node is not null and goes is not null
-  union select goes, node from n where node is not null and goes is not null
-), r(a, b) as (select a, a from e union select r.a, e.b from r join e on r.b = e.a),
+  select row_number() over () as rid, page_id, {_parts("coalesce(url, '')")} as p, coalesce(regexp_replace(html, {_text(UNSEEN)}, ' ', 'g'), '') as m from pages
+), v as (
+  select *, regexp_extract(regexp_extract(m, {_text(BASE)}), {_text('(?i)' + HREF + VALUE)}, 1) as base from t
+), near as (select *, {_resolved("base", "p")} as full_base from v),
+u as (
+  select rid, case when full_base is null then p else {_parts("full_base")} end as p,
+    unnest(list_concat({_targets(REFRESH, r"\burl")}, {_targets(CANONICAL, HREF)})) as raw from near
+), k as (select rid, p, replace(raw, '&amp;', '&') as target from u),
+q as (select rid, {_resolved("target", "p")} as full_target from k),
+y as (select rid, {_parts("full_target")} as p from q where full_target is not null),
+n as (select rid, page_id, p.host as host, p.path as path, {_rule("p.host", "p.path")} as rule, {_node("p")} as node from t),
+d as (select n.node as a, {_node("y.p")} as b from n join y using (rid)),
+e as (select a, b from d where a is not null and b is not null union select b, a from d where a is not null and b is not null),
+r(a, b) as (select a, a from e union select r.a, e.b from r join e on r.b = e.a),
 g as (
   select a, bool_or({_VERDICT.format(rule="rule")} = 'allow') as allows, bool_or({_VERDICT.format(rule="rule")} = 'block') as blocks
   from (select a, {_rule("split_part(b, '/', 1)", "substr(b, strpos(b, '/'))")} as rule from r) group by a

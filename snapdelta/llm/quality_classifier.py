@@ -130,8 +130,10 @@ def scores(m: Model, bags: list[np.ndarray]) -> np.ndarray:
 def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     """Weights by Adam on the cross-entropy; the same bags in the same order give the same weights."""
     rng = np.random.default_rng(SEED)
-    every = np.concatenate(bags).astype(np.float64)
-    mean, scale = every.mean(0), every.std(0) + 1e-3
+    every = np.concatenate(bags)
+    mean = every.mean(0, dtype=np.float64)
+    scale = every.std(0, dtype=np.float64) + 1e-3
+    del every
     init = lambda *s: rng.normal(0, 1 / np.sqrt(s[0]), s)
     m = Model(mean, scale, init(WIDTH, HIDDEN), np.zeros(HIDDEN), init(HIDDEN, ATTENTION), init(HIDDEN, ATTENTION), init(ATTENTION), init(HIDDEN), np.zeros(1))
     p = {k: getattr(m, k) for k in LEARNED}
@@ -205,11 +207,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     encoded = hashed.select("_id", "_label", "_text").mapInArrow(_encoded, f"_id {docs.schema[doc_id].dataType.simpleString()}, _label int, x array<float>")
     sample = encoded.dropDuplicates(["_id", "_label"])
     got = sample.toArrow()
-    bags = [np.array(x.values.to_numpy(), np.float32).reshape(-1, WIDTH) for x in got.column("x")]
     marks = got.column("_label").to_numpy().astype(float)
+    ids = got.column("_id").to_pylist()
+    # One array for all passages, and nothing of the table is left while fitting.
+    every = got.column("x").combine_chunks()
+    bounds = every.offsets.to_numpy() // WIDTH
+    flat = every.flatten().to_numpy().astype(np.float32).reshape(-1, WIDTH)
+    del got, every
+    pa.default_memory_pool().release_unused()
     if len(set(marks.tolist())) < 2:
         return None
-    ids = got.column("_id").to_pylist()
+    bags = [flat[i:j] for i, j in zip(bounds - bounds[0], bounds[1:] - bounds[0])]
     order = sorted(range(len(ids)), key=lambda i: (ids[i], marks[i], bags[i].tobytes()))
     return fit([bags[i] for i in order], marks[order])
 

@@ -9,6 +9,7 @@ from snapdelta.llm import registry
 from snapdelta.llm.oracles import oracle_sql
 
 LINK = '<link rel="canonical" href="{}">'
+REFRESH = '<meta content="0; URL={}" http-equiv="Refresh">'
 RANDOM = random.Random(9)
 VECTORS = [[RANDOM.gauss(0, 0.2) for _ in range(32)] for _ in range(90)]
 TABLES = {
@@ -19,6 +20,15 @@ TABLES = {
             (3, "http://c.com/3", LINK.format("//d.com/4")), (4, "http://e.com/5", LINK.format("http://evil.net/y")),
             (5, "http://ok.org/fr/7", LINK.format("http://e.com/5#z")), (6, None, LINK.format("http://evil.net/y")), (7, "HTTP://M.Example.NET/en/?x", None),
             (7, "http://g.com", LINK.format("/rel")), (8, "http://g.com/rel", LINK.format("http://z.net/")), (9, "no url", ""),
+            (10, "http://h.com/a/b/c.html?x=/y", LINK.format("../d/./e") + REFRESH.format("other") + LINK.format("mailto:x@evil.net")),
+            (11, "http://h.com/a/d/e", REFRESH.format("//evil.net/z")), (12, "http://h.com/a/b/other", LINK.format("?q") + LINK.format("#top")),
+            (13, "http://i.com/1", "<!-- " + LINK.format("http://evil.net/") + " --><script>" + LINK.format("http://evil.net/") + "</SCRIPT >" + LINK.format("/2")),
+            (14, "http://i.com/2", "<base target=x href='http://j.com/k/'>" + LINK.format("3") + LINK.format("../..")),
+            (15, "http://j.com/k/3", '<link href=http://evil.net/ rel="alternate\tCanonical  x">'), (16, "http://j.com", ""),
+            (17, "http://k.com", LINK.format("http://evil.net/").replace("canonical", "canonicals") + "<link data-rel=canonical href=http://evil.net/>"),
+            (18, "http://l.com/", "<!-- open " + LINK.format("http://evil.net/")), (19, "http://m.com/", "<link rel=canonical data-href=http://n.com/ href=http://evil.net/>"),
+            (20, "http://o.com/p&q/", "<base href='r/'>" + LINK.format("../../p&amp;q/s")), (21, "http://o.com/p&q/s", LINK.format("http://evil.net/..")),
+            (22, "http://s.org/fr/", LINK.format("http://t.com/")), (23, "http://t.com", LINK.format("http://u.com/") + LINK.format("http://evil.net/")), (24, "http://u.com/", None),
         ],
     ),
     "documents": (

@@ -1,5 +1,8 @@
+import uuid
+
 import pytest
 
+from snapdelta.llm import common
 from snapdelta.llm.graph import components
 from snapdelta.llm.url_filters import url_filter
 
@@ -91,3 +94,35 @@ def test_every_link_is_an_edge(spark):
     ]
     got = {r.page_id: r.verdict for r in url_filter(pages(spark, rows)).collect()}
     assert got == dict.fromkeys(range(9), "block") | dict.fromkeys((9, 10, 11), "allow")
+
+
+def test_only_visible_links_count(spark):
+    evil = "http://evil.net/"
+    rows = [
+        ("http://a.com/1", f"<!-- {canonical(evil)} -->"),
+        ("http://a.com/2", f"<script>'{canonical(evil)}'</script><style>{canonical(evil)}</style>"),
+        ("http://a.com/3", f"<!-- never closed {canonical(evil)}"),
+        ("http://a.com/4", f"<!-- a --> {canonical(evil)} <!-- b -->"),
+        ("http://a.com/5", f'<link rel="alternate canonical" href="{evil}">'),
+        ("http://a.com/6", f'<link rel="alternate" title="canonical" href="{evil}">'),
+        ("http://a.com/7", f'<base href="{evil}x/"><link rel=canonical href="7">'),
+        ("http://a.com/8", '<base href="/b/">' + canonical("4") + canonical("../4")),
+        ("http://a.com/9", "<link " + "x" * 200_000 + " rel=canonical" + "<!--" * 20_000),
+    ]
+    got = {r.page_id: r.verdict for r in url_filter(pages(spark, rows)).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "block", 7: "block", 8: "allow"}
+
+
+def test_no_tables_are_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    rows = [("http://a.com/1", canonical("http://evil.net/")), ("http://b.com/1", canonical("http://a.com/1"))]
+    out = url_filter(pages(spark, rows))
+    assert sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()) == ["url-blocked", "url-pages"]
+    assert {r.verdict for r in out.collect()} == {"block"}
+    with common.scratch(spark):
+        assert url_filter(pages(spark, rows)).count() == 2
+    assert len(list(tmp_path.iterdir())) == 2
+    with pytest.raises(ValueError), common.scratch(spark):
+        common.kept(out, "lost")
+        raise ValueError
+    assert len(list(tmp_path.iterdir())) == 2
