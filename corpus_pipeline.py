@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdelta.llm.common import free_name, kept, table
+from snapdelta.llm.common import free_name, kept, scratch, table
 from snapdelta.llm.decontaminate import drop_contaminated
 from snapdelta.llm.jaccard_join import one_per_group
 from snapdelta.llm.mixing import mix_sources
@@ -64,6 +64,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is a table that the next stage reads. The last one has the texts to train on, with
     the words to take of each."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    *before, (name, last) = STAGES
+    with scratch(spark):
+        for stage_name, stage in before:
+            # What a stage keeps for itself goes as soon as its result is written, the results of all but the last at the end.
+            with scratch(spark):
+                docs = kept(stage(spark, docs, sf_dir), stage_name.replace(" ", "-"), result=True)
+        return kept(last(spark, docs, sf_dir), name.replace(" ", "-"), result=True)
