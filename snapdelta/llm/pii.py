@@ -56,7 +56,19 @@ def seed_kind(piece: Column) -> Column:
     )
 
 
-def fixed_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+def shaped(kind: Column, value: Column) -> Column:
+    """Whether a value that contexts speak for can be of their kind at all: contexts of addresses also hold other numbers."""
+    n, letters = F.length(digits(value)), value.rlike("[A-Za-z]")
+    return (
+        F.when(kind == "email", value.contains("@") | (letters & value.rlike(r"[.(\[{]") & (n >= LEAST_DIGITS)))
+        .when(kind == "ip", value.rlike(r"^[^0-9A-Za-z]*[0-9]+(?:[^0-9A-Za-z]+[0-9]+){3}[^0-9A-Za-z]*$") & (n >= LEAST_DIGITS))
+        .when(kind == "card", ~letters & n.between(12, 19))
+        .when(kind == "phone", ~letters & n.between(LEAST_DIGITS, 15))
+        .otherwise(False)
+    )
+
+
+def fixed_spans(docs: DataFrame, text: str = "text", context_chars: int = CONTEXT_CHARS) -> DataFrame:
     """Adds arrays of spans ``email``, ``ip``, ``card``, ``phone`` and of contexts ``_pieces``; drops the text."""
     t = F.col(text)
     kinds = {
@@ -68,7 +80,7 @@ def fixed_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     found = with_matches(docs, kinds, text)
     for kind in KINDS:
         found = found.withColumn(kind, F.filter(kind, lambda s: accepted(kind, s["match"])))
-    found = with_matches(found, {"_pieces": (t.rlike("[0-9@]"), IDENTIFIER)}, text, CONTEXT_CHARS)
+    found = with_matches(found, {"_pieces": (t.rlike("[0-9@]"), IDENTIFIER)}, text, context_chars)
     bare = lambda s: F.regexp_replace(s["match"], r"[.,;:!?)\"']++$", "")
     pieces = F.transform(
         "_pieces",
@@ -91,9 +103,12 @@ def believed_values(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Edges of the graph are distinct, and sums over a pattern or a value combine before they are shuffled, so one context
     that surrounds a third of all instances costs no more than others.
     """
-    patterns = F.array(
-        F.concat_ws(" ", F.lit("L"), "second", "first"),
-        F.concat_ws(" ", F.lit("M"), "first", F.lit("_"), "next"),
+    # A piece at a text's end or beside another piece has no word there, which is no evidence but one pattern of very many.
+    patterns = F.array_compact(
+        F.array(
+            F.when(F.col("first") != "", F.concat_ws(" ", F.lit("L"), "second", "first")),
+            F.when((F.col("first") != "") & (F.col("next") != ""), F.concat_ws(" ", F.lit("M"), "first", F.lit("_"), "next")),
+        )
     )
     edges = kept(
         pieces.where("value <> ''").select("value", F.explode(patterns).alias("pattern")).distinct(), "pii-edges"
@@ -115,20 +130,20 @@ def believed_values(pieces: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         )
         seeds = edges.where("seed is not null").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("belief")).distinct()
         belief = kept(seeds.unionByName(unseen), "pii-belief")
-    looks = F.col("value").contains("@") | (F.length(digits(F.col("value"))) >= LEAST_DIGITS)
-    found = belief.where((F.col("belief") >= BELIEVED) & seed_kind(F.col("value")).isNull() & looks)
+    found = belief.where((F.col("belief") >= BELIEVED) & seed_kind(F.col("value")).isNull() & shaped(F.col("kind"), F.col("value")))
     return found.groupBy("value").agg(F.max_by("kind", F.struct("belief", "kind")).alias("kind"), F.max("belief").alias("belief"))
 
 
-def personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, context_chars: int = CONTEXT_CHARS) -> DataFrame:
     """All columns of ``docs`` but the text, with arrays of spans ``email``, ``ip``, ``card``, ``phone`` (start, end, match)
-    and ``context`` (start, end, kind, belief): identifiers found by their contexts alone.
+    and ``context`` (start, end, kind, belief): identifiers found by their contexts alone, of a shape that fits the kind.
+    Patterns are made of words among the ``context_chars`` characters on each side, of a longer word of what lies in them.
 
     Null and empty texts have empty arrays. Spans of a kind never overlap. Repeated rows get equal results; a null id is an
     id like others. An empty table gives an empty table. Columns with the names of the results are replaced.
     """
     ids = [c for c in docs.columns if c not in (text, *KINDS, "context", "_pieces", "_key")]
-    spans = kept(fixed_spans(docs.select(*ids, text), text), "pii-spans")
+    spans = kept(fixed_spans(docs.select(*ids, text), text, context_chars), "pii-spans")
     pieces = spans.select(*ids, "_key", F.explode("_pieces").alias("p")).select(*ids, "_key", "p.*")
     found = believed_values(pieces, rounds)
     placed = (
