@@ -5,6 +5,10 @@ and the last value and the changes in between, with the times of the first and t
 periods put together are the summary of both, so that days are made once, while rows land, and a report over months reads
 one row per entity and day in place of every snapshot. What happens between two periods is seen from the last value of one
 and the first of the next; a null there means, as between rows, that the interval adds nothing.
+
+The values of the first and of the last row are taken as one struct each. Spark aggregates structs in the order that the windows
+before have sorted the rows in, a group at a time; single values it would gather in two hash tables of about a kilobyte a group
+each, which is a row where an entity has one snapshot a period.
 """
 
 from __future__ import annotations
@@ -79,10 +83,12 @@ def period_summaries(
     changes = [F.expr(f"case when {_SPREAD} is null and not {_BEGAN} then `{c}` - lag(`{c}`) over {before} end").alias(f"_d_{c}") for c in counters]
     rows = rows.select("*", *changes)
 
+    held = F.struct(*counters)
+
     def summary(c: str) -> Column:
         change, fell = F.col(f"_d_{c}"), F.col(f"_d_{c}") < 0
         values = (
-            F.min_by(c, time), F.max_by(c, time), _sum(change, kinds[c]),
+            F.min_by(held, time).getField(c), F.max_by(held, time).getField(c), _sum(change, kinds[c]),
             _sum(F.when(fell, change), kinds[c]), _sum(F.when(fell | F.col(_BEGAN), F.col(c)), kinds[c]),
         )
         return F.struct(*[v.alias(name) for v, name in zip(values, FIELDS)]).alias(c)
@@ -120,12 +126,14 @@ def merge_summaries(
     ]
     rows = rows.select("*", *seams)
 
+    firsts, lasts = (F.struct(*[F.col(c).getField(end).alias(c) for c in counters]) for end in ("first", "last"))
+
     def merged(c: str) -> Column:
         seam, fell = F.col(f"_d_{c}"), F.col(f"_d_{c}") < 0
         part = lambda name: F.col(c).getField(name)
         plus = lambda name, more: (_sum(part(name), kinds[c]) + _sum(more, kinds[c])).cast(kinds[c])
         values = (
-            F.min_by(part("first"), FIRST), F.max_by(part("last"), LAST), plus("change", seam),
+            F.min_by(firsts, FIRST).getField(c), F.max_by(lasts, LAST).getField(c), plus("change", seam),
             plus("fallen", F.when(fell, seam)), plus("restarted", F.when(fell | F.col(_BEGAN), part("first"))),
         )
         return F.struct(*[v.alias(name) for v, name in zip(values, FIELDS)]).alias(c)

@@ -199,3 +199,22 @@ def test_snapshot_rows_move_once_and_days_after_that(spark, timelines, tmp_path)
     period_summaries(frame, ["x", "y"], KEYS).write.parquet(stored)
     read = plan(increase_from_summaries(spark.read.parquet(stored), ["x"], KEYS))
     assert read.count("FileScan") == 1 and "y:struct" not in read
+
+
+def test_first_and_last_values_need_no_hash_table(spark, tmp_path):
+    """One snapshot per entity and day, so that a summary row is as frequent as a snapshot: hash tables would hold all of them."""
+    rows = [(f"k{k}", "app", START + timedelta(days=d), k + d if (k + d) % 3 else None, float(d), Decimal(k)) for k in range(20) for d in range(4)]
+    rows += [("k0", "app", START + timedelta(hours=5), 7, None, None), (None, "app", START, 1, 1.0, None), ("k1", "app", None, 9, 9.0, None)]
+    counters, frame = ["x", "y", "z"], str(tmp_path / "rows")
+    spark.createDataFrame(rows, "k string, database string, snapshot_time timestamp, x bigint, y double, z decimal(38,0)").write.parquet(frame)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    summed = period_summaries(spark.read.parquet(frame), counters, KEYS)
+    merged = merge_summaries(summed, counters, KEYS, period="week")
+    assert "HashAggregate" not in plan(summed) and plan(summed).count("Sort [") == 1
+    assert "HashAggregate" not in plan(merged) and plan(merged).count("Sort [") == 2
+    got = {(r["k"], r["first_time"]): (r["x"]["first"], r["x"]["last"], r["y"]["first"], r["y"]["last"]) for r in summed.collect()}
+    assert len(got) == 20 * 4 + 2
+    assert got["k0", START] == (None, 7, 0.0, None) and got["k4", START + timedelta(days=3)] == (7, 7, 3.0, 3.0)
+    assert got["k1", None] == (None, None, None, None)
+    weeks = {r["k"]: (r["snapshots"], r["x"]["first"], r["x"]["last"], r["x"]["change"]) for r in merged.where("period is not null").collect()}
+    assert weeks["k0"] == (5, None, None, (1 - 7) + (2 - 1)) and weeks["k4"] == (4, 4, 7, 1) and weeks[None] == (1, 1, 1, 0)
